@@ -73,3 +73,37 @@ def profile_sql(source: str, schema: list[tuple[str, str]], k: int = 3) -> str:
             "CASE WHEN n_distinct = n_rows AND n_distinct > 1 THEN 'POTENTIAL ID' END, "
             "CASE WHEN n_distinct <= 1 THEN 'CONSTANT' END, "
             "CASE WHEN null_pct > 60 THEN 'HIGH NULL' END) AS flags FROM p")
+
+
+def duplicates_sql(source: str, schema: list[tuple[str, str]]) -> str:
+    """Every same-type pair compared null-safely; the earliest partner is reported."""
+    pairs = [(a, b) for j, (b, tb) in enumerate(schema) for (a, ta) in schema[:j] if ta == tb]
+    if not pairs:
+        return "SELECT CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS duplicate_of WHERE false"
+    checks = ", ".join(f"bool_and({q(a)} IS NOT DISTINCT FROM {q(b)}) AS p{k}"
+                       for k, (a, b) in enumerate(pairs))
+    order = {n: i for i, (n, _) in enumerate(schema)}
+    rows = " UNION ALL ".join(
+        f"SELECT '{b}' AS column_name, '{a}' AS duplicate_of, {order[a]} AS k, p{k} AS same FROM chk"
+        for k, (a, b) in enumerate(pairs))
+    return (f"WITH src AS ({source}), chk AS (SELECT {checks} FROM src) "
+            f"SELECT column_name, arg_min(duplicate_of, k) AS duplicate_of FROM ({rows}) "
+            "WHERE same GROUP BY column_name")
+
+
+ID_HINTS = ("id", "index", "serial", "key", "no.")
+
+
+def drop_plan_sql(source: str, schema: list[tuple[str, str]], targets=()) -> str:
+    """D1-D6 from the profile and the duplicate check."""
+    hint = " OR ".join(f"instr(lower(column_name), '{h}') > 0" for h in ID_HINTS)
+    keep = ", ".join(f"'{t}'" for t in targets) or "''"
+    return (f"WITH p AS ({profile_sql(source, schema)}), d AS ({duplicates_sql(source, schema)}), "
+            "r AS ("
+            f"SELECT column_name, 'id' AS reason FROM p WHERE n_distinct = n_rows AND ({hint}) "
+            "AND dtype <> 'string' "
+            "UNION ALL SELECT column_name, 'high_null' FROM p WHERE null_pct > 60 "
+            "UNION ALL SELECT column_name, 'constant' FROM p WHERE n_distinct <= 1 "
+            "UNION ALL SELECT column_name, 'duplicate' FROM d) "
+            "SELECT column_name, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons "
+            f"FROM r WHERE column_name NOT IN ({keep}) GROUP BY column_name")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracles import SCHEMAS, profile_sql
+from checks.oracles import SCHEMAS, drop_plan_sql, duplicates_sql, profile_sql
 from tabsmith.operators import profile as prof
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,132 @@ def q_target_stats_lineitem(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _no_fp(prof.profile(table(spark, sf_dir, "lineitem")))
+
+
+# ------------------------------------------------------- pruning (D) and target (T)
+
+from tabsmith.operators import prune, target as tgt  # noqa: E402
+
+ORDERS_DERIVED = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+                  "o_orderpriority, o_totalprice AS total_copy, 'web' AS channel, "
+                  "CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderpriority END AS rush_flag "
+                  "FROM orders")
+ORDERS_DERIVED_SCHEMA = SCHEMAS["orders"] + [("total_copy", "double"), ("channel", "string"),
+                                             ("rush_flag", "string")]
+
+
+def orders_derived(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select("*", F.col("o_totalprice").alias("total_copy"), F.lit("web").alias("channel"),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority"))
+                     .alias("rush_flag"))
+
+
+@register("drop_plan_orders", drop_plan_sql(ORDERS_DERIVED, ORDERS_DERIVED_SCHEMA, ["o_orderstatus"]))
+def q_drop_plan_orders(spark, sf_dir):
+    return prune.plan_drops(orders_derived(spark, sf_dir), ["o_orderstatus"])
+
+
+LINEITEM_DUPS = ("SELECT *, l_quantity AS qty_copy, l_tax AS tax_copy, "
+                 "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_discount END AS disc_gap, "
+                 "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_discount END AS disc_gap2 FROM lineitem")
+LINEITEM_DUPS_SCHEMA = SCHEMAS["lineitem"] + [("qty_copy", "double"), ("tax_copy", "double"),
+                                              ("disc_gap", "double"), ("disc_gap2", "double")]
+
+
+@register("duplicate_columns_lineitem", duplicates_sql(LINEITEM_DUPS, LINEITEM_DUPS_SCHEMA))
+def q_duplicate_columns_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    gap = F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_discount"))
+    df = li.select("*", F.col("l_quantity").alias("qty_copy"), F.col("l_tax").alias("tax_copy"),
+                   gap.alias("disc_gap"), gap.alias("disc_gap2"))
+    return prune.find_duplicate_columns(df)
+
+
+def _task_sql(source, schema):
+    p = profile_sql(source, schema)
+    return (f"WITH p AS ({p}) SELECT column_name, CASE WHEN dtype NOT IN "
+            "('tinyint','smallint','int','bigint','float','double') OR n_distinct <= 15 "
+            "THEN 'Classification' ELSE 'Regression' END AS task FROM p")
+
+
+@register("task_of_orders", _task_sql("SELECT * FROM orders", SCHEMAS["orders"]))
+def q_task_of_orders(spark, sf_dir):
+    return tgt.task_of(prof.profile(table(spark, sf_dir, "orders")))
+
+
+@register("infer_problem_lineitem", "WITH p AS (" + profile_sql("SELECT * FROM lineitem", SCHEMAS["lineitem"])
+          + ") SELECT column_name, CASE WHEN dtype NOT IN ('tinyint','smallint','int','bigint','float',"
+          "'double') OR n_distinct <= 15 THEN 'classification' ELSE 'regression' END AS problem_type FROM p")
+def q_infer_problem_lineitem(spark, sf_dir):
+    return tgt.infer_problem(prof.profile(table(spark, sf_dir, "lineitem")))
+
+
+@register("rank_targets_orders", "WITH p AS (" + profile_sql(ORDERS_DERIVED, ORDERS_DERIVED_SCHEMA)
+          + "), w AS (SELECT ordinal, column_name, round(CASE WHEN flags <> '' THEN 0.0 ELSE "
+          "0.5 + 0.3 * (1.0 - null_pct / 100.0) + 0.2 * CASE WHEN dtype IN ('tinyint','smallint',"
+          "'int','bigint','float','double') THEN 1.0 ELSE 0.0 END END, 4) AS weight FROM p) "
+          "SELECT CAST(row_number() OVER (ORDER BY weight DESC, ordinal) AS INTEGER) AS rank, column_name, weight FROM w")
+def q_rank_targets_orders(spark, sf_dir):
+    return tgt.rank_targets(prof.profile(orders_derived(spark, sf_dir)))
+
+
+@register("rank_problem_types_orders", """
+WITH s AS (SELECT CASE WHEN count(DISTINCT o_orderpriority) <= 2 THEN 0.9 ELSE 1.0 END AS c
+           FROM orders)
+SELECT CAST(row_number() OVER (ORDER BY suitability DESC, problem_type) AS INTEGER) AS rank, problem_type, suitability
+FROM (SELECT 'Classification' AS problem_type, CAST(c AS DOUBLE) AS suitability FROM s
+      UNION ALL SELECT 'Regression', CAST(round(1.0 - c, 4) AS DOUBLE) FROM s)""")
+def q_rank_problem_types_orders(spark, sf_dir):
+    return tgt.rank_problem_types(prof.profile(table(spark, sf_dir, "orders")), "o_orderpriority")
+
+
+def _algo_sql(tab: str, task: str, n_features: int) -> str:
+    vals = ", ".join(f"('{a}', '{t}', {b})" for a, t, b in tgt.ALGORITHMS)
+    wide = "true" if n_features > 50 else "false"
+    return f"""
+WITH n AS (SELECT count(*) AS n_rows FROM {tab}),
+c AS (SELECT * FROM (VALUES {vals}) AS v(algorithm, task, base) WHERE task = '{task}'),
+s AS (SELECT algorithm, task, round(base
+        + CASE WHEN n_rows < 1000 AND algorithm IN ('LinearRegression','LogisticRegression','LinearSVC')
+               THEN 0.1 WHEN n_rows < 1000 AND algorithm LIKE 'GBT%' THEN -0.1 ELSE 0.0 END
+        + CASE WHEN algorithm LIKE 'RandomForest%' AND {wide} THEN 0.05 ELSE 0.0 END, 4) AS suitability
+      FROM c, n)
+SELECT CAST(row_number() OVER (ORDER BY suitability DESC, algorithm) AS INTEGER) AS rank, algorithm, task,
+       CAST(suitability AS DOUBLE) AS suitability FROM s"""
+
+
+@register("rank_algorithms_lineitem", _algo_sql("lineitem", "Regression", 10))
+def q_rank_algorithms_lineitem(spark, sf_dir):
+    return tgt.rank_algorithms(table(spark, sf_dir, "lineitem"), "Regression")
+
+
+@register("rank_algorithms_labels", _algo_sql("labels", "Classification", 2))
+def q_rank_algorithms_labels(spark, sf_dir):
+    return tgt.rank_algorithms(table(spark, sf_dir, "labels"), "Classification")
+
+
+@register("task_from_algorithm", """
+SELECT algorithm, CASE WHEN lower(algorithm) LIKE '%classifier%' OR lower(algorithm) LIKE '%classification%'
+  OR lower(algorithm) LIKE '%logistic%' OR lower(algorithm) LIKE '%svc%' THEN 'Classification'
+  ELSE 'Regression' END AS task
+FROM (SELECT DISTINCT 'Pred' || event_type || 'Classifier' AS algorithm FROM events
+      UNION SELECT DISTINCT source || 'Regressor' FROM documents
+      UNION SELECT DISTINCT 'LogisticOn' || lang FROM documents)""")
+def q_task_from_algorithm(spark, sf_dir):
+    e, d = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
+    names = (e.select(F.concat(F.lit("Pred"), "event_type", F.lit("Classifier")).alias("algorithm"))
+             .union(d.select(F.concat("source", F.lit("Regressor"))))
+             .union(d.select(F.concat(F.lit("LogisticOn"), "lang"))).distinct())
+    return names.select("algorithm", tgt.task_from_algorithm(F.col("algorithm")).alias("task"))
+
+
+@register("drop_null_target_events", "SELECT * FROM (" + EVENTS_WITH_NULLS + ") WHERE value IS NOT NULL")
+def q_drop_null_target_events(spark, sf_dir):
+    return tgt.drop_null_target(events_with_nulls(spark, sf_dir), ["value"])
+
+
+@register("cast_target_part", "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS DOUBLE) AS p_size, "
+          "p_retailprice FROM part")
+def q_cast_target_part(spark, sf_dir):
+    return tgt.cast_target(table(spark, sf_dir, "part"), "p_size")
