@@ -233,3 +233,196 @@ def q_drop_null_target_events(spark, sf_dir):
           "p_retailprice FROM part")
 def q_cast_target_part(spark, sf_dir):
     return tgt.cast_target(table(spark, sf_dir, "part"), "p_size")
+
+
+# ------------------------------------------------------------- text cleaning (X)
+
+from tabsmith import fixed  # noqa: E402
+from tabsmith.functions import text as tx  # noqa: E402
+from tabsmith.operators import text as txt  # noqa: E402
+
+LINEITEM_TEXT = ("SELECT l_orderkey, l_linenumber, "
+                 "CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ',000 kms' AS dist_txt, "
+                 "CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || '%' AS disc_txt, "
+                 "'$' || CAST(CAST(l_partkey AS BIGINT) AS VARCHAR) || '.' "
+                 "|| CAST(l_linenumber AS VARCHAR) AS price_txt, "
+                 "CASE WHEN l_linenumber = 1 THEN '$' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) "
+                 "ELSE l_returnflag END AS half_txt, l_returnflag FROM lineitem")
+FMT_COLS = ["dist_txt", "disc_txt", "price_txt", "half_txt", "l_returnflag"]
+
+
+def lineitem_text(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    return li.select(
+        "l_orderkey", "l_linenumber", F.concat(qty, F.lit(",000 kms")).alias("dist_txt"),
+        F.concat(F.round(F.col("l_discount") * 100).cast("bigint").cast("string"), F.lit("%")).alias("disc_txt"),
+        F.concat(F.lit("$"), F.col("l_partkey").cast("string"), F.lit("."),
+                 F.col("l_linenumber").cast("string")).alias("price_txt"),
+        F.when(F.col("l_linenumber") == 1, F.concat(F.lit("$"), qty))
+         .otherwise(F.col("l_returnflag")).alias("half_txt"), "l_returnflag")
+
+
+def _fmt_stats_sql(source, cols):
+    pat = fixed.FORMATTED_PATTERN
+    parts = [f"SELECT '{c}' AS column_name, count({c}) AS n_nonnull, "
+             f"count(*) FILTER (WHERE {c} IS NOT NULL AND regexp_matches(trim({c}), '{pat}')) AS n_match, "
+             f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST(regexp_replace({c}, '[^0-9.]', '', 'g') "
+             f"AS DOUBLE) IS NULL) AS n_fail FROM src" for c in cols]
+    return (f"WITH src AS ({source}), s AS ({' UNION ALL '.join(parts)}) "
+            "SELECT *, (n_match / n_nonnull >= 0.5 AND n_fail / n_nonnull <= 0.5 AND n_nonnull > 0) "
+            "AS converted FROM s")
+
+
+@register("formatted_fit_lineitem", _fmt_stats_sql(LINEITEM_TEXT, FMT_COLS))
+def q_formatted_fit_lineitem(spark, sf_dir):
+    return txt.fit_formatted(lineitem_text(spark, sf_dir), FMT_COLS)
+
+
+@register("formatted_apply_lineitem", f"""
+WITH src AS ({LINEITEM_TEXT})
+SELECT l_orderkey, l_linenumber,
+  TRY_CAST(regexp_replace(dist_txt, '[^0-9.]', '', 'g') AS DOUBLE) AS dist_txt,
+  TRY_CAST(regexp_replace(disc_txt, '[^0-9.]', '', 'g') AS DOUBLE) AS disc_txt,
+  TRY_CAST(regexp_replace(price_txt, '[^0-9.]', '', 'g') AS DOUBLE) AS price_txt,
+  half_txt, l_returnflag FROM src""")
+def q_formatted_apply_lineitem(spark, sf_dir):
+    df = lineitem_text(spark, sf_dir)
+    plan = txt.fit_text(df, exclude=["l_returnflag"])
+    return txt.apply_text(df, plan)
+
+
+@register("truncate_words_documents", """
+WITH w AS (SELECT avg(CASE WHEN trim(text) = '' THEN 0 ELSE len(string_split_regex(trim(text), '\\s+')) END) AS t,
+                  avg(CASE WHEN trim(source) = '' THEN 0 ELSE len(string_split_regex(trim(source), '\\s+')) END) AS s
+           FROM documents)
+SELECT doc_id,
+  CASE WHEN w.t > 3 THEN array_to_string(list_slice(string_split_regex(trim(text), '\\s+'), 1, 2), ' ') ELSE text END AS text,
+  lang,
+  CASE WHEN w.s > 3 THEN array_to_string(list_slice(string_split_regex(trim(source), '\\s+'), 1, 2), ' ') ELSE source END AS source,
+  n_chars
+FROM documents, w""")
+def q_truncate_words_documents(spark, sf_dir):
+    return txt.truncate_words(table(spark, sf_dir, "documents"), ["text", "source"])
+
+
+ORDERS_BOOL = ("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'Yes' ELSE 'No' END AS is_urgent, "
+               "CASE WHEN o_orderstatus = 'F' THEN ' Y' ELSE 'n' END AS filled, o_orderstatus FROM orders")
+
+
+@register("boolean_words_orders", f"""
+WITH src AS ({ORDERS_BOOL})
+SELECT o_orderkey,
+  CASE WHEN lower(trim(is_urgent)) IN ('yes','y') THEN 1 WHEN lower(trim(is_urgent)) IN ('no','n') THEN 0 END AS is_urgent,
+  CASE WHEN lower(trim(filled)) IN ('yes','y') THEN 1 WHEN lower(trim(filled)) IN ('no','n') THEN 0 END AS filled,
+  o_orderstatus FROM src""")
+def q_boolean_words_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    df = o.select("o_orderkey",
+                  F.when(F.col("o_orderpriority") == "1-URGENT", "Yes").otherwise("No").alias("is_urgent"),
+                  F.when(F.col("o_orderstatus") == "F", " Y").otherwise("n").alias("filled"),
+                  "o_orderstatus")
+    return txt.map_boolean_words(df, ["is_urgent", "filled", "o_orderstatus"])
+
+
+WS = "'^\\s+|\\s+$', '', 'g'"
+
+
+@register("strip_code_fences_conversations", f"""
+SELECT conv_id, turn,
+  coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, {WS}),
+    '^```[a-zA-Z0-9]*\\n', ''), '\\n```$', ''), {WS}), '') AS plain,
+  coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace('```' || role || chr(10) || text || chr(10) || '```', {WS}),
+    '^```[a-zA-Z0-9]*\\n', ''), '\\n```$', ''), {WS}), '') AS fenced
+FROM conversations""")
+def q_strip_code_fences_conversations(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    fenced = F.concat(F.lit("```"), "role", F.lit("\n"), "text", F.lit("\n```"))
+    return c.select("conv_id", "turn", tx.strip_code_fences(F.col("text")).alias("plain"),
+                    tx.strip_code_fences(fenced).alias("fenced"))
+
+
+@register("safe_name_pages", """
+SELECT page_id, regexp_replace(url, '[^\\p{L}\\p{N}_-]', '', 'g') AS safe_url FROM pages
+UNION ALL SELECT doc_id, regexp_replace(source || ' ' || lang || '/é#', '[^\\p{L}\\p{N}_-]', '', 'g') FROM documents""")
+def q_safe_name_pages(spark, sf_dir):
+    p, d = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    return (p.select("page_id", tx.safe_name(F.col("url")).alias("safe_url"))
+            .union(d.select("doc_id", tx.safe_name(F.concat_ws(" ", "source", F.concat("lang", F.lit("/é#")))))))
+
+
+def conversation_lines(spark, sf_dir) -> DataFrame:
+    """Conversations as a log table: one row per text line, whole texts."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+
+
+CONV_LINES = ("SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, s[i] AS line FROM "
+              "(SELECT conv_id, turn, string_split(text, chr(10)) AS s FROM conversations), "
+              "LATERAL (SELECT unnest(generate_series(1, len(s))) AS i)")
+
+
+@register("clean_log_lines_conversations", f"""
+WITH l AS ({CONV_LINES})
+SELECT conv_id, turn, pos, regexp_replace(regexp_replace(regexp_replace(regexp_replace('[2026-06-20 18:27:05] - ' || line || ' :',
+  '{fixed.LOG_TIMESTAMP_PATTERN}', '', 'g'), {WS}), '^[:\\-\\s]+|[:\\-\\s]+$', '', 'g'), {WS}) AS line
+FROM l""")
+def q_clean_log_lines_conversations(spark, sf_dir):
+    l = conversation_lines(spark, sf_dir)
+    raw = F.concat(F.lit("[2026-06-20 18:27:05] - "), "line", F.lit(" :"))
+    return l.select("conv_id", "turn", "pos", tx.clean_log_line(raw).alias("line"))
+
+
+# ------------------------------------------------------------------- dates (C)
+
+from tabsmith.operators import dates as dt  # noqa: E402
+
+
+@register("date_parts_orders", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year,
+  CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month, CAST(day(o_orderdate) AS INTEGER) AS o_orderdate_day, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS o_orderdate_dayofweek
+FROM orders""")
+def q_date_parts_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return dt.date_parts(o, dt.find_dates(o))
+
+
+ORDERS_DATES = ("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y/%m/%d') "
+                "WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%m/%d/%Y') "
+                "WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'n/a' "
+                "ELSE strftime(o_orderdate, '%Y-%m-%d') END AS ship_date, "
+                "o_orderpriority AS priority_time FROM orders")
+
+
+@register("parse_dates_orders", f"""
+WITH src AS ({ORDERS_DATES}),
+p AS (SELECT o_orderkey, coalesce(try_strptime(ship_date, '%Y-%m-%d %H:%M:%S'), try_strptime(ship_date, '%Y-%m-%d'),
+        try_strptime(ship_date, '%Y/%m/%d'), try_strptime(ship_date, '%m/%d/%Y')) AS d, priority_time FROM src)
+SELECT o_orderkey, CAST(year(d) AS INTEGER) AS ship_date_year, CAST(month(d) AS INTEGER) AS ship_date_month,
+  CAST(day(d) AS INTEGER) AS ship_date_day,
+  CAST(isodow(d) - 1 AS INTEGER) AS ship_date_dayofweek, priority_time FROM p WHERE d IS NOT NULL""")
+def q_parse_dates_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    d = o.select("o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT",
+                                      F.date_format("o_orderdate", "yyyy/MM/dd"))
+                 .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "MM/dd/yyyy"))
+                 .when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"), F.lit("n/a"))
+                 .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("ship_date"),
+                 F.col("o_orderpriority").alias("priority_time"))
+    return dt.date_parts(d, dt.find_dates(d))
+
+
+@register("date_share_orders", f"""
+WITH src AS ({ORDERS_DATES})
+SELECT 'ship_date' AS column_name, count(ship_date) AS n_nonnull,
+  count(coalesce(try_strptime(ship_date, '%Y-%m-%d'), try_strptime(ship_date, '%Y/%m/%d'),
+                 try_strptime(ship_date, '%m/%d/%Y'))) AS n_parsed FROM src
+UNION ALL SELECT 'priority_time', count(priority_time), 0 FROM src""")
+def q_date_share_orders(spark, sf_dir):
+    d = (table(spark, sf_dir, "orders")
+         .select(F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "yyyy/MM/dd"))
+                 .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "MM/dd/yyyy"))
+                 .when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"), F.lit("n/a"))
+                 .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("ship_date"),
+                 F.col("o_orderpriority").alias("priority_time")))
+    return dt.parse_share(d, ["ship_date", "priority_time"])
