@@ -426,3 +426,201 @@ def q_date_share_orders(spark, sf_dir):
                  .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("ship_date"),
                  F.col("o_orderpriority").alias("priority_time")))
     return dt.parse_share(d, ["ship_date", "priority_time"])
+
+
+# --------------------------------------------------------- fill (I), capping (O)
+
+from tabsmith.operators import impute, outliers  # noqa: E402
+
+LINEITEM_NULLS = ("SELECT l_orderkey, l_linenumber, "
+                  "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS qty, "
+                  "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS price, "
+                  "CASE WHEN l_linenumber >= 6 THEN NULL ELSE l_returnflag END AS flag, "
+                  "l_linestatus FROM lineitem")
+
+
+def lineitem_nulls(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity")).alias("qty"),
+                     F.when(F.col("l_returnflag") == "R", None).otherwise(F.col("l_extendedprice")).alias("price"),
+                     F.when(F.col("l_linenumber") >= 6, None).otherwise(F.col("l_returnflag")).alias("flag"),
+                     "l_linestatus")
+
+
+def _fill_sql(source, num_cols, cat_cols, keep):
+    nums = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CASE WHEN skewness({c}) > 1 THEN 'median' ELSE 'mean' END AS method, "
+        f"round(CASE WHEN skewness({c}) > 1 THEN quantile_cont({c}, 0.5) ELSE avg({c}) END, 4) AS fill FROM src"
+        for c in num_cols)
+    return f"WITH src AS ({source}) SELECT column_name, method, fill FROM ({nums})"
+
+
+def _fill_frame(plan: impute.FillPlan, spark) -> DataFrame:
+    rows = [(c, m, round(float(v), 4) if v is not None else None) for c, (v, m) in plan.numeric.items()]
+    return spark.createDataFrame(rows, "column_name string, method string, fill double")
+
+
+@register("fill_values_events", _fill_sql(EVENTS_WITH_NULLS, ["value", "user_id", "event_id"], [], []))
+def q_fill_values_events(spark, sf_dir):
+    df = events_with_nulls(spark, sf_dir)
+    return _fill_frame(impute.fit_numeric_fill(df, ["value", "user_id", "event_id"]), spark)
+
+
+@register("fill_values_documents", _fill_sql(
+    "SELECT doc_id, CASE WHEN lang = 'en' THEN NULL ELSE n_chars END AS n_chars FROM documents",
+    ["n_chars", "doc_id"], [], []))
+def q_fill_values_documents(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    df = d.select("doc_id", F.when(F.col("lang") == "en", None).otherwise(F.col("n_chars")).alias("n_chars"))
+    return _fill_frame(impute.fit_numeric_fill(df, ["n_chars", "doc_id"]), spark)
+
+
+def _mode_sql(source, col):
+    return (f"SELECT '{col}' AS column_name, coalesce((SELECT v FROM (SELECT {col} AS v, count(*) AS n FROM "
+            f"({source}) WHERE {col} IS NOT NULL GROUP BY 1) ORDER BY n DESC, v LIMIT 1), 'Unknown') AS mode")
+
+
+@register("mode_fill_lineitem", _mode_sql(LINEITEM_NULLS, "flag") + " UNION ALL "
+          + _mode_sql(LINEITEM_NULLS, "l_linestatus") + " UNION ALL "
+          + _mode_sql("SELECT CAST(NULL AS VARCHAR) AS empty_col", "empty_col"))
+def q_mode_fill_lineitem(spark, sf_dir):
+    df = lineitem_nulls(spark, sf_dir).withColumn("empty_col", F.lit(None).cast("string"))
+    return impute.mode_table(df, ["flag", "l_linestatus", "empty_col"])
+
+
+@register("fill_apply_lineitem", f"""
+WITH src AS ({LINEITEM_NULLS}),
+s AS (SELECT CASE WHEN skewness(qty) > 1 THEN median(qty) ELSE avg(qty) END AS fq,
+             CASE WHEN skewness(price) > 1 THEN median(price) ELSE avg(price) END AS fp,
+             CASE WHEN skewness(l_orderkey) > 1 THEN median(l_orderkey) ELSE avg(l_orderkey) END AS fo FROM src),
+m AS (SELECT flag AS mf FROM src WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1)
+SELECT l_orderkey, l_linenumber, round(coalesce(qty, fq), 4) AS qty, round(coalesce(price, fp), 4) AS price,
+       coalesce(flag, mf) AS flag, l_linestatus FROM src, s, m""")
+def q_fill_apply_lineitem(spark, sf_dir):
+    df = lineitem_nulls(spark, sf_dir)
+    plan = impute.fit_fill(df)
+    out = impute.apply_fill(df, plan)
+    return out.select("l_orderkey", "l_linenumber", F.round("qty", 4).alias("qty"),
+                      F.round("price", 4).alias("price"), "flag", "l_linestatus")
+
+
+def _iqr_sql(source, cols):
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, "
+        f"count(DISTINCT {c}) AS nd FROM src" for c in cols)
+    return (f"WITH src AS ({source}), q AS ({parts}) SELECT column_name, round(q1, 4) AS q1, round(q3, 4) AS q3, "
+            "round(q1 - 1.5 * (q3 - q1), 4) AS lo, round(q3 + 1.5 * (q3 - q1), 4) AS hi FROM q "
+            "WHERE nd > 2 AND q3 - q1 <> 0")
+
+
+def _round_all(df: DataFrame, digits: int = 4) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+EVENTS_NUM = "SELECT event_id, user_id, value, CAST(value > 10 AS INTEGER) AS big FROM events"
+
+
+@register("iqr_bounds_events", _iqr_sql(EVENTS_NUM, ["event_id", "user_id", "value", "big"]))
+def q_iqr_bounds_events(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value",
+                                             (F.col("value") > 10).cast("int").alias("big"))
+    return _round_all(outliers.iqr_table(e, ["event_id", "user_id", "value", "big"]))
+
+
+@register("iqr_bounds_lineitem", _iqr_sql("SELECT * FROM lineitem",
+                                          ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+def q_iqr_bounds_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return _round_all(outliers.iqr_table(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+
+
+@register("clip_events", f"""
+WITH src AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events),
+q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM src)
+SELECT event_id, round(CASE WHEN value IS NULL THEN NULL ELSE greatest(least(value, q3 + 1.5 * (q3 - q1)),
+       q1 - 1.5 * (q3 - q1)) END, 4) AS value FROM src, q""")
+def q_clip_events(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", None).otherwise(F.col("value")).alias("value"))
+    return _round_all(outliers.clip(e, outliers.fit_iqr(e, ["value"])))
+
+
+# --------------------------------------------------------------- encoding (E)
+
+from tabsmith.operators import encode as enc  # noqa: E402
+
+STATUS = ("F", "O", "P")
+PRIORITY = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@register("one_hot_orders", "SELECT o_orderkey, o_totalprice, "
+          + ", ".join(f"CAST(o_orderstatus IS NOT DISTINCT FROM '{v}' AS INTEGER) AS \"o_orderstatus_{v}\""
+                      for v in STATUS) + ", "
+          + ", ".join(f"CAST(o_orderpriority IS NOT DISTINCT FROM '{v}' AS INTEGER) AS \"o_orderpriority_{v}\""
+                      for v in PRIORITY) + " FROM orders")
+def q_one_hot_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return enc.one_hot(o, enc.fit_levels(o, ["o_orderstatus", "o_orderpriority"]))
+
+
+@register("label_codes_part", """
+SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT p_name FROM part)
+UNION ALL
+SELECT 'p_brand', p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) FROM (SELECT DISTINCT p_brand FROM part)""")
+def q_label_codes_part(spark, sf_dir):
+    return enc.label_codes(table(spark, sf_dir, "part"), ["p_name", "p_brand"])
+
+
+@register("label_codes_customer", """
+SELECT 'c_name' AS column_name, c_name AS label, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT c_name FROM customer)""")
+def q_label_codes_customer(spark, sf_dir):
+    return enc.label_codes(table(spark, sf_dir, "customer"), ["c_name"])
+
+
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+@register("encode_part", """
+WITH n AS (SELECT p_name AS l, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS c FROM (SELECT DISTINCT p_name FROM part)),
+b AS (SELECT p_brand AS l, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS c FROM (SELECT DISTINCT p_brand FROM part))
+SELECT p_partkey, n.c AS p_name, b.c AS p_brand, p_size, p_retailprice, """
+          + ", ".join(f"CAST(p_type IS NOT DISTINCT FROM '{v}' AS INTEGER) AS \"p_type_{v}\"" for v in PART_TYPES)
+          + " FROM part JOIN n ON part.p_name = n.l JOIN b ON part.p_brand = b.l")
+def q_encode_part(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    plan = enc.fit_encoding(p)
+    return enc.apply_encoding(p, plan)
+
+
+@register("encode_target_orders", """
+SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS o_orderstatus FROM orders""")
+def q_encode_target_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return tgt.encode_target(o, "o_orderstatus")[0]
+
+
+@register("decode_orders", """
+WITH m AS (SELECT o_orderpriority AS label, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS code
+           FROM (SELECT DISTINCT o_orderpriority FROM orders)),
+e AS (SELECT o_orderkey, m.code AS y, (m.code + 1) % 6 + 0.7 AS p FROM orders JOIN m ON orders.o_orderpriority = m.label)
+SELECT o_orderkey, coalesce(my.label, 'Unknown') AS y, coalesce(mp.label, 'Unknown') AS p
+FROM e LEFT JOIN m my ON CAST(trunc(e.y) AS INTEGER) = my.code LEFT JOIN m mp ON CAST(trunc(e.p) AS INTEGER) = mp.code""")
+def q_decode_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    coded, mapping, n = tgt.encode_target(o, "o_orderpriority")
+    scored = coded.select("o_orderkey", F.col("o_orderpriority").alias("y"),
+                          ((F.col("o_orderpriority") + 1) % 6 + 0.7).alias("p"))
+    return enc.decode(scored, mapping, {"y": "o_orderpriority", "p": "o_orderpriority"},
+                      counts={"o_orderpriority": n})
+
+
+@register("bool_to_int_lineitem", "SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS returned, "
+          "CAST(l_discount > 0.05 AS INTEGER) AS discounted FROM lineitem")
+def q_bool_to_int_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+                                                (F.col("l_returnflag") == "R").alias("returned"),
+                                                (F.col("l_discount") > 0.05).alias("discounted"))
+    return enc.bool_to_int(li)

@@ -30,6 +30,13 @@ def cast_target(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn(target, F.col(f"`{target}`").cast("double"))
 
 
+def encode_target(df: DataFrame, target: str):
+    """A text target becomes sorted label codes; returns (frame, mapping, class count)."""
+    from tabsmith.operators.encode import apply_labels, label_codes_counted
+    mapping, counts = label_codes_counted(df, [target])
+    return apply_labels(df, mapping, [target], counts), mapping, counts[target]
+
+
 def infer_problem(profile: DataFrame) -> DataFrame:
     """T4: per column, 'classification' for text or few values, else 'regression'."""
     cls = (~_is_numeric_dtype(F.col("dtype"))) | (F.col("n_distinct") <= fixed.CLASS_MAX_DISTINCT)
