@@ -624,3 +624,290 @@ def q_bool_to_int_lineitem(spark, sf_dir):
                                                 (F.col("l_returnflag") == "R").alias("returned"),
                                                 (F.col("l_discount") > 0.05).alias("discounted"))
     return enc.bool_to_int(li)
+
+
+# ------------------------------------------------ audit (V, A) and split (F)
+
+from tabsmith.operators import audit as aud, split as spl  # noqa: E402
+
+
+@register("contract_lineitem_nulls", f"""
+WITH src AS ({LINEITEM_NULLS})
+SELECT 'no_nulls' AS "check", sum(CASE WHEN qty IS NULL THEN 1 ELSE 0 END + CASE WHEN price IS NULL THEN 1 ELSE 0 END
+  + CASE WHEN flag IS NULL THEN 1 ELSE 0 END) = 0 AS passed,
+  CAST(sum(CASE WHEN qty IS NULL THEN 1 ELSE 0 END + CASE WHEN price IS NULL THEN 1 ELSE 0 END
+  + CASE WHEN flag IS NULL THEN 1 ELSE 0 END) AS VARCHAR) AS detail FROM src
+UNION ALL SELECT 'not_empty', count(*) > 0, CAST(count(*) AS VARCHAR) FROM src
+UNION ALL SELECT 'all_numeric', false, 'flag,l_linestatus'
+UNION ALL SELECT 'target_present', true, ''
+UNION ALL SELECT 'target_numeric', true, ''""")
+def q_contract_lineitem_nulls(spark, sf_dir):
+    return aud.contract(lineitem_nulls(spark, sf_dir), ["price"])
+
+
+@register("contract_lineitem_numeric", """
+SELECT 'no_nulls' AS "check", true AS passed, '0' AS detail
+UNION ALL SELECT 'not_empty', count(*) > 0, CAST(count(*) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'all_numeric', true, ''
+UNION ALL SELECT 'target_present', false, 'missing_target'
+UNION ALL SELECT 'target_numeric', true, ''""")
+def q_contract_lineitem_numeric(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount")
+    return aud.contract(li, ["l_extendedprice", "missing_target"])
+
+
+@register("audit_flaws_lineitem", f"""
+WITH src AS ({LINEITEM_NULLS})
+SELECT * FROM (
+  SELECT 'flag' AS column_name, 'text' AS flaw, CAST(NULL AS BIGINT) AS n
+  UNION ALL SELECT 'l_linestatus', 'text', NULL
+  UNION ALL SELECT 'qty', 'nulls', count(*) - count(qty) FROM src
+  UNION ALL SELECT 'price', 'nulls', count(*) - count(price) FROM src
+  UNION ALL SELECT 'flag', 'nulls', count(*) - count(flag) FROM src
+  UNION ALL SELECT 'date_txt', 'nulls', count(*) FROM src
+  UNION ALL SELECT 'date_txt', 'date', NULL) WHERE n IS NULL OR n > 0""")
+def q_audit_flaws_lineitem(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem")
+    clean = lineitem_nulls(spark, sf_dir).withColumn("date_txt", F.lit(None).cast("date"))
+    return aud.audit(raw, clean)
+
+
+@register("audit_passed_lineitem", "SELECT false AS passed, CAST(7 AS BIGINT) AS n_flaws")
+def q_audit_passed_lineitem(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem")
+    clean = lineitem_nulls(spark, sf_dir).withColumn("date_txt", F.lit(None).cast("date"))
+    return aud.audit_passed(aud.audit(raw, clean))
+
+
+@register("audit_passed_clean", "SELECT true AS passed, CAST(0 AS BIGINT) AS n_flaws FROM lineitem LIMIT 1")
+def q_audit_passed_clean(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    clean = li.select("l_quantity", "l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("r"))
+    return aud.audit_passed(aud.audit(li, clean))
+
+
+@register("split_orders", """
+WITH h AS (SELECT o_orderkey, md5('42|' || CAST(o_orderkey AS VARCHAR)) AS h FROM orders),
+c AS (SELECT count(*) AS n FROM h)
+SELECT o_orderkey, row_number() OVER (ORDER BY h) <= ceil(0.2 * n) AS is_test FROM h, c""")
+def q_split_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return spl.split_flags(o, "o_orderkey")
+
+
+@register("split_sizes_lineitem", """
+WITH h AS (SELECT md5('42|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)) AS h FROM lineitem),
+c AS (SELECT count(*) AS n FROM h),
+r AS (SELECT row_number() OVER (ORDER BY h) <= ceil(0.2 * n) AS t FROM h, c)
+SELECT count(*) FILTER (WHERE NOT t) AS n_train, count(*) FILTER (WHERE t) AS n_test FROM r""")
+def q_split_sizes_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    train, test = spl.split(li, ["l_orderkey", "l_linenumber"])
+    return train.agg(F.count(F.lit(1)).alias("n_train")).join(
+        test.agg(F.count(F.lit(1)).alias("n_test")), how="inner")
+
+
+@register("split_tiny_region", "SELECT r_regionkey, r_name, true AS is_test FROM region WHERE false "
+          "UNION ALL SELECT r_regionkey, r_name, CASE WHEN (SELECT count(*) FROM region) < 5 THEN true ELSE "
+          "row_number() OVER (ORDER BY md5('42|' || CAST(r_regionkey AS VARCHAR))) <= ceil(0.2 * (SELECT count(*) FROM region)) END FROM region")
+def q_split_tiny_region(spark, sf_dir):
+    return spl.split_flags(table(spark, sf_dir, "region"), "r_regionkey")
+
+
+@register("features_lineitem", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, "
+          "l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem")
+def q_features_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*spl.features(li, ["l_extendedprice"]))
+
+
+@register("display_columns_lineitem", "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem")
+def q_display_columns_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    shown = spl.display_columns(li.columns, ["l_extendedprice"])
+    return li.select(*shown, "l_extendedprice")
+
+
+# -------------------------------------------- metrics (K), limits (M3/M5), verdict (Q)
+
+from tabsmith.operators import metrics as met, verdict as ver  # noqa: E402
+
+DOC_LABELS = ("SELECT d.doc_id, l.quality, CASE WHEN d.n_chars > 2000 THEN 1 ELSE 0 END AS pred "
+              "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+ORDERS_PRED = ("SELECT o_orderkey, o_orderstatus AS y, CASE WHEN o_totalprice > 400000 THEN 'X' "
+               "WHEN o_totalprice > 200000 THEN 'O' ELSE 'F' END AS p FROM orders")
+LINEITEM_PRED = "SELECT l_extendedprice AS y, l_quantity * 950.0 + 1000.0 AS p FROM lineitem"
+LINEITEM_BAD = "SELECT l_extendedprice AS y, 100000.0 - l_quantity * 500.0 AS p FROM lineitem"
+
+
+def doc_labels(spark, sf_dir):
+    d, l = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return d.join(l, "doc_id").select("doc_id", "quality",
+                                      F.when(F.col("n_chars") > 2000, 1).otherwise(0).alias("pred"))
+
+
+def orders_pred(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.col("o_orderstatus").alias("y"),
+                    F.when(F.col("o_totalprice") > 400000, "X").when(F.col("o_totalprice") > 200000, "O")
+                     .otherwise("F").alias("p"))
+
+
+def lineitem_pred(spark, sf_dir, bad=False):
+    li = table(spark, sf_dir, "lineitem")
+    p = (F.lit(100000.0) - F.col("l_quantity") * 500.0) if bad else (F.col("l_quantity") * 950.0 + 1000.0)
+    return li.select(F.col("l_extendedprice").alias("y"), p.alias("p"))
+
+
+def _cls_sql(source):
+    return f"""
+WITH src AS ({source}),
+conf AS (SELECT y, p, count(*) AS n FROM src GROUP BY y, p),
+s AS (SELECT y AS c, sum(n) AS support FROM conf GROUP BY y),
+pr AS (SELECT p AS c, sum(n) AS predicted FROM conf GROUP BY p),
+t AS (SELECT y AS c, n AS tp FROM conf WHERE y = p),
+per AS (SELECT s.c, support, coalesce(predicted, 0) AS predicted, coalesce(tp, 0) AS tp FROM s
+        LEFT JOIN pr ON s.c = pr.c LEFT JOIN t ON s.c = t.c),
+m AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pc, tp / support AS rc FROM per)
+SELECT round(sum(tp) / sum(support), 4) AS accuracy, round(sum(pc * support) / sum(support), 4) AS precision,
+  round(sum(rc * support) / sum(support), 4) AS recall,
+  round(sum(CASE WHEN pc + rc > 0 THEN 2 * pc * rc / (pc + rc) ELSE 0.0 END * support) / sum(support), 4) AS f1,
+  count(*) AS n_classes FROM m"""
+
+
+def _reg_sql(source):
+    return f"""
+WITH src AS ({source}),
+a AS (SELECT avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae, sum((y - p) * (y - p)) AS sse,
+             var_pop(y) * count(y) AS sst FROM src)
+SELECT round(mse, 4) AS mse, round(mae, 4) AS mae,
+  round(CASE WHEN sst > 0 THEN 1 - sse / sst WHEN sse = 0 THEN 1.0 ELSE 0.0 END, 4) AS r2 FROM a"""
+
+
+def _round4(df):
+    return df.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("classification_metrics_labels",
+          _cls_sql(DOC_LABELS.replace("l.quality,", "l.quality AS y,").replace("AS pred", "AS p")))
+def q_classification_metrics_labels(spark, sf_dir):
+    return _round4(met.classification_metrics(doc_labels(spark, sf_dir), "quality", "pred"))
+
+
+@register("classification_metrics_orders", _cls_sql(ORDERS_PRED))
+def q_classification_metrics_orders(spark, sf_dir):
+    return _round4(met.classification_metrics(orders_pred(spark, sf_dir), "y", "p"))
+
+
+@register("regression_metrics_lineitem", _reg_sql(LINEITEM_PRED))
+def q_regression_metrics_lineitem(spark, sf_dir):
+    return _round4(met.regression_metrics(lineitem_pred(spark, sf_dir), "y", "p"))
+
+
+@register("regression_metrics_negative_r2", _reg_sql(LINEITEM_BAD))
+def q_regression_metrics_negative_r2(spark, sf_dir):
+    return _round4(met.regression_metrics(lineitem_pred(spark, sf_dir, bad=True), "y", "p"))
+
+
+@register("target_limits_lineitem", """
+SELECT 'l_extendedprice' AS target, min(l_extendedprice) AS min, max(l_extendedprice) AS max FROM lineitem
+UNION ALL SELECT 'l_quantity', min(l_quantity), max(l_quantity) FROM lineitem""")
+def q_target_limits_lineitem(spark, sf_dir):
+    return met.target_limits(table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"])
+
+
+@register("clip_predictions_lineitem", """
+WITH lim AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+  round(greatest(least(l_quantity * 2500.0 - 20000.0, hi), lo), 4) AS Pred_l_extendedprice,
+  CAST(l_linenumber % 3 AS INTEGER) AS Pred_l_linenumber FROM lineitem, lim""")
+def q_clip_predictions_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    lim = {r["target"]: (r["min"], r["max"]) for r in met.target_limits(li, ["l_extendedprice"]).collect()}
+    scored = li.select("l_orderkey", "l_linenumber", "l_extendedprice",
+                       (F.col("l_quantity") * 2500.0 - 20000.0).alias("Pred_l_extendedprice"),
+                       (F.col("l_linenumber") % 3).alias("Pred_l_linenumber"))
+    out = met.clip_predictions(scored, lim, {"l_extendedprice": "Regression", "l_linenumber": "Classification"})
+    return out.withColumn("Pred_l_extendedprice", F.round("Pred_l_extendedprice", 4))
+
+
+def _metric_rows(spark, sf_dir):
+    a = met.metrics_long(doc_labels(spark, sf_dir), "quality", "Classification", "pred")
+    b = met.metrics_long(orders_pred(spark, sf_dir), "y", "Classification", "p")
+    c = met.metrics_long(lineitem_pred(spark, sf_dir), "y", "Regression", "p").withColumn("target", F.lit("price"))
+    d = met.metrics_long(lineitem_pred(spark, sf_dir, True), "y", "Regression", "p").withColumn(
+        "target", F.lit("price_bad"))
+    return a.unionByName(b).unionByName(c).unionByName(d)
+
+
+def _metric_rows_sql():
+    def cls_long(src, target):
+        return (f"SELECT '{target}' AS target, 'Classification' AS task, n_classes, m.metric, m.value FROM "
+                f"({_cls_sql(src)}) x, LATERAL (SELECT unnest(['accuracy','precision','recall','f1']) AS metric, "
+                "unnest([accuracy, precision, recall, f1]) AS value) m")
+
+    def reg_long(src, target):
+        return (f"SELECT '{target}' AS target, 'Regression' AS task, CAST(NULL AS BIGINT) AS n_classes, m.metric, "
+                f"m.value FROM ({_reg_sql(src)}) x, LATERAL (SELECT unnest(['mse','mae','r2']) AS metric, "
+                "unnest([mse, mae, r2]) AS value) m")
+    return " UNION ALL ".join([
+        cls_long(DOC_LABELS.replace("l.quality,", "l.quality AS y,").replace("AS pred", "AS p"), "quality"),
+        cls_long(ORDERS_PRED, "y"), reg_long(LINEITEM_PRED, "price"), reg_long(LINEITEM_BAD, "price_bad")])
+
+
+@register("metric_rows", _metric_rows_sql())
+def q_metric_rows(spark, sf_dir):
+    return _metric_rows(spark, sf_dir)
+
+
+VERDICT_SQL = f"""
+WITH m AS ({_metric_rows_sql()}),
+per AS (SELECT target, task, max(CASE WHEN metric = 'accuracy' THEN value END) AS acc,
+          max(CASE WHEN metric = 'r2' THEN value END) AS r2, max(n_classes) AS k,
+          string_agg(metric || '=' || printf('%.4f', value), ', ' ORDER BY metric) AS metrics
+        FROM m GROUP BY target, task)
+SELECT target, task, round(CASE WHEN task = 'Classification' THEN acc ELSE greatest(r2, 0.0) END, 4) AS rating,
+  coalesce(CASE WHEN task = 'Classification' THEN acc >= CASE WHEN k <= 2 THEN 0.55 ELSE 0.45 END
+           ELSE r2 > 0 END, false) AS passed, metrics FROM per"""
+
+
+@register("verdict_targets", VERDICT_SQL)
+def q_verdict_targets(spark, sf_dir):
+    return ver.verdict(_metric_rows(spark, sf_dir))
+
+
+@register("verdict_overall", f"SELECT coalesce(bool_and(passed), false) AS sane, count(*) AS n_targets FROM ({VERDICT_SQL})")
+def q_verdict_overall(spark, sf_dir):
+    return ver.overall(ver.verdict(_metric_rows(spark, sf_dir)))
+
+
+@register("prediction_checks_lineitem", """
+WITH src AS (SELECT l_quantity * 950.0 + 1000.0 AS p FROM lineitem),
+lim AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
+SELECT min(p) < max(p) AS varies, count(*) FILTER (WHERE p < lo OR p > hi) AS n_outside,
+  count(*) FILTER (WHERE p < lo OR p > hi) = 0 AS inside FROM src, lim""")
+def q_prediction_checks_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    lim = met.target_limits(li, ["l_extendedprice"]).first()
+    p = li.select((F.col("l_quantity") * 950.0 + 1000.0).alias("p"))
+    return ver.collapse_check(p, "p").join(ver.domain_check(p, "p", lim["min"], lim["max"]), how="inner")
+
+
+@register("scorecard_lineitem", f"""
+WITH m AS ({_reg_sql(LINEITEM_PRED)}),
+l AS (SELECT 0 AS g, 0 AS p, '{fixed.SCORECARD_START}' AS line
+  UNION ALL SELECT 0, 1, '{fixed.SCORECARD_HEADER}'
+  UNION ALL SELECT 0, 2, 'Task Strategy: Regression'
+  UNION ALL SELECT 0, 3, 'Selected Framework: LinearRegression'
+  UNION ALL SELECT 0, 4, 'Target Variables: ["y"]'
+  UNION ALL SELECT 0, 5, ''
+  UNION ALL SELECT 1, 0, 'Target: y (Regression)'
+  UNION ALL SELECT 1, 5, 'Mean Squared Error (MSE): ' || printf('%.4f', mse) FROM m
+  UNION ALL SELECT 1, 6, 'Mean Absolute Error (MAE): ' || printf('%.4f', mae) FROM m
+  UNION ALL SELECT 1, 7, 'R-squared (R2) Score: ' || printf('%.4f', r2) FROM m
+  UNION ALL SELECT 2, 0, '{fixed.SCORECARD_RULE}'
+  UNION ALL SELECT 2, 1, '{fixed.SCORECARD_END}')
+SELECT CAST(row_number() OVER (ORDER BY g, p) AS INTEGER) AS line_no, line FROM l""")
+def q_scorecard_lineitem(spark, sf_dir):
+    m = met.metrics_long(lineitem_pred(spark, sf_dir), "y", "Regression", "p")
+    return met.scorecard_lines(m, "Regression", "LinearRegression", ["y"])
