@@ -103,7 +103,10 @@ def q_target_stats_lineitem(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _no_fp(prof.profile(table(spark, sf_dir, "lineitem")))
+    """lineitem -> recipe -> exact split -> linear regression on l_extendedprice -> metrics."""
+    from tabsmith.plans.run import run
+    li = table(spark, sf_dir, "lineitem")
+    return run(li, "l_extendedprice", ["l_orderkey", "l_linenumber"]).metrics
 
 
 # ------------------------------------------------------- pruning (D) and target (T)
@@ -911,3 +914,71 @@ SELECT CAST(row_number() OVER (ORDER BY g, p) AS INTEGER) AS line_no, line FROM
 def q_scorecard_lineitem(spark, sf_dir):
     m = met.metrics_long(lineitem_pred(spark, sf_dir), "y", "Regression", "p")
     return met.scorecard_lines(m, "Regression", "LinearRegression", ["y"])
+
+
+# ------------------------------------------- whole recipe (phases 1-9) and runs (M, K8, K9)
+
+from tabsmith.plans import recipe as rcp  # noqa: E402
+from tabsmith.plans.run import run as run_all  # noqa: E402
+
+_ORD_FEATS = ["o_custkey", "o_orderdate_year", "o_orderdate_month", "o_orderdate_day", "o_orderdate_dayofweek"]
+
+
+def _clean_orders_sql():
+    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in _ORD_FEATS)
+    clipped = ", ".join(
+        f"CASE WHEN q3_{c} - q1_{c} = 0 THEN CAST({c} AS DOUBLE) ELSE greatest(least(CAST({c} AS DOUBLE), "
+        f"q3_{c} + 1.5 * (q3_{c} - q1_{c})), q1_{c} - 1.5 * (q3_{c} - q1_{c})) END AS {c}" for c in _ORD_FEATS)
+    dummies = ", ".join([f"CAST(o_orderstatus = '{v}' AS INTEGER) AS \"o_orderstatus_{v}\"" for v in STATUS]
+                        + [f"CAST(o_orderpriority = '{v}' AS INTEGER) AS \"o_orderpriority_{v}\"" for v in PRIORITY])
+    return f"""
+WITH p AS (SELECT o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderpriority,
+                  year(o_orderdate) AS o_orderdate_year, month(o_orderdate) AS o_orderdate_month,
+                  day(o_orderdate) AS o_orderdate_day, isodow(o_orderdate) - 1 AS o_orderdate_dayofweek
+           FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL),
+q AS (SELECT {qs} FROM p)
+SELECT {clipped}, o_totalprice, {dummies} FROM p, q"""
+
+
+@register("clean_orders", _clean_orders_sql())
+def q_clean_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    out, _ = rcp.clean(o, "o_totalprice")
+    return out
+
+
+@register("clean_lineitem_rows")
+def q_clean_lineitem_rows(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    out, _ = rcp.clean(li, ["l_extendedprice"])
+    return out
+
+
+def documents_labelled(spark, sf_dir) -> DataFrame:
+    d, l = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return d.join(l, "doc_id")
+
+
+@register("recipe_mappings_documents")
+def q_recipe_mappings_documents(spark, sf_dir):
+    r = rcp.fit(documents_labelled(spark, sf_dir), rcp.Config(targets=("quality",)))
+    return r.mappings
+
+
+@register("run_metrics_lineitem")
+def q_run_metrics_lineitem(spark, sf_dir):
+    return flagship(spark, sf_dir)
+
+
+@register("run_scorecard_documents")
+def q_run_scorecard_documents(spark, sf_dir):
+    res = run_all(documents_labelled(spark, sf_dir), ["quality", "toxic"], "doc_id",
+                  algorithm="RandomForestClassifier")
+    return res.scorecard
+
+
+@register("run_predictions_orders")
+def q_run_predictions_orders(spark, sf_dir):
+    res = run_all(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_orderkey",
+                  algorithm="XGBoostClassifier")
+    return res.predictions
