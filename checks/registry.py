@@ -982,3 +982,111 @@ def q_run_predictions_orders(spark, sf_dir):
     res = run_all(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_orderkey",
                   algorithm="XGBoostClassifier")
     return res.predictions
+
+
+# ------------------------------------------------------------ log tables (L)
+
+from tabsmith.operators import logs as lg  # noqa: E402
+
+BLOCK = [
+    "[2026-06-20 18:27:05] INFO - Model trained and saved to model.joblib",
+    fixed.SCORECARD_START, fixed.SCORECARD_HEADER, "Task Strategy: Regression",
+    "Selected Framework: LinearRegression", 'Target Variables: ["chars"]', "",
+    "Target: chars (Regression)", None, fixed.SCORECARD_RULE, fixed.SCORECARD_END, "Done.",
+]
+
+
+def run_logs(spark, sf_dir) -> DataFrame:
+    """A log table Spark derives from conversations: every line of every turn, and for
+    conversations of six or more turns a scorecard block whose metric is the run's own
+    mean turn length."""
+    c = table(spark, sf_dir, "conversations")
+    lines = c.select(F.col("conv_id").alias("run_id"), "turn",
+                     F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select("run_id", (F.col("turn") * 1_000_000 + F.col("pos")).alias("line_no"), "line")
+    per = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.avg(F.length("text")).alias("m"))
+    metric = F.format_string("Mean Absolute Error (MAE): %.4f", F.col("m"))
+    block = F.array(*[metric if b is None else F.lit(b) for b in BLOCK])
+    blocks = (per.filter(F.col("turns") >= 6)
+              .select(F.col("conv_id").alias("run_id"), F.posexplode(block).alias("k", "line"))
+              .select("run_id", (F.lit(100_000_000) + F.col("k")).cast("bigint").alias("line_no"), "line"))
+    return lines.unionByName(blocks)
+
+
+def _run_logs_sql():
+    vals = []
+    for k, b in enumerate(BLOCK):
+        text = "'Mean Absolute Error (MAE): ' || printf('%.4f', m)" if b is None else "'" + b.replace("'", "''") + "'"
+        vals.append(f"SELECT conv_id AS run_id, CAST({100_000_000 + k} AS BIGINT) AS line_no, {text} AS line FROM per "
+                    "WHERE turns >= 6")
+    return f"""
+per AS (SELECT conv_id, count(*) AS turns, avg(length(text)) AS m FROM conversations GROUP BY conv_id),
+raw AS (SELECT conv_id AS run_id, turn * 1000000 + (i - 1) AS line_no, s[i] AS line FROM
+          (SELECT conv_id, turn, string_split(text, chr(10)) AS s FROM conversations),
+          LATERAL (SELECT unnest(generate_series(1, len(s))) AS i)
+        UNION ALL {' UNION ALL '.join(vals)})"""
+
+
+def _clean_sql(x):
+    ws = "'^\\s+|\\s+$', '', 'g'"
+    return (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '{fixed.LOG_TIMESTAMP_PATTERN}', '', 'g'), "
+            f"{ws}), '^[:\\-\\s]+|[:\\-\\s]+$', '', 'g'), {ws})")
+
+
+def _logs_sql(final: str) -> str:
+    kw = " OR ".join(f"contains(lower(line), '{k}')" for k in fixed.SCORECARD_KEYWORDS)
+    wr = " OR ".join(f"contains(lower(line), '{k}')" for k in fixed.SCORECARD_WRAPPER_WORDS)
+    return f"""
+WITH {_run_logs_sql().strip()},
+cl AS (SELECT * FROM (SELECT run_id, line_no, {_clean_sql('line')} AS line FROM raw) WHERE line <> ''),
+h AS (SELECT run_id, min(line_no) AS h FROM cl WHERE contains(line, '{fixed.SCORECARD_START}')
+      OR contains(line, '{fixed.SCORECARD_HEADER}') GROUP BY run_id),
+win AS (SELECT * FROM (SELECT cl.run_id, cl.line_no, cl.line,
+        row_number() OVER (PARTITION BY cl.run_id ORDER BY cl.line_no) AS idx
+        FROM cl JOIN h ON cl.run_id = h.run_id AND cl.line_no >= h.h) WHERE idx <= 100),
+k AS (SELECT *, ({kw}) AND NOT ({wr}) AS kept FROM win),
+kc AS (SELECT *, sum(CASE WHEN kept THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY idx) AS kcum FROM k),
+st AS (SELECT run_id, min(idx) AS stop FROM kc WHERE contains(line, '{fixed.SCORECARD_END}')
+       OR (contains(line, '{fixed.SCORECARD_RULE}') AND kcum > 1) GROUP BY run_id),
+l2 AS (SELECT kc.run_id, kc.line_no, kc.line FROM kc LEFT JOIN st ON kc.run_id = st.run_id
+       WHERE kept AND (stop IS NULL OR idx <= stop)),
+l3 AS (SELECT run_id, line_no, line FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) AS rd
+       FROM cl WHERE run_id NOT IN (SELECT run_id FROM l2)) WHERE rd <= 15),
+l4 AS (SELECT run_id, arg_min(line, line_no) AS line, min(line_no) AS line_no FROM cl
+       WHERE contains(lower(line), '{fixed.STATUS_LINE_WORDS}') GROUP BY run_id)
+{final}"""
+
+
+@register("log_block_markers", f"""
+WITH {_run_logs_sql().strip()},
+pos AS (SELECT run_id, min(line_no) FILTER (WHERE contains(line, '{fixed.SCORECARD_START}')) AS s,
+               min(line_no) FILTER (WHERE contains(line, '{fixed.SCORECARD_END}')) AS e FROM raw GROUP BY run_id)
+SELECT raw.run_id, raw.line_no, raw.line FROM raw JOIN pos ON raw.run_id = pos.run_id
+WHERE s IS NULL OR e IS NULL OR (line_no >= s AND line_no <= e)""")
+def q_log_block_markers(spark, sf_dir):
+    return lg.between_markers(run_logs(spark, sf_dir))
+
+
+@register("log_scorecard_lines", _logs_sql("SELECT * FROM l2"))
+def q_log_scorecard_lines(spark, sf_dir):
+    return lg.scorecard_lines(lg.clean_lines(run_logs(spark, sf_dir)))
+
+
+@register("log_fallback_lines", _logs_sql("SELECT * FROM l3"))
+def q_log_fallback_lines(spark, sf_dir):
+    clean = lg.clean_lines(run_logs(spark, sf_dir))
+    return lg.fallback_lines(clean, lg.scorecard_lines(clean))
+
+
+@register("log_status_lines", _logs_sql("SELECT run_id, line, line_no FROM l4"))
+def q_log_status_lines(spark, sf_dir):
+    return lg.status_line(lg.clean_lines(run_logs(spark, sf_dir)))
+
+
+@register("log_snippets", _logs_sql("""
+, parts AS (SELECT run_id, 0 AS g, line_no, line FROM l4 UNION ALL SELECT run_id, 1, line_no, line FROM l2
+            UNION ALL SELECT run_id, 1, line_no, line FROM l3)
+SELECT run_id, string_agg(line, chr(10) ORDER BY g, line_no) AS snippet FROM parts GROUP BY run_id""").replace(
+    "\n\n, parts AS", ", parts AS"))
+def q_log_snippets(spark, sf_dir):
+    return lg.snippet(run_logs(spark, sf_dir))
