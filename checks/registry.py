@@ -1090,3 +1090,121 @@ SELECT run_id, string_agg(line, chr(10) ORDER BY g, line_no) AS snippet FROM par
     "\n\n, parts AS", ", parts AS"))
 def q_log_snippets(spark, sf_dir):
     return lg.snippet(run_logs(spark, sf_dir))
+
+
+# ------------------------------------------------------- sources and sinks (S)
+
+from tabsmith import sources as src  # noqa: E402
+from tabsmith.operators import models as mdl, sample as smp  # noqa: E402
+
+
+@register("discover_tables", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}.parquet', '.parquet')" for t in sorted(SCHEMAS) + ["embeddings"]) + ") AS v(name, suffix)")
+def q_discover_tables(spark, sf_dir):
+    return src.discover(spark, sf_dir).select("name", "suffix")
+
+
+@register("peek_columns_lineitem", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{n}')" for i, (n, _) in enumerate(SCHEMAS["lineitem"])) + ") AS v(ordinal, column_name)")
+def q_peek_columns_lineitem(spark, sf_dir):
+    cols = src.peek_columns(spark, f"{sf_dir}/lineitem.parquet")
+    rows = spark.createDataFrame(list(enumerate(cols)), "ordinal int, column_name string")
+    return rows
+
+
+ORDERS_CSV_SQL = """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS o_custkey,
+  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderstatus = 'F' AS is_final FROM orders"""
+
+
+def orders_csv_roundtrip(spark, sf_dir) -> DataFrame:
+    """S6 then S2: a CSV derived from orders (with NA tokens) is written and read back."""
+    o = table(spark, sf_dir, "orders")
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_custkey").cast("string"))
+         .alias("o_custkey"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        F.when(F.col("o_orderstatus") == "F", "True").otherwise("False").alias("is_final"))
+    path = src.scratch_path(spark, "orders-csv")
+    src.write_table(text, path, "csv")
+    return src.read_table(spark, path, "csv")
+
+
+@register("read_csv_orders", ORDERS_CSV_SQL)
+def q_read_csv_orders(spark, sf_dir):
+    return orders_csv_roundtrip(spark, sf_dir)
+
+
+@register("window_sample_orders", """
+WITH w AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM w
+ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR)) LIMIT 10""")
+def q_window_sample_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                              "o_orderpriority")
+    return smp.window_sample(o, "o_orderkey")
+
+
+@register("head_rows_part", """
+SELECT 0 AS line_no, 'p_partkey|p_name|p_brand|p_type|p_size|p_retailprice' AS line
+UNION ALL SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER), concat_ws('|', CAST(p_partkey AS VARCHAR),
+  p_name, p_brand, p_type, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR))
+FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 3)""")
+def q_head_rows_part(spark, sf_dir):
+    return smp.head_rows(table(spark, sf_dir, "part"), 3, "p_partkey", "|")
+
+
+@register("pool_accounts", """
+SELECT c_custkey AS acct, c_name AS name, c_acctbal AS balance, CAST(NULL AS INTEGER) AS nation, 'customer' AS source
+FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_acctbal, s_nationkey, 'supplier' FROM supplier""")
+def q_pool_accounts(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("acct"), F.col("c_name").alias("name"),
+                                                F.col("c_acctbal").alias("balance"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("acct"), F.col("s_name").alias("name"),
+                                                F.col("s_acctbal").alias("balance"),
+                                                F.col("s_nationkey").alias("nation"))
+    return src.pool([c, s], ["customer", "supplier"])
+
+
+@register("pool_files", """
+SELECT r_regionkey AS k, r_name AS name, 'region.parquet' AS source FROM region
+UNION ALL SELECT n_nationkey, n_name, 'nation.parquet' FROM nation""")
+def q_pool_files(spark, sf_dir):
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"),
+                                              "_metadata")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"),
+                                              "_metadata")
+    return src.pool([r, n]).drop("_metadata")
+
+
+@register("mappings_roundtrip_part", """
+SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT p_name FROM part)""")
+def q_mappings_roundtrip_part(spark, sf_dir):
+    m = enc.label_codes(table(spark, sf_dir, "part"), ["p_name"])
+    path = src.scratch_path(spark, "mappings")
+    src.write_mappings(m, path)
+    return src.read_mappings(spark, path)
+
+
+@register("run_record_lineitem")
+def q_run_record_lineitem(spark, sf_dir):
+    from tabsmith.plans.run import run, run_record
+    res = run(table(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    path = src.write_run_record(spark, run_record(res), src.scratch_path(spark, "record"))
+    return spark.read.text(path)
+
+
+@register("models_roundtrip_documents")
+def q_models_roundtrip_documents(spark, sf_dir):
+    from tabsmith.plans.run import run
+    res = run(documents_labelled(spark, sf_dir), ["quality"], "doc_id", algorithm="DecisionTreeClassifier")
+    path = src.scratch_path(spark, "models")
+    mdl.save_models(res.trained, path)
+    loaded = mdl.load_models(spark, path)
+    return mdl.predict(loaded, res.test)
