@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsmith import fixed
-from tabsmith.functions.stats import g1_skew, is_numeric, nan_to_null
-from tabsmith.operators.profile import top_values_long
+from tabsmith.functions.stats import is_numeric, nan_to_null
+from tabsmith.operators.profile import moments, top_values_long
 from tabsmith.operators.quantiles import exact_quantiles
 
 
@@ -36,15 +36,13 @@ def categorical_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]
 
 
 def numeric_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(cols):
-        x = nan_to_null(F.col(f"`{c}`"), fields[c]).cast("double")
-        aggs += [F.count(x).alias(f"nn{i}"), g1_skew(x).alias(f"s{i}"), F.avg(x).alias(f"m{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
-    return {c: {"n": row["n"], "nn": row[f"nn{i}"], "skew": row[f"s{i}"], "mean": row[f"m{i}"],
-                "min": row[f"lo{i}"], "max": row[f"hi{i}"]} for i, c in enumerate(cols)}
+    """Count, G1 skew, mean, min, max per column from the long-form moments pass."""
+    if not cols:
+        return {}
+    rows = {r["ordinal"]: r for r in moments(df.select(*[F.col(f"`{c}`") for c in cols])).collect()}
+    return {c: {"n": rows[i]["n_rows"], "nn": rows[i]["n_nonnull"], "skew": rows[i]["skew"],
+                "mean": rows[i]["mean"], "min": rows[i]["min"], "max": rows[i]["max"]}
+            for i, c in enumerate(cols)}
 
 
 def fit_numeric_fill(df: DataFrame, cols: Sequence[str], distinct: dict | None = None,

@@ -3,8 +3,8 @@
 Two scans feed the whole profile and Spark runs them as one job:
 
 * a single wide ``agg`` (count, non-null count, mean, std, min, max, G1 skew per column,
-  plus an order-free fingerprint used by the duplicate finder) that combines map-side
-  and merges into one row;
+  plus an order-free fingerprint -- xor and bounded sum of value hashes -- used by the
+  duplicate finder) that combines map-side and merges into one row;
 * one value-count shuffle: every column is unpivoted to typed ``(ordinal, value)`` pairs
   and counted with partial aggregation. Distinct counts and top values both read it
   (the exchange is reused), so the number of shuffles does not grow with the width.
@@ -89,37 +89,28 @@ def _names_frame(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "ordinal int, column_name string, dtype string")
 
 
-def _moment_aggs(df: DataFrame):
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, f in enumerate(df.schema.fields):
-        c = nan_to_null(F.col(f"`{f.name}`"), f.dataType)
-        aggs.append(F.count(c).alias(f"nn_{i}"))
-        if is_numeric(f.dataType):
-            x = c.cast("double")
-            aggs += [F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"),
-                     F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
-                     g1_skew(x).alias(f"skew_{i}")]
-        aggs.append(F.sum(F.xxhash64(c).cast("decimal(20,0)")).alias(f"fp_{i}"))
-    return aggs
-
-
 def moments(df: DataFrame) -> DataFrame:
-    """One wide aggregate, unpivoted to one row per column (no shuffle of data rows)."""
-    wide = df.agg(*_moment_aggs(df))
+    """Per-column counts, moments and fingerprint, one row per column.
+
+    The table is unpivoted to ``(ordinal, value as double, value hash)`` and grouped by
+    ordinal: a handful of aggregate functions whatever the width (so the aggregate stays
+    in generated code), partial aggregation leaves one row per column per task, and the
+    final shuffle moves only those rows.
+    """
     entries = []
     for i, f in enumerate(df.schema.fields):
-        num = is_numeric(f.dataType)
-
-        def pick(stat, i=i, num=num):
-            return F.col(f"{stat}_{i}") if num else F.lit(None).cast("double")
-
-        entries.append(F.struct(
-            F.lit(i).alias("ordinal"),
-            F.col(f"nn_{i}").alias("n_nonnull"),
-            pick("mean").alias("mean"), pick("std").alias("std"),
-            pick("min").alias("min"), pick("max").alias("max"), pick("skew").alias("skew"),
-            F.col(f"fp_{i}").cast("string").alias("fingerprint")))
-    return wide.select("n_rows", F.explode(F.array(*entries)).alias("m")).select("n_rows", "m.*")
+        c = nan_to_null(F.col(f"`{f.name}`"), f.dataType)
+        v = c.cast("double") if is_numeric(f.dataType) else F.lit(None).cast("double")
+        entries.append(F.struct(F.lit(i).alias("ordinal"), v.alias("v"),
+                                c.isNotNull().alias("nn"), F.xxhash64(c).alias("h")))
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    h = F.when(F.col("nn"), F.col("h"))
+    return long.groupBy("ordinal").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("nn").alias("n_nonnull"),
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
+        F.max("v").alias("max"), g1_skew(F.col("v")).alias("skew"),
+        F.concat_ws(":", F.bit_xor(h).cast("string"),
+                    F.try_sum(F.pmod(h, F.lit(1_000_003))).cast("string")).alias("fingerprint"))
 
 
 def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:

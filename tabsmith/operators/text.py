@@ -33,25 +33,24 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False) -> DataFrame:
-    """``(column_name, n_nonnull, n_match, n_fail, mean_words, n_boolean)`` in one pass."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`")
-        nn = x.isNotNull()
-        aggs += [F.count(x).alias(f"nn{i}"),
-                 F.count_if(nn & tx.looks_formatted(x, keep_sign)).alias(f"m{i}"),
-                 F.count_if(nn & tx.parse_formatted(x, keep_sign).isNull()).alias(f"f{i}"),
-                 F.avg(tx.word_count(x)).alias(f"w{i}"),
-                 F.count_if(tx.is_boolean_word(x)).alias(f"b{i}")]
-    if not aggs:
-        return df.sparkSession.createDataFrame(
+    """``(column_name, n_nonnull, n_match, n_fail, mean_words, n_boolean)`` in one pass:
+    the string columns are unpivoted and grouped by column, so the aggregate keeps five
+    functions however many columns there are."""
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame(
             [], "column_name string, n_nonnull bigint, n_match bigint, n_fail bigint, "
                 "mean_words double, n_boolean bigint")
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"nn{i}").alias("n_nonnull"),
-                        F.col(f"m{i}").alias("n_match"), F.col(f"f{i}").alias("n_fail"),
-                        F.col(f"w{i}").alias("mean_words"), F.col(f"b{i}").alias("n_boolean"))
-               for i, c in enumerate(cols)]
-    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("x")) for c in cols]
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    x = F.col("x")
+    nn = x.isNotNull()
+    return long.groupBy("column_name").agg(
+        F.count(x).alias("n_nonnull"),
+        F.count_if(nn & tx.looks_formatted(x, keep_sign)).alias("n_match"),
+        F.count_if(nn & tx.parse_formatted(x, keep_sign).isNull()).alias("n_fail"),
+        F.avg(tx.word_count(x)).alias("mean_words"),
+        F.count_if(tx.is_boolean_word(x)).alias("n_boolean"))
 
 
 def decide(stats_rows, keep_sign: bool = False) -> TextPlan:

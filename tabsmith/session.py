@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "tabsmith",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Session with the settings every operator assumes.
 
     AQE stays on (coalescing, skew-join splitting); the UI stays off; time is UTC
@@ -26,6 +26,8 @@ def get_spark(master: str | None = None, app: str = "tabsmith",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores)))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
