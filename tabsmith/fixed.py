@@ -37,6 +37,18 @@ DATE_FORMATS = (
     "yyyy-MM",
     "yyyy",
 )
+# the text shape each format can accept (a superset, checked before parsing)
+DATE_FORMAT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
+    "yyyy-MM-dd": r"^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}$",
+    "yyyy/MM/dd": r"^[0-9]{4,}/[0-9]{1,2}/[0-9]{1,2}$",
+    "MM/dd/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4,}$",
+    "dd-MM-yyyy": r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4,}$",
+    "dd.MM.yyyy": r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4,}$",
+    "yyyy-MM": r"^[0-9]{4,}-[0-9]{1,2}$",
+    "yyyy": r"^[0-9]{4,}$",
+}
 
 # --- fixed values: missing values and outliers -----------------------------
 MEDIAN_SKEW_ABOVE = 1.0       # numeric fill uses the median above this skew

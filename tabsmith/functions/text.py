@@ -15,9 +15,16 @@ def looks_formatted(c: Column, keep_sign: bool = False) -> Column:
 
 
 def parse_formatted(c: Column, keep_sign: bool = False) -> Column:
-    """Strip all but digits and dots (and a minus when asked), then a null-safe cast."""
+    """Strip all but digits and dots (and a minus when asked), then cast; what is left
+    must read as one number, otherwise null.
+
+    The shape test runs before the cast so that failing values (most values of a text
+    column) never take the cast's exception path.
+    """
     keep = "[^0-9.\\-]" if keep_sign else "[^0-9.]"
-    return F.regexp_replace(c, keep, "").try_cast("double")
+    shape = "^-?([0-9]+[.]?[0-9]*|[.][0-9]+)$" if keep_sign else "^([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+    s = F.regexp_replace(c, keep, "")
+    return F.when(s.rlike(shape), s.try_cast("double"))
 
 
 def word_count(c: Column) -> Column:

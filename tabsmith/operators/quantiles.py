@@ -5,11 +5,12 @@ Two exact strategies, chosen per column:
 * distinct count known and bounded (<= ``max_distinct``): Spark's ``percentile``
   aggregate. Its buffer holds one entry per distinct value, so the final merge is
   bounded by that count.
-* otherwise a distributed selection: for each wanted rank, ``approx_percentile``
-  proposes split points inside the current interval, one grouped count finds the
-  bucket holding the rank, and the interval narrows (about ``grid``-fold per round).
-  When a bucket is small (<= ``small``) one window over that bucket alone picks the
-  exact value. Nothing but split points and bucket counts reaches the driver.
+* otherwise a distributed selection: each wanted rank's value interval (first the
+  column's [min, max]) is cut into ``grid`` equal-width buckets by arithmetic, one
+  grouped pass counts each bucket and takes its min and max, and the rank moves to its
+  bucket's [min, max]. A bucket of one value is the answer; a bucket of at most
+  ``small`` values is ranked by one window over that bucket alone. Only bucket counts
+  (at most ``grid`` per interval) reach the driver.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_DISTINCT = 1_000_000
-SMALL = 1_000_000
-GRID = 256
-ACCURACY = 100_000
+SMALL = 50_000
+GRID = 4096
 
 
 def _long(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -56,29 +56,33 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 def _select(df: DataFrame, cols: list[str], probs: list[float], small: int, grid: int):
     spark = df.sparkSession
     long = _long(df, cols)
-    counts = {r["ord"]: r["n"] for r in long.groupBy("ord").agg(F.count("v").alias("n")).collect()}
-    # targets: (ord, rank) -> value; each is searched in an interval (lo, hi]
-    wanted = {}
+    stats = {r["ord"]: r for r in long.groupBy("ord").agg(
+        F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    wanted: dict[tuple, float | None] = {}
     for i in range(len(cols)):
-        n = counts.get(i, 0)
+        n = stats[i]["n"] if i in stats else 0
         for p in probs:
             if n:
                 h = (n - 1) * p
                 wanted[(i, math.floor(h))] = None
                 wanted[(i, math.ceil(h))] = None
-    state = {t: (None, None, t[1], counts[t[0]]) for t in wanted}   # lo, hi, local rank, size
+    # each wanted rank is searched in a closed value interval [lo, hi] holding `size` values
+    state = {t: (stats[t[0]]["lo"], stats[t[0]]["hi"], t[1], stats[t[0]]["n"]) for t in wanted}
     while state:
-        finals = {t: s for t, s in state.items() if s[3] <= small}
+        for t, st in list(state.items()):
+            if st[0] == st[1]:
+                wanted[t] = st[0]
+                del state[t]
+        finals = {t: st for t, st in state.items() if st[3] <= small}
         if finals:
             for t, v in _pick(spark, long, finals).items():
                 wanted[t] = v
                 del state[t]
-        if not state:
-            break
-        state = _narrow(spark, long, state, grid, wanted)
+        if state:
+            state = _narrow(spark, long, state, grid)
     res = {}
     for i, c in enumerate(cols):
-        n = counts.get(i, 0)
+        n = stats[i]["n"] if i in stats else 0
         vals = []
         for p in probs:
             if not n:
@@ -91,57 +95,54 @@ def _select(df: DataFrame, cols: list[str], probs: list[float], small: int, grid
     return res
 
 
-def _targets_frame(spark, state):
-    rows = [(k, t[0], s[0], s[1], s[2]) for k, (t, s) in enumerate(state.items())]
-    return spark.createDataFrame(rows, "tid int, ord int, lo double, hi double, r long"), \
-        {k: t for k, t in enumerate(state)}
+def _intervals(spark, state):
+    """Distinct (ord, lo, hi) intervals: ranks of one column in one interval share a scan."""
+    keys = sorted({(t[0], st[0], st[1]) for t, st in state.items()})
+    frame = spark.createDataFrame([(g, o, lo, hi) for g, (o, lo, hi) in enumerate(keys)],
+                                  "gid int, ord int, lo double, hi double")
+    return frame, {k: g for g, k in enumerate(keys)}
 
 
-def _tag(long: DataFrame, targets: DataFrame) -> DataFrame:
-    # equi-join on the column ordinal plus the interval; the target table is tiny
-    # (two ranks per column and probability), so it is broadcast by construction
-    cond = ((long["ord"] == targets["ord"])
-            & (targets["lo"].isNull() | (long["v"] > targets["lo"]))
-            & (targets["hi"].isNull() | (long["v"] <= targets["hi"])))
-    return long.join(F.broadcast(targets), cond).select("tid", "v", "r")
+def _tag(long: DataFrame, intervals: DataFrame) -> DataFrame:
+    # equi-join on the column ordinal plus the interval; the interval table holds at most
+    # two ranks per column and probability, so it is broadcast by construction
+    cond = ((long["ord"] == intervals["ord"]) & (long["v"] >= intervals["lo"])
+            & (long["v"] <= intervals["hi"]))
+    return long.join(F.broadcast(intervals), cond).select("gid", "v", "lo", "hi")
 
 
 def _pick(spark, long, finals):
-    targets, ids = _targets_frame(spark, finals)
-    w = Window.partitionBy("tid").orderBy("v")
-    rows = (_tag(long, targets).withColumn("rn", F.row_number().over(w))
-            .filter(F.col("rn") == F.col("r") + 1).select("tid", "v").collect())
-    return {ids[r["tid"]]: r["v"] for r in rows}
-
-
-def _narrow(spark, long, state, grid, wanted):
-    targets, ids = _targets_frame(spark, state)
-    tagged = _tag(long, targets)
-    probs = [(j + 1) / (grid + 1) for j in range(grid)]
-    splits = {r["tid"]: sorted(set(r["s"])) for r in
-              tagged.groupBy("tid").agg(F.approx_percentile("v", probs, ACCURACY).alias("s")).collect()}
-    smap = F.create_map(*[x for tid, s in splits.items()
-                          for x in (F.lit(tid), F.array(*[F.lit(float(v)) for v in s]))])
-    bucket = F.size(F.filter(F.element_at(smap, F.col("tid")), lambda s: s < F.col("v")))
-    stats = (tagged.withColumn("b", bucket).groupBy("tid", "b")
-             .agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
+    """Exact values for ranks whose interval is small: one ordered window per interval."""
+    intervals, gids = _intervals(spark, finals)
+    ranks: dict[int, list] = {}
+    for t, st in finals.items():
+        ranks.setdefault(gids[(t[0], st[0], st[1])], []).append(st[2] + 1)
+    rmap = F.create_map(*[x for g, rs in ranks.items() for x in (F.lit(g), F.array(*map(F.lit, rs)))])
+    w = Window.partitionBy("gid").orderBy("v")     # each interval holds at most `small` values
+    rows = (_tag(long, intervals).withColumn("rn", F.row_number().over(w))
+            .filter(F.array_contains(F.element_at(rmap, F.col("gid")), F.col("rn")))
+            .select("gid", "rn", "v").collect())
+    got = {(r["gid"], r["rn"] - 1): r["v"] for r in rows}
+    return {t: got[(gids[(t[0], st[0], st[1])], st[2])] for t, st in finals.items()}
+
+
+def _narrow(spark, long, state, grid):
+    """One pass: equal-width buckets of each interval (plain arithmetic, no sketch), with
+    count, min and max per bucket; each rank moves to its bucket's [min, max]."""
+    intervals, gids = _intervals(spark, state)
+    tagged = _tag(long, intervals)
+    width = F.col("hi") - F.col("lo")
+    b = F.least(F.floor((F.col("v") - F.col("lo")) / width * grid), F.lit(grid - 1)).cast("int")
     per: dict[int, list] = {}
-    for r in stats:
-        per.setdefault(r["tid"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
+    for r in (tagged.withColumn("b", b).groupBy("gid", "b")
+              .agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()):
+        per.setdefault(r["gid"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
     new_state = {}
-    for tid, t in ids.items():
-        lo, hi, rank, _ = state[t]
-        s = splits[tid]
+    for t, (lo, hi, rank, size) in state.items():
         before = 0
-        for b, n, mn, mx in sorted(per[tid]):
+        for _, n, mn, mx in sorted(per[gids[(t[0], lo, hi)]]):
             if before + n > rank:
-                if mn == mx:
-                    wanted[t] = mn
-                else:
-                    new_lo = s[b - 1] if b > 0 else lo
-                    new_hi = s[b] if b < len(s) else hi
-                    # no progress (splits could not separate the bucket): pick it exactly
-                    new_state[t] = (new_lo, new_hi, rank - before, n if n < state[t][3] else 0)
+                new_state[t] = (mn, mx, rank - before, n)
                 break
             before += n
     return new_state

@@ -16,6 +16,7 @@ reach the driver; label mappings stay distributed.
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -59,6 +60,7 @@ class Recipe:
     bounds: dict = field(default_factory=dict)
     encoding: encode.EncodePlan = field(default_factory=encode.EncodePlan)
     profile_rows: list = field(default_factory=list)
+    fit_seconds: dict = field(default_factory=dict)      # wall time per fit phase
 
     # --- apply ------------------------------------------------------------
     def drop_columns(self, df: DataFrame) -> DataFrame:
@@ -115,8 +117,20 @@ def check_supported(df: DataFrame) -> None:
         raise TypeError("unsupported column types: " + ", ".join(bad))
 
 
+class _Clock:
+    def __init__(self):
+        self.t = time.time()
+        self.laps = {}
+
+    def lap(self, name):
+        now = time.time()
+        self.laps[name] = round(now - self.t, 3)
+        self.t = now
+
+
 def fit(df: DataFrame, config: Config) -> Recipe:
     """Fit every phase on ``df`` (all rows, the parity default)."""
+    clock = _Clock()
     check_supported(df)
     spark = df.sparkSession
     targets = list(config.targets)
@@ -133,11 +147,13 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     prof_small = spark.createDataFrame(rows, build_profile(df, digits=None).schema)
     distinct = {r.column_name: r.n_distinct for r in rows}
     recipe = Recipe(config=config, columns=tuple(df.columns), profile_rows=rows)
+    clock.lap("profile")
 
     # phase 2: drop plan (targets protected)
     recipe.drops = {r.column_name: r.reasons for r in
                     prune.plan_drops(df, targets, prof_small, config.protect_text).collect()}
     cur = recipe.drop_columns(df)
+    clock.lap("drops")
 
     # phase 3: targets
     types = {f.name: f.dataType for f in cur.schema.fields}
@@ -155,18 +171,22 @@ def fit(df: DataFrame, config: Config) -> Recipe:
         else:
             recipe.tasks[t] = "Regression"
     cur = recipe.handle_targets(cur)
+    clock.lap("targets")
 
     # phase 4: text (formatted numbers, long text, yes/no words)
     recipe.text = text.fit_text(cur, exclude=targets, keep_sign=config.keep_sign)
     cur = text.apply_text(cur, recipe.text)
+    clock.lap("text")
 
     # phase 5: dates
     recipe.date_columns = tuple(dates.find_dates(cur, exclude=targets))
     cur = dates.date_parts(cur, list(recipe.date_columns))
+    clock.lap("dates")
 
     # phase 6: fill (skew measured after phases 4-5; targets never filled)
     recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=distinct)
     cur = impute.apply_fill(cur, recipe.fill)
+    clock.lap("fill")
 
     # phase 7: cap numeric features (not targets, not binary, IQR > 0)
     num = impute.numeric_columns(cur, exclude=targets)
@@ -176,14 +196,18 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     else:
         recipe.bounds = outliers.fit_iqr(cur, num, distinct=distinct)
     cur = outliers.clip(cur, recipe.bounds)
+    clock.lap("outliers")
 
     # phase 8: encode text / boolean features
     recipe.encoding = encode.fit_encoding(cur, exclude=targets, max_levels=config.max_levels)
     cur = encode.apply_encoding(cur, recipe.encoding)
+    clock.lap("encode")
 
     # phase 9: contract
     if config.validate:
         audit.assert_clean(cur, targets)
+    clock.lap("validate")
+    recipe.fit_seconds = clock.laps
     log.info("recipe fitted: drops=%s tasks=%s", recipe.drops, recipe.tasks)
     return recipe
 

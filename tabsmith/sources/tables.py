@@ -17,6 +17,18 @@ from tabsmith import fixed
 from tabsmith.session import ensure_checkpoint_dir
 
 BOOL_WORDS = ("true", "false")
+INT_SHAPE = "^\\s*[+-]?[0-9]+\\s*$"
+NUM_SHAPE = "^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$"
+
+
+def as_long(x):
+    """Integer text as bigint; other text null without the cast's exception path."""
+    return F.when(x.rlike(INT_SHAPE), x.try_cast("bigint"))
+
+
+def as_double(x):
+    """Numeric text as double; other text null without the cast's exception path."""
+    return F.when(x.rlike(NUM_SHAPE), x.try_cast("double"))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -58,8 +70,8 @@ def infer_types(df: DataFrame) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`")
-        aggs += [F.count(x).alias(f"nn{i}"), F.count(x.try_cast("bigint")).alias(f"i{i}"),
-                 F.count(x.try_cast("double")).alias(f"d{i}"),
+        aggs += [F.count(x).alias(f"nn{i}"), F.count(as_long(x)).alias(f"i{i}"),
+                 F.count(as_double(x)).alias(f"d{i}"),
                  F.count_if(F.lower(x).isin(list(BOOL_WORDS))).alias(f"b{i}")]
     row = df.agg(*aggs).first()
     out = []
@@ -69,9 +81,9 @@ def infer_types(df: DataFrame) -> DataFrame:
             i = cols.index(c)
             nn, n = row[f"nn{i}"], row["__n"]
             if nn and row[f"i{i}"] == nn:
-                x = x.try_cast("bigint") if nn == n else x.try_cast("double")
+                x = as_long(x) if nn == n else as_long(x).cast("double")
             elif nn and row[f"d{i}"] == nn:
-                x = x.try_cast("double")
+                x = as_double(x)
             elif nn and nn == n and row[f"b{i}"] == nn:
                 x = F.lower(x) == "true"
         out.append(x.alias(c))
