@@ -1208,3 +1208,36 @@ def q_models_roundtrip_documents(spark, sf_dir):
     mdl.save_models(res.trained, path)
     loaded = mdl.load_models(spark, path)
     return mdl.predict(loaded, res.test)
+
+
+# ---------------------------------------------- audit statistics (P10), clean report (V6)
+
+
+def _audit_stats_sql():
+    before = profile_sql("SELECT * FROM orders", SCHEMAS["orders"])
+    after_schema = [("o_custkey", "double"), ("o_totalprice", "double"), ("o_orderdate_year", "double"),
+                    ("o_orderdate_month", "double"), ("o_orderdate_day", "double"),
+                    ("o_orderdate_dayofweek", "double")] + \
+        [(f"o_orderstatus_{v}", "int") for v in STATUS] + [(f"o_orderpriority_{v}", "int") for v in PRIORITY]
+    after = profile_sql(f"SELECT * FROM ({_clean_orders_sql()})", after_schema)
+    cols = ["dtype", "n_rows", "null_pct", "n_distinct"]
+    sel_b = ", ".join(f"b.{c} AS {c}_before" for c in cols)
+    sel_a = ", ".join(f"a.{c} AS {c}_after" for c in cols)
+    return (f"WITH b AS ({before}), a AS ({after}) SELECT coalesce(b.column_name, a.column_name) AS column_name, "
+            f"{sel_b}, {sel_a} FROM b FULL OUTER JOIN a ON b.column_name = a.column_name")
+
+
+@register("audit_stats_orders", _audit_stats_sql())
+def q_audit_stats_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    clean, _ = rcp.clean(o, "o_totalprice")
+    clean = clean.select(*[F.col(f"`{c}`").cast("double").alias(c) if c.startswith("o_orderdate") or c == "o_custkey"
+                           else F.col(f"`{c}`") for c in clean.columns])
+    return prof.audit_stats(o, clean)
+
+
+@register("clean_report_orders")
+def q_clean_report_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    r = rcp.fit(o, rcp.Config(targets=("o_totalprice",)))
+    return aud.clean_report(o, r.transform(o), ["o_totalprice"], r.tasks, r.drops, r.encodings())
