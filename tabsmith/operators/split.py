@@ -54,14 +54,14 @@ def _cut(hashed: DataFrame, k: int, small: int = SMALL) -> str:
 
 
 def split_flags(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TEST_SHARE,
-                seed: int = fixed.SEED, mode: str = "exact") -> DataFrame:
+                seed: int = fixed.SEED, mode: str = "exact", n: int | None = None) -> DataFrame:
     """``df`` plus ``is_test``. ``mode='exact'``: exactly ceil(share*n) test rows (key must be
     unique); ``mode='bernoulli'``: each row independently by hash, no extra pass."""
     h = split_hash(key, seed)
     if mode == "bernoulli":
         cut = F.pmod(F.xxhash64(key_column(key), F.lit(seed)), F.lit(10_000)) < int(test_share * 10_000)
         return df.withColumn("is_test", cut)
-    n = df.count()
+    n = df.count() if n is None else n
     if n < fixed.TINY_TABLE_ROWS:
         return df.withColumn("is_test", F.lit(True))
     k = math.ceil(test_share * n)
@@ -75,7 +75,7 @@ def split(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TES
     n = df.count() if mode == "exact" else None
     if n is not None and n < fixed.TINY_TABLE_ROWS:
         return df, df
-    flagged = split_flags(df, key, test_share, seed, mode)
+    flagged = split_flags(df, key, test_share, seed, mode, n)
     return (flagged.filter(~F.col("is_test")).drop("is_test"),
             flagged.filter(F.col("is_test")).drop("is_test"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tabsmith import fixed
 from tabsmith.operators import audit, metrics, models, split, verdict
 from tabsmith.plans.recipe import Config, Recipe, fit
+from tabsmith.sources.tables import scratch_path
 
 DEFAULT_ALGORITHM = {"Regression": "LinearRegression", "Classification": "LogisticRegression"}
 
@@ -36,15 +37,24 @@ class RunResult:
 
 
 def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws: bool = False,
-        test_share: float = fixed.TEST_SHARE, seed: int = fixed.SEED, **config) -> RunResult:
+        test_share: float = fixed.TEST_SHARE, seed: int = fixed.SEED, clean_path: str | None = None,
+        **config) -> RunResult:
     """Clean ``df``, audit it, split it exactly by ``key``, fit one model per target, score
-    the whole test table and judge the metrics."""
+    the whole test table and judge the metrics.
+
+    The cleaned table is written once (S6) as Parquet under ``clean_path`` (default: a new
+    folder under the shared checkpoint folder) and read back: the split and training
+    passes then read compact numeric columns, and the lineage is cut, so a lost executor
+    recomputes from that table rather than from the raw source.
+    """
     targets = (targets,) if isinstance(targets, str) else tuple(targets)
     keys = [key] if isinstance(key, str) else list(key)
     recipe = fit(df, Config(targets=targets, **config))
     # the split key is carried through cleaning even when the ID rule drops it
     carried = df.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], "*")
-    clean = recipe.transform(carried)
+    clean_path = clean_path or scratch_path(df.sparkSession, "clean")
+    recipe.transform(carried).write.mode("overwrite").parquet(clean_path)
+    clean = df.sparkSession.read.parquet(clean_path)
     clean_feats = clean.drop(*[f"__key_{k}" for k in keys])
     flaws = audit.audit(df, clean_feats)
     if not allow_flaws:
