@@ -64,19 +64,25 @@ def value_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def _ranked_values(counts: DataFrame, k: int) -> DataFrame:
+    """Top k values of every ordinal in ``counts`` (count desc, then value ascending)."""
+    order = [F.col("cnt").desc(), F.col("v_str").asc(), F.col("v_long").asc(), F.col("v_dbl").asc()]
+    return top_k_per_group(counts, ["ordinal"], order, k, F.xxhash64("v_long", "v_dbl", "v_str"))
+
+
 def top_values_long(df: DataFrame, k: int = 3, cols: list[str] | None = None,
                     counts: DataFrame | None = None) -> DataFrame:
     """The k most frequent values of each non-numeric column, ties by value ascending.
 
-    Output ``(ordinal, column_name, rank, value, cnt)``.
+    Output ``(ordinal, column_name, rank, value, cnt)``. When ``counts`` (all columns) is
+    given, the ranking runs over it unfiltered and the columns are picked afterwards, so
+    the value-count shuffle stays identical to other users of ``counts`` and is reused.
     """
     cols = cols or [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
+    ords = [df.columns.index(c) for c in cols]
     if counts is None:
         counts = value_counts(df, cols)
-    ords = [df.columns.index(c) for c in cols]
-    vc = counts.filter(F.col("ordinal").isin(ords) & F.col("v_str").isNotNull())
-    ranked = top_k_per_group(vc, ["ordinal"], [F.col("cnt").desc(), F.col("v_str").asc()],
-                             k, F.xxhash64("v_str"))
+    ranked = _ranked_values(counts, k).filter(F.col("ordinal").isin(ords))
     names = _names_frame(df)
     return (ranked.join(F.broadcast(names), "ordinal")
                   .select("ordinal", "column_name", F.col("rank").cast("int").alias("rank"),
@@ -121,17 +127,18 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
     """
     names = _names_frame(df)
     counts = value_counts(df)
-    distinct = counts.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"))
-    text_cols = [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
-    if text_cols:
-        tops = top_values_long(df, k, text_cols, counts)
-        entry = F.format_string("'%s': %d", F.col("value"), F.col("cnt"))
-        tops = (tops.groupBy("ordinal")
-                    .agg(F.array_sort(F.collect_list(F.struct("rank", entry.alias("e")))).alias("l"))
-                    .select("ordinal", F.concat(F.lit("{"), F.array_join(F.col("l.e"), ", "),
-                                                F.lit("}")).alias("top_values")))
-    else:
-        tops = df.sparkSession.createDataFrame([], "ordinal int, top_values string")
+    # the non-null count is taken from the value counts too: both branches then read the
+    # same (ordinal, value, cnt) aggregate and Spark reuses its shuffle
+    distinct = counts.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"),
+                                             F.sum("cnt").alias("n_counted"))
+    text_ords = [i for i, f in enumerate(df.schema.fields) if not is_numeric(f.dataType)]
+    # ranked over every column and picked in the final projection: a filter on the
+    # ordinal would be pushed below the aggregate and break the shuffle reuse
+    entry = F.format_string("'%s': %d", F.col("v_str"), F.col("cnt"))
+    tops = (_ranked_values(counts, k).groupBy("ordinal")
+            .agg(F.array_sort(F.collect_list(F.struct("rank", entry.alias("e")))).alias("l"))
+            .select("ordinal", F.concat(F.lit("{"), F.array_join(F.col("l.e"), ", "),
+                                        F.lit("}")).alias("top_values")))
 
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     m = moments(df)
@@ -139,7 +146,8 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
             .join(F.broadcast(distinct), "ordinal", "left")
             .join(F.broadcast(tops), "ordinal", "left"))
     n_rows = F.col("n_rows")
-    null_pct = F.round(F.lit(100.0) * (n_rows - F.col("n_nonnull")) / n_rows, 2)
+    nonnull = F.coalesce(F.col("n_counted"), F.lit(0))
+    null_pct = F.round(F.lit(100.0) * (n_rows - nonnull) / n_rows, 2)
     nd = F.coalesce(F.col("n_distinct"), F.lit(0)).cast("bigint")
     flags = F.concat_ws(", ", F.when((nd == n_rows) & (nd > 1), F.lit("POTENTIAL ID")),
                         F.when(nd <= fixed.CONSTANT_MAX_DISTINCT, F.lit("CONSTANT")),
@@ -150,7 +158,8 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
         nd.alias("n_distinct"), rnd(F.col("skew")).alias("skew"),
         rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"),
         rnd(F.col("min")).alias("min"), rnd(F.col("max")).alias("max"),
-        "top_values", flags.alias("flags"), "fingerprint")
+        F.when(F.col("ordinal").isin(text_ords), F.col("top_values")).alias("top_values"),
+        flags.alias("flags"), "fingerprint")
 
 
 @dataclass(frozen=True)
