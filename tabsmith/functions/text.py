@@ -24,7 +24,8 @@ def parse_formatted(c: Column, keep_sign: bool = False) -> Column:
     keep = "[^0-9.\\-]" if keep_sign else "[^0-9.]"
     shape = "^-?([0-9]+[.]?[0-9]*|[.][0-9]+)$" if keep_sign else "^([0-9]+[.]?[0-9]*|[.][0-9]+)$"
     s = F.regexp_replace(c, keep, "")
-    return F.when(s.rlike(shape), s.try_cast("double"))
+    # text without a digit cannot parse: one early-exit scan instead of replace + match
+    return F.when(c.rlike("[0-9]"), F.when(s.rlike(shape), s.try_cast("double")))
 
 
 def word_count(c: Column) -> Column:

@@ -45,10 +45,14 @@ def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False) -> D
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
     x = F.col("x")
     nn = x.isNotNull()
+    match = tx.looks_formatted(x, keep_sign)
+    # an unsigned value of the formatted shape always parses, so only the others are parsed
+    fail = tx.parse_formatted(x, keep_sign).isNull()
+    fail = fail if keep_sign else (~match & fail)
     return long.groupBy("column_name").agg(
         F.count(x).alias("n_nonnull"),
-        F.count_if(nn & tx.looks_formatted(x, keep_sign)).alias("n_match"),
-        F.count_if(nn & tx.parse_formatted(x, keep_sign).isNull()).alias("n_fail"),
+        F.count_if(nn & match).alias("n_match"),
+        F.count_if(nn & fail).alias("n_fail"),
         F.avg(tx.word_count(x)).alias("mean_words"),
         F.count_if(tx.is_boolean_word(x)).alias("n_boolean"))
 
