@@ -924,20 +924,32 @@ from tabsmith.plans.run import run as run_all  # noqa: E402
 _ORD_FEATS = ["o_custkey", "o_orderdate_year", "o_orderdate_month", "o_orderdate_day", "o_orderdate_dayofweek"]
 
 
-def _clean_orders_sql():
-    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in _ORD_FEATS)
+def _recipe_sql(tab, plain, date_col, feats, target, onehots):
+    """The nine phases in SQL for a table without nulls or formatted text: date parts,
+    IQR capping of non-binary numeric features, one-hot text, target as double."""
+    parts = (f"year({date_col}) AS {date_col}_year, month({date_col}) AS {date_col}_month, "
+             f"day({date_col}) AS {date_col}_day, isodow({date_col}) - 1 AS {date_col}_dayofweek")
+    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}, "
+                   f"count(DISTINCT {c}) AS nd_{c}" for c in feats)
     clipped = ", ".join(
-        f"CASE WHEN q3_{c} - q1_{c} = 0 THEN CAST({c} AS DOUBLE) ELSE greatest(least(CAST({c} AS DOUBLE), "
-        f"q3_{c} + 1.5 * (q3_{c} - q1_{c})), q1_{c} - 1.5 * (q3_{c} - q1_{c})) END AS {c}" for c in _ORD_FEATS)
-    dummies = ", ".join([f"CAST(o_orderstatus = '{v}' AS INTEGER) AS \"o_orderstatus_{v}\"" for v in STATUS]
-                        + [f"CAST(o_orderpriority = '{v}' AS INTEGER) AS \"o_orderpriority_{v}\"" for v in PRIORITY])
+        f"CASE WHEN q3_{c} - q1_{c} = 0 OR nd_{c} <= 2 THEN CAST({c} AS DOUBLE) ELSE greatest(least(CAST({c} AS DOUBLE), "
+        f"q3_{c} + 1.5 * (q3_{c} - q1_{c})), q1_{c} - 1.5 * (q3_{c} - q1_{c})) END AS {c}" for c in feats)
+    dummies = ", ".join(f"CAST({c} = '{v}' AS INTEGER) AS \"{c}_{v}\"" for c, vals in onehots for v in vals)
+    keep = ", ".join(plain + [c for c, _ in onehots])
     return f"""
-WITH p AS (SELECT o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderpriority,
-                  year(o_orderdate) AS o_orderdate_year, month(o_orderdate) AS o_orderdate_month,
-                  day(o_orderdate) AS o_orderdate_day, isodow(o_orderdate) - 1 AS o_orderdate_dayofweek
-           FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL),
+WITH p AS (SELECT {keep}, CAST({target} AS DOUBLE) AS {target}, {parts}
+           FROM {tab} WHERE {target} IS NOT NULL AND {date_col} IS NOT NULL),
 q AS (SELECT {qs} FROM p)
-SELECT {clipped}, o_totalprice, {dummies} FROM p, q"""
+SELECT {clipped}, {target}, {dummies} FROM p, q"""
+
+
+def _clean_orders_sql():
+    return _recipe_sql("orders", ["o_custkey"], "o_orderdate", _ORD_FEATS, "o_totalprice",
+                      [("o_orderstatus", STATUS), ("o_orderpriority", PRIORITY)])
+
+
+_LI_PLAIN = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+_LI_FEATS = _LI_PLAIN + ["l_shipdate_year", "l_shipdate_month", "l_shipdate_day", "l_shipdate_dayofweek"]
 
 
 @register("clean_orders", _clean_orders_sql())
@@ -947,7 +959,8 @@ def q_clean_orders(spark, sf_dir):
     return out
 
 
-@register("clean_lineitem_rows")
+@register("clean_lineitem_rows", _recipe_sql("lineitem", _LI_PLAIN, "l_shipdate", _LI_FEATS, "l_extendedprice",
+                                            [("l_returnflag", ("A", "N", "R")), ("l_linestatus", ("F", "O"))]))
 def q_clean_lineitem_rows(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     out, _ = rcp.clean(li, ["l_extendedprice"])
