@@ -682,7 +682,11 @@ def q_audit_passed_lineitem(spark, sf_dir):
     return aud.audit_passed(aud.audit(raw, clean))
 
 
-@register("audit_passed_clean", "SELECT true AS passed, CAST(0 AS BIGINT) AS n_flaws FROM lineitem LIMIT 1")
+@register("audit_passed_clean", """
+WITH f AS (SELECT count(*) FILTER (WHERE l_quantity IS NULL) AS a, count(*) FILTER (WHERE l_extendedprice IS NULL) AS b
+           FROM lineitem)
+SELECT (CASE WHEN a > 0 THEN 1 ELSE 0 END + CASE WHEN b > 0 THEN 1 ELSE 0 END) = 0 AS passed,
+       CAST(CASE WHEN a > 0 THEN 1 ELSE 0 END + CASE WHEN b > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_flaws FROM f""")
 def q_audit_passed_clean(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     clean = li.select("l_quantity", "l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("r"))

@@ -8,6 +8,7 @@ aggregate pass, so a numeric column holding ``NA`` is still numeric.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,9 +125,13 @@ def pool(dfs: Sequence[DataFrame], names: Sequence[str] | None = None, source_co
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> str:
     """Overwrite ``path``. Spark cannot overwrite a path the plan reads, so that is refused."""
-    target = path.rstrip("/")
+    def norm(p: str) -> str:
+        u = urlparse(p)
+        return (u.netloc + "/" + u.path.lstrip("/")).rstrip("/") if u.scheme else p.rstrip("/")
+
+    target = norm(path)
     for f in df.inputFiles():
-        if f.startswith(target) or f.startswith("file:" + target):
+        if (norm(f) + "/").startswith(target + "/"):
             raise ValueError(f"{path} is an input of this frame; write to a new path")
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
