@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.functions import text as tx
+from tabsmith.functions.dates import parse_datetime
 
 
 @dataclass(frozen=True)
@@ -32,16 +33,19 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
             if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
-def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False) -> DataFrame:
-    """``(column_name, n_nonnull, n_match, n_fail, mean_words, n_boolean)`` in one pass:
-    the string columns are unpivoted and grouped by column, so the aggregate keeps five
-    functions however many columns there are."""
+def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False,
+               date_cols: Sequence[str] = ()) -> DataFrame:
+    """``(column_name, n_nonnull, n_match, n_fail, mean_words, n_boolean, n_parsed)`` in one
+    pass: the string columns are unpivoted and grouped by column, so the aggregate keeps a
+    few functions however many columns there are. ``n_parsed`` (date parse count) is taken
+    only for ``date_cols``."""
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame(
             [], "column_name string, n_nonnull bigint, n_match bigint, n_fail bigint, "
-                "mean_words double, n_boolean bigint")
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("x")) for c in cols]
+                "mean_words double, n_boolean bigint, n_parsed bigint")
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("x"),
+                        F.lit(c in date_cols).alias("hinted")) for c in cols]
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
     x = F.col("x")
     nn = x.isNotNull()
@@ -54,7 +58,8 @@ def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False) -> D
         F.count_if(nn & match).alias("n_match"),
         F.count_if(nn & fail).alias("n_fail"),
         F.avg(tx.word_count(x)).alias("mean_words"),
-        F.count_if(tx.is_boolean_word(x)).alias("n_boolean"))
+        F.count_if(tx.is_boolean_word(x)).alias("n_boolean"),
+        F.count(F.when(F.col("hinted"), parse_datetime(x))).alias("n_parsed"))
 
 
 def decide(stats_rows, keep_sign: bool = False) -> TextPlan:
@@ -75,11 +80,13 @@ def decide(stats_rows, keep_sign: bool = False) -> TextPlan:
     return TextPlan(tuple(fmt), tuple(trunc), tuple(boo), keep_sign=keep_sign, stats=stats)
 
 
-def fit_text(df: DataFrame, exclude: Sequence[str] = (), keep_sign: bool = False) -> TextPlan:
+def fit_text(df: DataFrame, exclude: Sequence[str] = (), keep_sign: bool = False,
+             date_cols: Sequence[str] = ()) -> TextPlan:
+    """X2-X4 decisions; ``stats`` also carries date parse counts for ``date_cols``."""
     cols = string_columns(df, exclude)
     if not cols:
         return TextPlan()
-    return decide(text_stats(df, cols, keep_sign).collect(), keep_sign)
+    return decide(text_stats(df, cols, keep_sign, date_cols).collect(), keep_sign)
 
 
 def apply_text(df: DataFrame, plan: TextPlan) -> DataFrame:

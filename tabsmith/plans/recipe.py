@@ -173,13 +173,23 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     cur = recipe.handle_targets(cur)
     clock.lap("targets")
 
-    # phase 4: text (formatted numbers, long text, yes/no words)
-    recipe.text = text.fit_text(cur, exclude=targets, keep_sign=config.keep_sign)
+    # phase 4: text (formatted numbers, long text, yes/no words). The same pass counts
+    # date parses of date-hinted text: phase 4 leaves the columns it does not select
+    # unchanged, so those counts are what phase 5 would see
+    typed_dates, hinted = dates.date_candidates(cur, exclude=targets)
+    recipe.text = text.fit_text(cur, exclude=targets, keep_sign=config.keep_sign, date_cols=hinted)
     cur = text.apply_text(cur, recipe.text)
     clock.lap("text")
 
     # phase 5: dates
-    recipe.date_columns = tuple(dates.find_dates(cur, exclude=targets))
+    touched = set(recipe.text.formatted) | set(recipe.text.truncated) | set(recipe.text.boolean)
+    found = set(typed_dates)
+    for c in hinted:
+        st = recipe.text.stats.get(c)
+        if c not in touched and st and st["n_nonnull"] and \
+                st["n_parsed"] / st["n_nonnull"] >= fixed.DATE_MIN_PARSED_SHARE:
+            found.add(c)
+    recipe.date_columns = tuple(c for c in cur.columns if c in found)
     cur = dates.date_parts(cur, list(recipe.date_columns))
     clock.lap("dates")
 
