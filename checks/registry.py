@@ -1258,3 +1258,60 @@ def q_clean_report_orders(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     r = rcp.fit(o, rcp.Config(targets=("o_totalprice",)))
     return aud.clean_report(o, r.transform(o), ["o_totalprice"], r.tasks, r.drops, r.encodings())
+
+
+# --------------------------------- CSV source through the whole recipe (S6 + S2 + phases 1-9)
+
+
+def orders_csv_raw(spark, sf_dir) -> DataFrame:
+    """A CSV Spark derives from orders, written and read back as text with typing:
+    formatted amounts, NA tokens, text dates, yes/no words and a text target."""
+    o = table(spark, sf_dir, "orders")
+    text = o.select(
+        F.col("o_orderkey").cast("string").alias("order_key"),
+        F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"), F.lit("NA"))
+         .otherwise(F.col("o_custkey").cast("string")).alias("cust_no"),
+        F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("amount"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("NA")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Yes").otherwise("No").alias("urgent"),
+        F.col("o_orderpriority").alias("priority"))
+    path = src.scratch_path(spark, "orders-raw-csv")
+    src.write_table(text, path, "csv")
+    return src.read_table(spark, path, "csv")
+
+
+def _csv_recipe_sql():
+    feats = ["cust_no", "amount", "order_date_year", "order_date_month", "order_date_day", "order_date_dayofweek"]
+    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in feats)
+    clipped = ", ".join(
+        f"round(CASE WHEN q3_{c} - q1_{c} = 0 THEN CAST({c} AS DOUBLE) ELSE greatest(least(CAST({c} AS DOUBLE), "
+        f"q3_{c} + 1.5 * (q3_{c} - q1_{c})), q1_{c} - 1.5 * (q3_{c} - q1_{c})) END, 4) AS {c}" for c in feats)
+    return f"""
+WITH raw AS (
+  SELECT CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS cust_no,
+         round(o_totalprice, 2) AS amount,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+         o_orderdate AS d,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS urgent,
+         o_orderpriority AS priority_label
+  FROM orders),
+codes AS (SELECT priority_label AS label, CAST(dense_rank() OVER (ORDER BY priority_label) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT priority_label FROM raw)),
+m AS (SELECT status AS mode FROM raw WHERE status IS NOT NULL GROUP BY status ORDER BY count(*) DESC, status LIMIT 1),
+p AS (SELECT cust_no, amount, coalesce(status, mode) AS status, year(d) AS order_date_year, month(d) AS order_date_month,
+             day(d) AS order_date_day, isodow(d) - 1 AS order_date_dayofweek, urgent, codes.code AS priority
+      FROM raw JOIN codes ON raw.priority_label = codes.label, m),
+f AS (SELECT CASE WHEN skewness(cust_no) > 1 THEN median(cust_no) ELSE avg(cust_no) END AS fc FROM p),
+g AS (SELECT coalesce(cust_no, fc) AS cust_no, amount, status, order_date_year, order_date_month, order_date_day,
+             order_date_dayofweek, urgent, priority FROM p, f),
+q AS (SELECT {qs} FROM g)
+SELECT {clipped}, urgent, priority, CAST(status = 'F' AS INTEGER) AS status_F, CAST(status = 'O' AS INTEGER) AS status_O
+FROM g, q"""
+
+
+@register("clean_csv_orders", _csv_recipe_sql())
+def q_clean_csv_orders(spark, sf_dir):
+    df = orders_csv_raw(spark, sf_dir)
+    out, _ = rcp.clean(df, "priority")
+    return out.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in out.dtypes])
