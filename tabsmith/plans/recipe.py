@@ -194,7 +194,12 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     clock.lap("dates")
 
     # phase 6: fill (skew measured after phases 4-5; targets never filled)
-    recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=distinct)
+    # proven distinct-count bounds: raw columns keep theirs (parsing and word mapping can
+    # only merge values; a fill adds one); date parts are bounded by the calendar
+    bounded = {c: n + 1 for c, n in distinct.items()}
+    for d in recipe.date_columns:
+        bounded.update({f"{d}_year": 10_000, f"{d}_month": 12, f"{d}_day": 31, f"{d}_dayofweek": 7})
+    recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=bounded)
     cur = impute.apply_fill(cur, recipe.fill)
     clock.lap("fill")
 
@@ -202,9 +207,9 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     num = impute.numeric_columns(cur, exclude=targets)
     mm = {c: (s["min"], s["max"]) for c, s in recipe.fill.stats.items() if c in num}
     if all(c in mm for c in num):
-        recipe.bounds = outliers.fit_iqr(cur, num, distinct=distinct, bounds=mm)
+        recipe.bounds = outliers.fit_iqr(cur, num, distinct=bounded, bounds=mm)
     else:
-        recipe.bounds = outliers.fit_iqr(cur, num, distinct=distinct)
+        recipe.bounds = outliers.fit_iqr(cur, num, distinct=bounded)
     cur = outliers.clip(cur, recipe.bounds)
     clock.lap("outliers")
 
