@@ -138,12 +138,14 @@ def bool_to_int(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def fit_encoding(df: DataFrame, exclude: Sequence[str] = (),
-                 max_levels: int = fixed.CLASS_MAX_DISTINCT) -> EncodePlan:
-    """E5 plan: booleans cast, few-level text one-hot, many-level text label-encoded."""
+                 max_levels: int = fixed.CLASS_MAX_DISTINCT, levels: dict | None = None) -> EncodePlan:
+    """E5 plan: booleans cast, few-level text one-hot, many-level text label-encoded.
+    ``levels`` (column -> levels or None) skips the probe for columns already probed."""
     booleans = tuple(f.name for f in df.schema.fields
                      if isinstance(f.dataType, T.BooleanType) and f.name not in exclude)
     texts = text_features(df, exclude)
-    levels = fit_levels(df, texts, max_levels)
+    known = {c: v for c, v in (levels or {}).items() if c in texts}
+    levels = {**fit_levels(df, [c for c in texts if c not in known], max_levels), **known}
     oh = {c: v for c, v in levels.items() if v is not None}
     lab = tuple(c for c in texts if levels[c] is None)
     maps, counts = label_codes_counted(df, lab) if lab else (None, {})

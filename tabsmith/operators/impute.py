@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.functions.stats import is_numeric, nan_to_null
-from tabsmith.operators.profile import moments, top_values_long
+from tabsmith.operators.profile import _ranked_values, moments, top_values_long, value_counts
+from tabsmith.operators.topk import top_k_per_group
 from tabsmith.operators.quantiles import exact_quantiles
 
 
@@ -23,6 +24,7 @@ from tabsmith.operators.quantiles import exact_quantiles
 class FillPlan:
     numeric: dict = field(default_factory=dict)      # column -> (fill, "mean"/"median")
     categorical: dict = field(default_factory=dict)  # column -> fill label
+    levels: dict = field(default_factory=dict, compare=False)  # text column -> levels or None
     stats: dict = field(default_factory=dict, compare=False)  # column -> moments
 
 
@@ -76,11 +78,48 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "column_name", F.coalesce("mode", F.lit(fixed.UNKNOWN_LABEL)).alias("mode"))
 
 
-def fit_fill(df: DataFrame, exclude: Sequence[str] = (), distinct: dict | None = None) -> FillPlan:
-    """Numeric and categorical fill for every feature; targets are never filled."""
+def fit_modes_and_levels(df: DataFrame, cols: Sequence[str], max_levels: int = fixed.CLASS_MAX_DISTINCT):
+    """I2 modes and, for text columns, the one-hot level probe (first ``max_levels + 1``
+    values in order) from one value-count shuffle: both rankings read the same counts,
+    so Spark reuses the exchange. Returns ``(modes, levels)``; levels are None for a
+    column with more than ``max_levels`` values.
+
+    Filling a column with its own mode adds no level, so the levels hold for the filled
+    column too; a column with no value at all fills to, and has the one level, 'Unknown'.
+    """
+    if not cols:
+        return {}, {}
+    counts = value_counts(df, list(cols))
+    modes = _ranked_values(counts, 1).select("ordinal", "v_str", F.lit("mode").alias("kind"))
+    # values are distinct within a column, so the count tiebreak never decides; it keeps
+    # both rankings reading the same aggregate columns, which lets Spark reuse the shuffle
+    probe = (top_k_per_group(counts, ["ordinal"], [F.col("v_str").asc(), F.col("cnt").desc()],
+                             max_levels + 1, F.xxhash64("v_long", "v_dbl", "v_str"))
+             .select("ordinal", "v_str", F.lit("level").alias("kind")))
+    got_mode, got_levels = {}, {}
+    for r in modes.unionByName(probe).collect():
+        if r["kind"] == "mode":
+            got_mode[r["ordinal"]] = r["v_str"]
+        else:
+            got_levels.setdefault(r["ordinal"], []).append(r["v_str"])
+    out_modes, out_levels = {}, {}
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    for c in cols:
+        i = df.columns.index(c)
+        out_modes[c] = got_mode.get(i, fixed.UNKNOWN_LABEL)
+        if isinstance(fields[c], T.StringType):
+            vals = sorted(got_levels.get(i, [])) or [fixed.UNKNOWN_LABEL]
+            out_levels[c] = tuple(vals) if len(vals) <= max_levels else None
+    return out_modes, out_levels
+
+
+def fit_fill(df: DataFrame, exclude: Sequence[str] = (), distinct: dict | None = None,
+             max_levels: int = fixed.CLASS_MAX_DISTINCT) -> FillPlan:
+    """Numeric and categorical fill for every feature; targets are never filled.
+    The one-hot level probe of phase 8 comes from the same shuffle as the modes."""
     num = fit_numeric_fill(df, numeric_columns(df, exclude), distinct)
-    cat = fit_mode_fill(df, categorical_columns(df, exclude))
-    return FillPlan(numeric=num.numeric, categorical=cat, stats=num.stats)
+    modes, levels = fit_modes_and_levels(df, categorical_columns(df, exclude), max_levels)
+    return FillPlan(numeric=num.numeric, categorical=modes, stats=num.stats, levels=levels)
 
 
 def apply_fill(df: DataFrame, plan: FillPlan) -> DataFrame:

@@ -199,7 +199,7 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     bounded = {c: n + 1 for c, n in distinct.items()}
     for d in recipe.date_columns:
         bounded.update({f"{d}_year": 10_000, f"{d}_month": 12, f"{d}_day": 31, f"{d}_dayofweek": 7})
-    recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=bounded)
+    recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=bounded, max_levels=config.max_levels)
     cur = impute.apply_fill(cur, recipe.fill)
     clock.lap("fill")
 
@@ -214,7 +214,8 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     clock.lap("outliers")
 
     # phase 8: encode text / boolean features
-    recipe.encoding = encode.fit_encoding(cur, exclude=targets, max_levels=config.max_levels)
+    recipe.encoding = encode.fit_encoding(cur, exclude=targets, max_levels=config.max_levels,
+                                          levels=recipe.fill.levels)
     cur = encode.apply_encoding(cur, recipe.encoding)
     clock.lap("encode")
 
