@@ -47,6 +47,13 @@ def find_constants(profile: DataFrame) -> DataFrame:
         "column_name", F.lit("constant").alias("reason"))
 
 
+def collected_profile(df: DataFrame) -> DataFrame:
+    """The profile computed once and held as a small local frame (one row per column), so
+    the several rules that read it do not each recompute it."""
+    prof = build_profile(df, digits=None)
+    return df.sparkSession.createDataFrame(prof.collect(), prof.schema)
+
+
 def find_duplicate_columns(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """``(column_name, duplicate_of)`` for each column equal, row by row and null for
     null, to an earlier column of the same type; the earliest copy is kept.
@@ -81,7 +88,7 @@ def find_duplicate_columns(df: DataFrame, profile: DataFrame | None = None) -> D
 def plan_drops(df: DataFrame, targets: Sequence[str] = (), profile: DataFrame | None = None,
                protect_text: bool = True) -> DataFrame:
     """D5 + D6: ``(column_name, reasons)``, reasons sorted and comma-joined; targets are kept."""
-    profile = profile if profile is not None else build_profile(df, digits=None)
+    profile = profile if profile is not None else collected_profile(df)
     dup = find_duplicate_columns(df, profile).select(
         "column_name", F.lit("duplicate").alias("reason"))
     allr = (find_ids(profile, protect_text).unionByName(find_high_null(profile))
