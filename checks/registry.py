@@ -709,9 +709,8 @@ r AS (SELECT row_number() OVER (ORDER BY h) <= ceil(0.2 * n) AS t FROM h, c)
 SELECT count(*) FILTER (WHERE NOT t) AS n_train, count(*) FILTER (WHERE t) AS n_test FROM r""")
 def q_split_sizes_lineitem(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    train, test = spl.split(li, ["l_orderkey", "l_linenumber"])
-    return train.agg(F.count(F.lit(1)).alias("n_train")).join(
-        test.agg(F.count(F.lit(1)).alias("n_test")), how="inner")
+    flagged = spl.split_flags(li, ["l_orderkey", "l_linenumber"])
+    return flagged.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
 
 
 @register("split_tiny_region", "SELECT r_regionkey, r_name, true AS is_test FROM region WHERE false "
@@ -897,7 +896,7 @@ def q_prediction_checks_lineitem(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     lim = met.target_limits(li, ["l_extendedprice"]).first()
     p = li.select((F.col("l_quantity") * 950.0 + 1000.0).alias("p"))
-    return ver.collapse_check(p, "p").join(ver.domain_check(p, "p", lim["min"], lim["max"]), how="inner")
+    return ver.prediction_checks(p, "p", lim["min"], lim["max"])
 
 
 @register("scorecard_lineitem", f"""

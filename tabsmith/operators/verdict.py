@@ -47,3 +47,10 @@ def domain_check(df: DataFrame, pred: str, lo: float, hi: float) -> DataFrame:
     p = F.col(f"`{pred}`")
     n = F.count_if((p < F.lit(lo)) | (p > F.lit(hi)))
     return df.agg(n.alias("n_outside"), (n == 0).alias("inside"))
+
+
+def prediction_checks(df: DataFrame, pred: str, lo: float, hi: float) -> DataFrame:
+    """Q6 + Q7 in one aggregate: ``(varies, n_outside, inside)``."""
+    p = F.col(f"`{pred}`")
+    n = F.count_if((p < F.lit(lo)) | (p > F.lit(hi)))
+    return df.agg((F.min(p) < F.max(p)).alias("varies"), n.alias("n_outside"), (n == 0).alias("inside"))
