@@ -975,7 +975,20 @@ def documents_labelled(spark, sf_dir) -> DataFrame:
     return d.join(l, "doc_id")
 
 
-@register("recipe_mappings_documents")
+@register("recipe_mappings_documents", """
+WITH j AS (SELECT d.text, d.source FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+w AS (SELECT avg(CASE WHEN trim(text) = '' THEN 0 ELSE len(string_split_regex(trim(text), '\\s+')) END) AS tw,
+             avg(CASE WHEN trim(source) = '' THEN 0 ELSE len(string_split_regex(trim(source), '\\s+')) END) AS sw FROM j),
+t AS (SELECT CASE WHEN tw > 3 THEN array_to_string(list_slice(string_split_regex(trim(text), '\\s+'), 1, 2), ' ')
+             ELSE text END AS text,
+             CASE WHEN sw > 3 THEN array_to_string(list_slice(string_split_regex(trim(source), '\\s+'), 1, 2), ' ')
+             ELSE source END AS source FROM j, w),
+n AS (SELECT count(DISTINCT text) AS nt, count(DISTINCT source) AS ns FROM t)
+SELECT 'text' AS column_name, text AS label, CAST(dense_rank() OVER (ORDER BY text) - 1 AS INTEGER) AS code
+FROM (SELECT DISTINCT text FROM t) WHERE (SELECT nt FROM n) > 15
+UNION ALL
+SELECT 'source', source, CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER)
+FROM (SELECT DISTINCT source FROM t) WHERE (SELECT ns FROM n) > 15""")
 def q_recipe_mappings_documents(spark, sf_dir):
     r = rcp.fit(documents_labelled(spark, sf_dir), rcp.Config(targets=("quality",)))
     return r.mappings
@@ -1252,7 +1265,15 @@ def q_audit_stats_orders(spark, sf_dir):
     return prof.audit_stats(o, clean)
 
 
-@register("clean_report_orders")
+@register("clean_report_orders", """
+WITH s AS (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS nk, count(DISTINCT o_totalprice) AS nt,
+                  count(DISTINCT o_orderstatus) AS ns, count(DISTINCT o_orderpriority) AS np FROM orders)
+SELECT 'original_shape' AS item, CAST(n AS VARCHAR) || ' x 6' AS value FROM s
+UNION ALL SELECT 'cleaned_shape', CAST(n AS VARCHAR) || ' x ' || CAST(2 + 4 + ns + np AS VARCHAR) FROM s
+UNION ALL SELECT 'target:o_totalprice', CASE WHEN nt <= 15 THEN 'Classification' ELSE 'Regression' END FROM s
+UNION ALL SELECT 'dropped:o_orderkey', 'id' FROM s WHERE nk = n
+UNION ALL SELECT 'encoding:o_orderpriority', CASE WHEN np <= 15 THEN 'one_hot' ELSE 'label' END FROM s
+UNION ALL SELECT 'encoding:o_orderstatus', CASE WHEN ns <= 15 THEN 'one_hot' ELSE 'label' END FROM s""")
 def q_clean_report_orders(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     r = rcp.fit(o, rcp.Config(targets=("o_totalprice",)))
