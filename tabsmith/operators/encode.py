@@ -70,23 +70,34 @@ def one_hot(df: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
     return df.select(*keep, *dummies)
 
 
-def label_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+LABELS_PER_PARTITION = 200_000
+
+
+def label_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
+                expected: int | None = None) -> DataFrame:
     """E2 + E4: mapping ``(column_name, label, code)`` with codes 0.. in sorted label order."""
-    return label_codes_counted(df, cols, partitions)[0]
+    return label_codes_counted(df, cols, partitions, expected)[0]
 
 
-def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | None = None):
-    """``(mapping, {column: number of labels})``; the counts come from the offset pass."""
+def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
+                        expected: int | None = None):
+    """``(mapping, {column: number of labels})``; the counts come from the offset pass.
+
+    Range partitions: ``partitions`` if given; else sized from ``expected`` (an upper
+    bound on the number of labels, e.g. profile distinct counts) at about 200k labels
+    each; else left to AQE, which coalesces adjacent ranges of a small label set.
+    """
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], "column_name string, label string, code int"), {}
     ensure_checkpoint_dir(spark)
-    parts = partitions or shuffle_partitions(spark)
+    if partitions is None and expected is not None:
+        partitions = max(1, min(shuffle_partitions(spark), -(-expected // LABELS_PER_PARTITION)))
     pairs = (value_counts(df, list(cols)).filter(F.col("v_str").isNotNull())
              .select("ordinal", F.col("v_str").alias("label")))
-    ranged = (pairs.repartitionByRange(parts, "ordinal", "label")
-              .sortWithinPartitions("ordinal", "label")
-              .checkpoint(eager=True))
+    ranged = (pairs.repartitionByRange(partitions, "ordinal", "label") if partitions
+              else pairs.repartitionByRange("ordinal", "label"))
+    ranged = ranged.sortWithinPartitions("ordinal", "label").checkpoint(eager=True)
     pos = ranged.select("ordinal", "label", F.spark_partition_id().alias("pid"),
                         F.monotonically_increasing_id().alias("mid"))
     counts = sorted((r["ordinal"], r["pid"], r["n"]) for r in
@@ -138,7 +149,8 @@ def bool_to_int(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def fit_encoding(df: DataFrame, exclude: Sequence[str] = (),
-                 max_levels: int = fixed.CLASS_MAX_DISTINCT, levels: dict | None = None) -> EncodePlan:
+                 max_levels: int = fixed.CLASS_MAX_DISTINCT, levels: dict | None = None,
+                 distinct: dict | None = None) -> EncodePlan:
     """E5 plan: booleans cast, few-level text one-hot, many-level text label-encoded.
     ``levels`` (column -> levels or None) skips the probe for columns already probed."""
     booleans = tuple(f.name for f in df.schema.fields
@@ -148,7 +160,8 @@ def fit_encoding(df: DataFrame, exclude: Sequence[str] = (),
     levels = {**fit_levels(df, [c for c in texts if c not in known], max_levels), **known}
     oh = {c: v for c, v in levels.items() if v is not None}
     lab = tuple(c for c in texts if levels[c] is None)
-    maps, counts = label_codes_counted(df, lab) if lab else (None, {})
+    bound = sum(distinct[c] for c in lab) if distinct and all(c in distinct for c in lab) else None
+    maps, counts = label_codes_counted(df, lab, expected=bound) if lab else (None, {})
     return EncodePlan(one_hot=oh, label=lab, boolean=booleans, mappings=maps, label_counts=counts)
 
 

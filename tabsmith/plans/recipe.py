@@ -161,7 +161,8 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     recipe.target_coded = coded
     cur = target.drop_null_target(cur, targets)
     if coded:
-        recipe.target_mapping, recipe.target_classes = encode.label_codes_counted(cur, coded)
+        recipe.target_mapping, recipe.target_classes = encode.label_codes_counted(
+            cur, coded, expected=sum(distinct[t] for t in coded))
     for t in targets:
         nd = distinct[t]
         if t in coded and not config.parity:
@@ -215,7 +216,7 @@ def fit(df: DataFrame, config: Config) -> Recipe:
 
     # phase 8: encode text / boolean features
     recipe.encoding = encode.fit_encoding(cur, exclude=targets, max_levels=config.max_levels,
-                                          levels=recipe.fill.levels)
+                                          levels=recipe.fill.levels, distinct=bounded)
     cur = encode.apply_encoding(cur, recipe.encoding)
     clock.lap("encode")
 
