@@ -15,6 +15,11 @@ def get_spark(master: str | None = None, app: str = "tabsmith",
     AQE stays on (coalescing, skew-join splitting); the UI stays off; time is UTC
     so date parts do not depend on the host.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # a running session (a cluster job, a notebook) keeps its own settings
+        ensure_checkpoint_dir(active)
+        return active
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
