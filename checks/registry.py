@@ -1335,3 +1335,9 @@ def q_clean_csv_orders(spark, sf_dir):
     df = orders_csv_raw(spark, sf_dir)
     out, _ = rcp.clean(df, "priority")
     return out.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in out.dtypes])
+
+
+@register("run_fit_on_train_orders")
+def q_run_fit_on_train_orders(spark, sf_dir):
+    """The leakage-free variant: statistics fitted on the training rows only."""
+    return run_all(table(spark, sf_dir, "orders"), "o_totalprice", "o_orderkey", fit_on="train").metrics

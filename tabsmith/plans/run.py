@@ -38,7 +38,7 @@ class RunResult:
 
 def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws: bool = False,
         test_share: float = fixed.TEST_SHARE, seed: int = fixed.SEED, clean_path: str | None = None,
-        **config) -> RunResult:
+        fit_on: str = "all", **config) -> RunResult:
     """Clean ``df``, audit it, split it exactly by ``key``, fit one model per target, score
     the whole test table and judge the metrics.
 
@@ -46,27 +46,43 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     folder under the shared checkpoint folder) and read back: the split and training
     passes then read compact numeric columns, and the lineage is cut, so a lost executor
     recomputes from that table rather than from the raw source.
+
+    ``fit_on="all"`` (default) fits the cleaning statistics on every row and splits the
+    clean table, as the reference does; ``fit_on="train"`` splits the raw rows first (the
+    same exact hash split) and fits on the training rows only, so no test row informs a
+    fill value, bound or code.
     """
     targets = (targets,) if isinstance(targets, str) else tuple(targets)
     keys = [key] if isinstance(key, str) else list(key)
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
+    kcols = [f"__key_{k}" for k in keys]
+    # the split key is carried through cleaning even when the ID rule drops it
+    carried = df.select(*[F.col(f"`{k}`").alias(c) for k, c in zip(keys, kcols)], "*")
+    fit_df = df
+    if fit_on == "train":
+        carried = split.split_flags(carried, kcols, test_share, seed).withColumnRenamed("is_test", "__is_test")
+        fit_df = carried.filter(~F.col("__is_test")).drop("__is_test", *kcols)
     # the contract (V1-V5) is checked once on the written table below, not on the lineage
     config.setdefault("validate", False)
-    recipe = fit(df, Config(targets=targets, **config))
-    # the split key is carried through cleaning even when the ID rule drops it
-    carried = df.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], "*")
+    recipe = fit(fit_df, Config(targets=targets, **config))
     clean_path = clean_path or scratch_path(df.sparkSession, "clean")
     recipe.transform(carried).write.mode("overwrite").parquet(clean_path)
     clean = df.sparkSession.read.parquet(clean_path)
-    clean_feats = clean.drop(*[f"__key_{k}" for k in keys])
+    extra = kcols + (["__is_test"] if fit_on == "train" else [])
+    clean_feats = clean.drop(*extra)
     audit.assert_clean(clean_feats, targets)
     flaws = audit.audit(df, clean_feats)
     if not allow_flaws:
         bad = flaws.collect()
         if bad:
             raise ValueError("audit failed: " + "; ".join(f"{r.column_name}:{r.flaw}" for r in bad))
-    train_k, test_k = split.split(clean, [f"__key_{k}" for k in keys], test_share, seed)
-    train = train_k.drop(*[f"__key_{k}" for k in keys])
-    test = test_k.drop(*[f"__key_{k}" for k in keys])
+    if fit_on == "train":
+        train = clean.filter(~F.col("__is_test")).drop(*extra)
+        test = clean.filter(F.col("__is_test")).drop(*extra)
+    else:
+        train_k, test_k = split.split(clean, kcols, test_share, seed)
+        train, test = train_k.drop(*extra), test_k.drop(*extra)
     task_set = set(recipe.tasks.values())
     strategy = "Classification" if task_set == {"Classification"} else (
         "Regression" if task_set == {"Regression"} else "Mixed")
@@ -82,7 +98,7 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     shown = split.display_columns(train.columns, targets)
     preds = metrics.prediction_table(scored, shown, targets, recipe.target_mapping, recipe.target_coded,
                                      recipe.target_classes)
-    record = {"targets": list(targets), "tasks": recipe.tasks, "algorithm": algo,
+    record = {"targets": list(targets), "tasks": recipe.tasks, "algorithm": algo, "fit_on": fit_on,
               "dropped": recipe.drops, "encodings": recipe.encodings()}
     return RunResult(recipe, clean_feats, flaws, train, test, trained, scored, mets, card, verdicts,
                      preds, record)

@@ -16,3 +16,14 @@ def test_recipe_and_models_score_a_stream(spark):
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     assert got.count() == o.count() and "Pred_o_totalprice" in got.columns
+
+
+def test_fit_on_train_uses_training_rows_only(spark):
+    import math
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    n = o.count()
+    res = run(o, "o_totalprice", "o_orderkey", fit_on="train")
+    assert res.test.count() == math.ceil(0.2 * n)
+    assert res.train.count() == n - math.ceil(0.2 * n)
+    assert res.recipe.profile_rows[0].n_rows == n - math.ceil(0.2 * n)
+    assert res.record["fit_on"] == "train"
