@@ -123,7 +123,9 @@ def fit_fill(df: DataFrame, exclude: Sequence[str] = (), distinct: dict | None =
 
 
 def apply_fill(df: DataFrame, plan: FillPlan) -> DataFrame:
-    """One projection. Numeric columns that had nulls become double; text keeps its type."""
+    """One projection. Numeric columns that had nulls when fitted become double (as a
+    pandas column with missing values is float); the others keep their type and take the
+    fill cast to it, so a table with nulls the fitted one lacked is still filled."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
@@ -134,6 +136,8 @@ def apply_fill(df: DataFrame, plan: FillPlan) -> DataFrame:
             had_nulls = st is None or st["nn"] < st["n"]
             if fill is not None and had_nulls:
                 x = F.coalesce(nan_to_null(x, fields[c]).cast("double"), F.lit(float(fill)))
+            elif fill is not None:
+                x = F.coalesce(nan_to_null(x, fields[c]), F.lit(float(fill)).cast(fields[c]))
         elif c in plan.categorical:
             fill = plan.categorical[c]
             if isinstance(fields[c], T.BooleanType):

@@ -94,3 +94,12 @@ def test_csv_typing(spark):
     nulls = df.select(*[F.when(F.col(c).isin("NA"), None).otherwise(F.col(c)).alias(c) for c in df.columns])
     t = dict(infer_types(nulls).dtypes)
     assert t == {"i": "bigint", "f": "double", "b": "boolean", "n": "double", "s": "string"}
+
+
+def test_fill_covers_nulls_unseen_at_fit(spark):
+    fitted = spark.createDataFrame([(1, 2.0), (2, 4.0), (3, 6.0)], "k int, a double")
+    plan = impute.fit_fill(fitted)
+    new = spark.createDataFrame([(None, None), (5, 1.0)], "k int, a double")
+    out = impute.apply_fill(new, plan)
+    assert dict(out.dtypes) == {"k": "int", "a": "double"}
+    assert sorted((r.k, r.a) for r in out.collect()) == [(2, 4.0), (5, 1.0)]
