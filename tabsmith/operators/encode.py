@@ -22,6 +22,7 @@ from tabsmith.operators.topk import top_k_per_group
 from tabsmith.session import ensure_checkpoint_dir, shuffle_partitions
 
 BROADCAST_MAX_LABELS = 2_000_000   # a mapping this small (counted exactly) is broadcast
+UNSEEN_CODE = -1                   # code of a label the mapping does not hold (decodes to 'Unknown')
 
 
 @dataclass(frozen=True)
@@ -123,7 +124,8 @@ def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | No
 
 def apply_labels(df: DataFrame, mappings: DataFrame, cols: Sequence[str],
                  counts: dict[str, int] | None = None) -> DataFrame:
-    """Replace each label column by its code (left join; a label never seen stays null).
+    """Replace each label column by its code (left join). A label absent from the mapping
+    (a table the recipe was not fitted on) gets ``UNSEEN_CODE``; a null stays null.
 
     The mapping side is broadcast only when its exact size is known and small;
     otherwise it is a shuffle join, where AQE splits a hot label's partition.
@@ -135,8 +137,9 @@ def apply_labels(df: DataFrame, mappings: DataFrame, cols: Sequence[str],
         n = (counts or {}).get(c)
         if n is not None and n <= BROADCAST_MAX_LABELS:
             m = F.broadcast(m)
+        code = F.when(F.col(f"`{c}`").isNotNull(), F.coalesce(F.col("__code"), F.lit(UNSEEN_CODE)))
         out = (out.join(m, out[f"`{c}`"] == m["__label"], "left")
-                  .select(*[F.col("__code").alias(x) if x == c else F.col(f"`{x}`") for x in df.columns]))
+                  .select(*[code.alias(x) if x == c else F.col(f"`{x}`") for x in df.columns]))
     return out
 
 

@@ -103,3 +103,13 @@ def test_fill_covers_nulls_unseen_at_fit(spark):
     out = impute.apply_fill(new, plan)
     assert dict(out.dtypes) == {"k": "int", "a": "double"}
     assert sorted((r.k, r.a) for r in out.collect()) == [(2, 4.0), (5, 1.0)]
+
+
+def test_unseen_label_code(spark):
+    fitted = spark.createDataFrame([(f"l{i:02d}",) for i in range(20)], "c string")
+    m = encode.label_codes(fitted, ["c"])
+    new = spark.createDataFrame([("l03",), ("zzz",), (None,)], "c string")
+    got = sorted(((r.c if r.c is not None else -9)) for r in encode.apply_labels(new, m, ["c"], {"c": 20}).collect())
+    assert got == [-9, -1, 3]
+    back = encode.decode(encode.apply_labels(new, m, ["c"], {"c": 20}), m, {"c": "c"})
+    assert sorted(r.c for r in back.collect()) == ["Unknown", "Unknown", "l03"]
