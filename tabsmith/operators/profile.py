@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.functions.stats import g1_skew, is_integral, is_numeric, nan_to_null

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tabsmith import fixed
 from tabsmith.operators.profile import profile as build_profile
 
-NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def _has_id_hint(name_col):
