@@ -30,15 +30,19 @@ def split_hash(key: str | Sequence[str], seed: int = fixed.SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key_column(key)))
 
 
-def _cut(hashed: DataFrame, k: int, small: int = SMALL) -> str:
-    """The k-th smallest value (1-based) of column ``h``."""
+def _prefix_counts(scope: DataFrame, start: int) -> list[tuple[str, int]]:
+    b = F.substring("h", start, PREFIX_HEX)
+    return sorted((r["b"], r["n"]) for r in
+                  scope.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _cut(hashed: DataFrame, k: int, small: int = SMALL, first: list | None = None) -> str:
+    """The k-th smallest value (1-based) of column ``h``; ``first`` reuses the level-one
+    prefix counts when the caller already has them."""
     prefix, rank = "", k
     scope = hashed
     while True:
-        start = len(prefix) + 1
-        b = F.substring("h", start, PREFIX_HEX)
-        counts = sorted((r["b"], r["n"]) for r in
-                        scope.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        counts = first if (first is not None and not prefix) else _prefix_counts(scope, len(prefix) + 1)
         before = 0
         for bucket, n in counts:
             if before + n >= rank:
@@ -53,29 +57,39 @@ def _cut(hashed: DataFrame, k: int, small: int = SMALL) -> str:
                     .filter(F.col("rn") == rank).select("h").first()["h"])
 
 
+def _exact_flags(df: DataFrame, key, test_share: float, seed: int) -> tuple[DataFrame, int]:
+    """``(df with is_test, n)``. The row count is the sum of the first prefix counts, so
+    counting and cutting share a pass."""
+    h = split_hash(key, seed)
+    hashed = df.select(h.alias("h"))
+    first = _prefix_counts(hashed, 1)
+    n = sum(c for _, c in first)
+    if n < fixed.TINY_TABLE_ROWS:
+        return df.withColumn("is_test", F.lit(True)), n
+    cut_h = _cut(hashed, math.ceil(test_share * n), first=first)
+    return df.withColumn("is_test", h <= F.lit(cut_h)), n
+
+
 def split_flags(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TEST_SHARE,
-                seed: int = fixed.SEED, mode: str = "exact", n: int | None = None) -> DataFrame:
+                seed: int = fixed.SEED, mode: str = "exact") -> DataFrame:
     """``df`` plus ``is_test``. ``mode='exact'``: exactly ceil(share*n) test rows (key must be
-    unique); ``mode='bernoulli'``: each row independently by hash, no extra pass."""
-    h = split_hash(key, seed)
+    unique); below five rows every row is a test row. ``mode='bernoulli'``: each row
+    independently by hash, no extra pass."""
     if mode == "bernoulli":
         cut = F.pmod(F.xxhash64(key_column(key), F.lit(seed)), F.lit(10_000)) < int(test_share * 10_000)
         return df.withColumn("is_test", cut)
-    n = df.count() if n is None else n
-    if n < fixed.TINY_TABLE_ROWS:
-        return df.withColumn("is_test", F.lit(True))
-    k = math.ceil(test_share * n)
-    cut_h = _cut(df.select(h.alias("h")), k)
-    return df.withColumn("is_test", h <= F.lit(cut_h))
+    return _exact_flags(df, key, test_share, seed)[0]
 
 
 def split(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TEST_SHARE,
           seed: int = fixed.SEED, mode: str = "exact") -> tuple[DataFrame, DataFrame]:
     """F1 + F2: (train, test). Below five rows both are the whole table."""
-    n = df.count() if mode == "exact" else None
-    if n is not None and n < fixed.TINY_TABLE_ROWS:
-        return df, df
-    flagged = split_flags(df, key, test_share, seed, mode, n)
+    if mode == "exact":
+        flagged, n = _exact_flags(df, key, test_share, seed)
+        if n < fixed.TINY_TABLE_ROWS:
+            return df, df
+    else:
+        flagged = split_flags(df, key, test_share, seed, mode)
     return (flagged.filter(~F.col("is_test")).drop("is_test"),
             flagged.filter(F.col("is_test")).drop("is_test"))
 
