@@ -15,11 +15,12 @@ reach the driver; label mappings stay distributed.
 
 from __future__ import annotations
 
+import json
 import logging
 import time
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,3 +234,56 @@ def clean(df: DataFrame, targets, **kw) -> tuple[DataFrame, Recipe]:
     """Fit and apply in one call: ``(clean frame, recipe)``."""
     r = fit(df, Config(targets=tuple([targets] if isinstance(targets, str) else targets), **kw))
     return r.transform(df), r
+
+
+def save_recipe(recipe: Recipe, path: str) -> str:
+    """Write the fitted decisions as one JSON document (``path/recipe``) and the label
+    mappings as JSON lines (``path/mappings``), so the recipe can be applied later."""
+    from tabsmith.sources.records import write_mappings
+    spark = SparkSession.getActiveSession()
+    doc = {
+        "config": asdict(recipe.config), "columns": list(recipe.columns), "drops": recipe.drops,
+        "tasks": recipe.tasks, "target_coded": list(recipe.target_coded),
+        "target_classes": recipe.target_classes,
+        "text": {"formatted": list(recipe.text.formatted), "truncated": list(recipe.text.truncated),
+                 "boolean": list(recipe.text.boolean), "keep_words": recipe.text.keep_words,
+                 "keep_sign": recipe.text.keep_sign},
+        "date_columns": list(recipe.date_columns),
+        "fill": {"numeric": {c: list(v) for c, v in recipe.fill.numeric.items()},
+                 "categorical": recipe.fill.categorical,
+                 "stats": {c: {"n": st["n"], "nn": st["nn"]} for c, st in recipe.fill.stats.items()}},
+        "bounds": {c: list(v) for c, v in recipe.bounds.items()},
+        "encoding": {"one_hot": {c: list(v) for c, v in recipe.encoding.one_hot.items()},
+                     "label": list(recipe.encoding.label), "boolean": list(recipe.encoding.boolean),
+                     "label_counts": recipe.encoding.label_counts},
+    }
+    spark.createDataFrame([(json.dumps(doc),)], "recipe string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/recipe")
+    if recipe.mappings is not None:
+        write_mappings(recipe.mappings, f"{path}/mappings")
+    return path
+
+
+def load_recipe(spark, path: str) -> Recipe:
+    """Read a recipe written by ``save_recipe``; mappings stay distributed."""
+    from tabsmith.sources.records import read_mappings
+    doc = json.loads(spark.read.text(f"{path}/recipe").first()[0])
+    maps = read_mappings(spark, f"{path}/mappings")
+    coded = tuple(doc["target_coded"])
+    enc = doc["encoding"]
+    target_map = maps.filter(F.col("column_name").isin(list(coded))) if (maps is not None and coded) else None
+    label_map = maps.filter(F.col("column_name").isin(enc["label"])) if (maps is not None and enc["label"]) else None
+    cfg = doc["config"]
+    cfg["targets"] = tuple(cfg["targets"])
+    return Recipe(
+        config=Config(**cfg), columns=tuple(doc["columns"]), drops=doc["drops"], tasks=doc["tasks"],
+        target_coded=coded, target_mapping=target_map, target_classes=doc["target_classes"],
+        text=text.TextPlan(tuple(doc["text"]["formatted"]), tuple(doc["text"]["truncated"]),
+                           tuple(doc["text"]["boolean"]), doc["text"]["keep_words"], doc["text"]["keep_sign"]),
+        date_columns=tuple(doc["date_columns"]),
+        fill=impute.FillPlan(numeric={c: tuple(v) for c, v in doc["fill"]["numeric"].items()},
+                             categorical=doc["fill"]["categorical"], stats=doc["fill"]["stats"]),
+        bounds={c: tuple(v) for c, v in doc["bounds"].items()},
+        encoding=encode.EncodePlan(one_hot={c: tuple(v) for c, v in enc["one_hot"].items()},
+                                   label=tuple(enc["label"]), boolean=tuple(enc["boolean"]),
+                                   mappings=label_map, label_counts=enc["label_counts"]))

@@ -44,3 +44,15 @@ def test_profile_query_runs_on_driver_tables(spark):
     import __spark_entry__ as entry
     out = entry.queries()["profile_orders"](spark, SF)
     assert out.filter(F.col("column_name") == "o_orderkey").first().flags == "POTENTIAL ID"
+
+
+def test_recipe_save_load_roundtrip(spark):
+    from tabsmith.plans.recipe import load_recipe, save_recipe
+    from tabsmith.sources import scratch_path
+    d = spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
+    r = fit(d, Config(targets=("quality",)))
+    path = save_recipe(r, scratch_path(spark, "recipe"))
+    r2 = load_recipe(spark, path)
+    a, b = r.transform(d), r2.transform(d)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
