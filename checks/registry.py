@@ -1341,3 +1341,11 @@ def q_clean_csv_orders(spark, sf_dir):
 def q_run_fit_on_train_orders(spark, sf_dir):
     """The leakage-free variant: statistics fitted on the training rows only."""
     return run_all(table(spark, sf_dir, "orders"), "o_totalprice", "o_orderkey", fit_on="train").metrics
+
+
+@register("recipe_roundtrip_orders", _clean_orders_sql())
+def q_recipe_roundtrip_orders(spark, sf_dir):
+    """Fit on orders, save the recipe, load it back and apply it: same rows as clean_orders."""
+    o = table(spark, sf_dir, "orders")
+    path = rcp.save_recipe(rcp.fit(o, rcp.Config(targets=("o_totalprice",))), src.scratch_path(spark, "recipe"))
+    return rcp.load_recipe(spark, path).transform(o)
