@@ -56,3 +56,10 @@ def test_recipe_save_load_roundtrip(spark):
     a, b = r.transform(d), r2.transform(d)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_parity_switch_for_many_class_text_target(spark):
+    rows = [(i, float(i % 7), f"class{i % 20:02d}") for i in range(100)]
+    df = spark.createDataFrame(rows, "row_id int, x double, label string")
+    assert fit(df, Config(targets=("label",))).tasks == {"label": "Classification"}
+    assert fit(df, Config(targets=("label",), parity=True)).tasks == {"label": "Regression"}
