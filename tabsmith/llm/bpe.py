@@ -34,14 +34,14 @@ UNSURE = 3
 class Bpe:
     """Pre-token pattern and ranks of one tokenizer, with the ids of pieces seen lately."""
 
-    def __init__(self, ranks_path: str, pattern: str, odd: str = ""):
+    def __init__(self, ranks_path: str, pattern: str, odd: tuple[tuple[int, int], ...] = ()):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.seen: dict[str, bytes] = {}
-        self.odd = re.compile(f"[{re.escape(odd)}]").search if odd else lambda text: None
+        self.odd = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in odd) + "]").search if odd else lambda text: None
 
     def pieces(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -70,13 +70,13 @@ class Bpe:
 
 
 @lru_cache(maxsize=4)
-def tokenizer(ranks_path: str, pattern: str, odd: str = "") -> Bpe:
+def tokenizer(ranks_path: str, pattern: str, odd: tuple[tuple[int, int], ...] = ()) -> Bpe:
     return Bpe(ranks_path, pattern, odd)
 
 
 @lru_cache(maxsize=4)
-def odd_characters(pattern: str) -> str:
-    """Characters that ``regex`` and the tokenizer library class differently (their Unicode tables differ in age).
+def odd_characters(pattern: str) -> tuple[tuple[int, int], ...]:
+    """Ranges of characters that ``regex`` and the tokenizer library class differently (their Unicode tables differ in age).
 
     Every code point is split between a letter, a digit, a sign and blanks by both; two-byte
     ranks around it make a differing split visible in the ids.
@@ -87,24 +87,23 @@ def odd_characters(pattern: str) -> str:
             for pair in (bytes([side, b]), bytes([b, side])):
                 ranks.setdefault(pair, len(ranks))
     probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    split, found = regex.compile(pattern), []
+    split = regex.compile(pattern)
 
     def differs(points: list[int]) -> bool:
         text = "".join(f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}! {chr(c)}a\n" for c in points)
         own = [i for p in split.findall(text) for i in probe._encode_single_piece(p)]
         return own != probe.encode_ordinary(text)
 
-    def search(points: list[int]) -> None:
-        if differs(points):
-            if len(points) == 1:
-                found.append(chr(points[0]))
-            else:
-                search(points[:len(points) // 2])
-                search(points[len(points) // 2:])
-
-    for start in range(0, 0x110000, 4096):
-        search([c for c in range(start, start + 4096) if not 0xD800 <= c < 0xE000] or [0])
-    return "".join(found)
+    found: list[list[int]] = []
+    for start in range(0, 0x110000, 1024):
+        points = [c for c in range(start, start + 1024) if not 0xD800 <= c < 0xE000]
+        for c in points if points and differs(points) else []:
+            if differs([c]):
+                if found and found[-1][1] == c - 1:
+                    found[-1][1] = c
+                else:
+                    found.append([c, c])
+    return tuple((a, b) for a, b in found)
 
 
 def cut(text: str, chunk_chars: int, overlap: int) -> list[str]:
@@ -208,7 +207,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     long = F.length("_text") > chunk_chars
     if odd:  # texts with such a character go through the library whole
-        long = long & ~F.col("_text").rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in odd) + "]")
+        long = long & ~F.col("_text").rlike("[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in odd) + "]")
     whole = base.where(~F.coalesce(long, F.lit(False))).mapInArrow(short, "doc_id long, ids binary")
     # equal rows are encoded once and repeated afterwards
     many = base.where(long).groupBy("_id", F.xxhash64("_text").alias("h"), F.sha2("_text", 256).alias("s")).agg(
