@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -78,9 +79,13 @@ def tokenizer(ranks_path: str, pattern: str, odd: tuple[tuple[int, int], ...] =
 def odd_characters(pattern: str) -> tuple[tuple[int, int], ...]:
     """Ranges of characters that ``regex`` and the tokenizer library class differently (their Unicode tables differ in age).
 
-    Every code point is split between a letter, a digit, a sign and blanks by both; two-byte
-    ranks around it make a differing split visible in the ids.
+    Every code point that ``regex`` does not class as Unicode 3.2 did is split between a letter, a
+    digit, a sign and blanks by both; two-byte ranks around it make a differing split visible.
     """
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    old = unicodedata.ucd_3_2_0.category
+    classes = {c: kind for kind in ("L", "N") for c in regex.findall(rf"\p{{{kind}}}", "".join(map(chr, points)))}
+    points = [c for c in points if classes.get(chr(c), "") != (old(chr(c))[0] if old(chr(c))[0] in "LN" else "") or chr(c).isspace()]
     ranks = {bytes([b]): b for b in range(256)}
     for b in range(256):
         for side in b"a1!":
@@ -89,20 +94,18 @@ def odd_characters(pattern: str) -> tuple[tuple[int, int], ...]:
     probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     split = regex.compile(pattern)
 
-    def differs(points: list[int]) -> bool:
-        text = "".join(f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}! {chr(c)}a\n" for c in points)
+    def differs(c: int) -> bool:
+        text = f"a{chr(c)}a 1{chr(c)}1 !{chr(c)}! {chr(c)}a\n"
         own = [i for p in split.findall(text) for i in probe._encode_single_piece(p)]
         return own != probe.encode_ordinary(text)
 
     found: list[list[int]] = []
-    for start in range(0, 0x110000, 1024):
-        points = [c for c in range(start, start + 1024) if not 0xD800 <= c < 0xE000]
-        for c in points if points and differs(points) else []:
-            if differs([c]):
-                if found and found[-1][1] == c - 1:
-                    found[-1][1] = c
-                else:
-                    found.append([c, c])
+    for c in points:
+        if differs(c):
+            if found and found[-1][1] == c - 1:
+                found[-1][1] = c
+            else:
+                found.append([c, c])
     return tuple((a, b) for a, b in found)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, dac, langid, quality
+from tabsmith.llm import bitsim, bpe, chat, dac, langid, quality
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,33 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.documents(*dac.read_tokens(spark, path))
 
 
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    rows = rows.unionByName(extra)
+    return chat.round_trip(rows.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
+
+
+#: Each control string in a text costs one backslash; the template costs 28 characters a turn.
+CHAT_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized as (
+  select *, length(role) + length(text) + 28
+    + len(regexp_extract_all(role, '<\|(?:turn|body|end|image|audio|document)\|>|</?s>|\[/?INST\]'))
+    + len(regexp_extract_all(text, '<\|(?:turn|body|end|image|audio|document)\|>|</?s>|\[/?INST\]')) as chars from rows)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsim.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -50,9 +77,10 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": token_output,
+    "op5_chat_format": chat_format,
     "op6_simhash": simhash,
     "op8_compression_bands": compression_bands,
     "op9_byte_bpe": byte_bpe,
     "op10_language": language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL}
