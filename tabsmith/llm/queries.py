@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, dac, langid, quality
+from tabsmith.llm import bitsim, bpe, chat, dac, decontam, langid, quality
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = C.scratch(spark, "tokens")
     dac.write_tokens(_table(spark, sf_dir, "documents"), path, WORDS, end_id=1)
@@ -76,6 +80,7 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": decontamination,
     "op2_token_output": token_output,
     "op5_chat_format": chat_format,
     "op6_simhash": simhash,
