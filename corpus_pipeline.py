@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsmith.llm import bitsim, langid, queries
+from tabsmith.llm import bitsim, decontam, langid, line_dedup, queries
 from tabsmith.llm import common as C
 
 
@@ -15,11 +15,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that an earlier line repeats (operator 3)."""
+    return line_dedup.without_lines(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group (operator 6, its shingle length and radius)."""
     return bitsim.one_of_each(docs, shingle=4, radius=4)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item (operator 1)."""
+    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and round-trip digests (operator 9)."""
     return queries.bpe_digests(docs)
@@ -27,7 +37,9 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("tokenise", tokenise),
 ]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, dac, decontam, langid, quality
+from tabsmith.llm import bitsim, bpe, chat, dac, decontam, langid, line_dedup, quality
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,10 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.documents(*dac.read_tokens(spark, path))
 
 
+def line_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -66,9 +70,9 @@ def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ids and of the bytes decoded from them."""
-    ids = bpe.encode(docs, RANKS, PATTERN)
+    ids = bpe.encode(docs, RANKS, PATTERN, decoded=True)
     return ids.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), RANKS, PATTERN), 256).alias("decoded_sha256"))
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +86,7 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_token_output": token_output,
+    "op3_line_edits": line_edits,
     "op5_chat_format": chat_format,
     "op6_simhash": simhash,
     "op8_compression_bands": compression_bands,
