@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, dac, decontam, langid, line_dedup, quality
+from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, quality
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,10 @@ def line_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(_table(spark, sf_dir, "documents"), held_out=1)
+
+
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_token_output": token_output,
     "op3_line_edits": line_edits,
+    "op4_context_tree": context_tree,
     "op5_chat_format": chat_format,
     "op6_simhash": simhash,
     "op8_compression_bands": compression_bands,
