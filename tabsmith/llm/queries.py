@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, quality
+from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, quality, suffix_dedup
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,11 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsim.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_context_tree": context_tree,
     "op5_chat_format": chat_format,
     "op6_simhash": simhash,
+    "op7_suffix_repeats": suffix_repeats,
     "op8_compression_bands": compression_bands,
     "op9_byte_bpe": byte_bpe,
     "op10_language": language,
