@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.llm import common as C
 
-#: Pieces remembered by a worker; the table is emptied when it is full (about 60 MB).
-CACHE = 1 << 18
+#: Pieces remembered by a worker; the table is emptied when it is full (about 30 MB).
+CACHE = 1 << 17
 #: A boundary this close to the end of a cut chunk may move when the text goes on.
 UNSURE = 3
 
@@ -157,9 +157,11 @@ def stitch(bpe: Bpe, chunks: list[str], ends: list[np.ndarray], ids: list[list[b
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk_chars: int = 1 << 16, overlap: int = 256) -> DataFrame:
+           chunk_chars: int = 1 << 16, overlap: int = 256, decoded: bool = False) -> DataFrame:
     """``doc_id, ids`` for every row: ids as little-endian unsigned 32-bit integers in a binary.
 
+    With ``decoded`` a third column has the bytes decoded from the ids, in the same task.
+
     Each match of ``pattern`` is encoded by itself; no special tokens. Null and empty texts have
     an empty binary; repeated rows give repeated rows; null ids are kept; an empty table gives
     none. A text with a character that the two pattern engines class differently is encoded
@@ -168,15 +170,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     base = C.id_text(docs, id_col, text_col)
     odd = odd_characters(pattern)
+    fields = ["doc_id", "ids"] + ["decoded"] * decoded
+    more = ", decoded binary" * decoded
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(ranks_path, pattern, odd)
-        for b in C.small_batches(batches, max_bytes=8 << 20):
+        for b in C.small_batches(batches, max_bytes=1 << 20):
             ids = [bpe.encode(t) if t else b"" for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            out = [b.column(0), pa.array(ids, pa.binary())] + ([pa.array(map(bpe.decode, ids), pa.binary())] if decoded else [])
+            yield pa.RecordBatch.from_arrays(out, names=fields)
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in C.small_batches(batches, max_bytes=8 << 20):
+        for b in C.small_batches(batches, max_bytes=2 << 20):
             for i, h, n, text in zip(*(c.to_pylist() for c in (b.column(0), b.column(2), b.column(3), b.column(1))), strict=True):
                 parts = cut(text, chunk_chars, overlap)
                 m = len(parts)
@@ -186,7 +191,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(ranks_path, pattern, odd)
-        for b in C.small_batches(batches, text=4, max_bytes=8 << 20):
+        for b in C.small_batches(batches, text=4, max_bytes=2 << 20):
             ends, sizes, ids = [], [], []
             for part in b.column(4).to_pylist():
                 pieces = bpe.pieces(part)
@@ -206,19 +211,20 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             ids.append([blob[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
         ends = [np.frombuffer(x, "<i4").astype(np.int64) for x in pdf["ends"]]
         out = stitch(bpe, pdf["part"].tolist(), ends, ids, chunk_chars, overlap)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[:1], "n": pdf["n"].iloc[:1], "ids": [out]})
+        row = {"doc_id": pdf["doc_id"].iloc[:1], "n": pdf["n"].iloc[:1], "ids": [out]}
+        return pd.DataFrame(row | ({"decoded": [bpe.decode(out)]} if decoded else {}))
 
     long = F.length("_text") > chunk_chars
     if odd:  # texts with such a character go through the library whole
         long = long & ~F.col("_text").rlike("[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in odd) + "]")
-    whole = base.where(~F.coalesce(long, F.lit(False))).mapInArrow(short, "doc_id long, ids binary")
+    whole = base.where(~F.coalesce(long, F.lit(False))).mapInArrow(short, "doc_id long, ids binary" + more)
     # equal rows are encoded once and repeated afterwards
     many = base.where(long).groupBy("_id", F.xxhash64("_text").alias("h"), F.sha2("_text", 256).alias("s")).agg(
         F.count("*").alias("n"), F.first("_text").alias("_text")).select("_id", "_text", F.xxhash64("h", "s").alias("h"), "n")
     chunks = many.mapInArrow(chunked, "doc_id long, h long, n long, k int, part string").repartition("doc_id", "h", "k")
     tokens = chunks.mapInArrow(pretokenise, "doc_id long, h long, n long, k int, part string, ends binary, sizes binary, ids binary")
-    joined = tokens.groupBy("doc_id", "h").applyInPandas(stitched, "doc_id long, n long, ids binary")
-    again = joined.select("doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("doc_id", "ids")
+    joined = tokens.groupBy("doc_id", "h").applyInPandas(stitched, "doc_id long, n long, ids binary" + more)
+    again = joined.select(*fields, F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(*fields)
     return whole.unionAll(again)
 
 
