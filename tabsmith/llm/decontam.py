@@ -56,8 +56,7 @@ def _item_grams(items: DataFrame) -> DataFrame:
             _, _, at, words = _words(data, off)
             pos, gram = _grams(words, at)
             doc = np.searchsorted(at, pos, side="right") - 1
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(np.diff(at)[doc]), pa.array(pos - at[doc]), pa.array(gram.view(np.int64))],
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(np.diff(at)[doc]), pa.array(pos - at[doc]), pa.array(gram.view(np.int64))],
                                              names=["item_id", "words", "pos", "gram"])
 
     return items.select("item_id", "text").mapInArrow(run, "item_id long, words long, pos long, gram long")
