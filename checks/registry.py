@@ -470,6 +470,14 @@ def q_fill_values_events(spark, sf_dir):
     return _fill_frame(impute.fit_numeric_fill(df, ["value", "user_id", "event_id"]), spark)
 
 
+@register("fill_values_events_nan", _fill_sql(
+    "SELECT CASE WHEN event_type IN ('error', 'view') THEN NULL ELSE value END AS value, user_id FROM events", ["value", "user_id"], [], []))
+def q_fill_values_events_nan(spark, sf_dir):
+    value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).when(F.col("event_type") != "view", F.col("value"))
+    df = table(spark, sf_dir, "events").select(value.alias("value"), "user_id")
+    return _fill_frame(impute.fit_numeric_fill(df, ["value", "user_id"]), spark)
+
+
 @register("fill_values_documents", _fill_sql(
     "SELECT doc_id, CASE WHEN lang = 'en' THEN NULL ELSE n_chars END AS n_chars FROM documents",
     ["n_chars", "doc_id"], [], []))
@@ -531,6 +539,18 @@ def q_iqr_bounds_events(spark, sf_dir):
     return _round_all(outliers.iqr_table(e, ["event_id", "user_id", "value", "big"]))
 
 
+EVENTS_INF = ("SELECT CASE WHEN event_id % 100 = 0 THEN CAST('inf' AS DOUBLE) WHEN event_id % 100 = 1 THEN CAST('-inf' AS DOUBLE) "
+              "WHEN event_id % 100 < 12 THEN NULL ELSE value END AS value FROM events")
+
+
+@register("iqr_bounds_events_inf", _iqr_sql(EVENTS_INF, ["value"]))
+def q_iqr_bounds_events_inf(spark, sf_dir):
+    m = F.col("event_id") % 100
+    value = (F.when(m == 0, F.lit(float("inf"))).when(m == 1, F.lit(float("-inf"))).when(m < 6, F.lit(float("nan")))
+             .when(m >= 12, F.col("value")))
+    return _round_all(outliers.iqr_table(table(spark, sf_dir, "events").select(value.alias("value")), ["value"]))
+
+
 @register("iqr_bounds_lineitem", _iqr_sql("SELECT * FROM lineitem",
                                           ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 def q_iqr_bounds_lineitem(spark, sf_dir):
@@ -675,7 +695,7 @@ def q_audit_flaws_lineitem(spark, sf_dir):
     return aud.audit(raw, clean)
 
 
-@register("audit_passed_lineitem", "SELECT false AS passed, CAST(7 AS BIGINT) AS n_flaws")
+@register("audit_passed_lineitem", f"SELECT count(*) = 0 AS passed, count(*) AS n_flaws FROM ({ORACLES['audit_flaws_lineitem']})")
 def q_audit_passed_lineitem(spark, sf_dir):
     raw = table(spark, sf_dir, "lineitem")
     clean = lineitem_nulls(spark, sf_dir).withColumn("date_txt", F.lit(None).cast("date"))
@@ -713,6 +733,12 @@ def q_split_sizes_lineitem(spark, sf_dir):
     return flagged.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
 
 
+@register("split_tiny_statuses", "SELECT o_orderstatus, count(*) AS n, true AS is_test FROM orders GROUP BY o_orderstatus")
+def q_split_tiny_statuses(spark, sf_dir):
+    few = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))  # three rows
+    return spl.split_flags(few, "o_orderstatus")
+
+
 @register("split_tiny_region", "SELECT r_regionkey, r_name, true AS is_test FROM region WHERE false "
           "UNION ALL SELECT r_regionkey, r_name, CASE WHEN (SELECT count(*) FROM region) < 5 THEN true ELSE "
           "row_number() OVER (ORDER BY md5('42|' || CAST(r_regionkey AS VARCHAR))) <= ceil(0.2 * (SELECT count(*) FROM region)) END FROM region")
@@ -879,7 +905,7 @@ SELECT target, task, round(CASE WHEN task = 'Classification' THEN acc ELSE great
 
 @register("verdict_targets", VERDICT_SQL)
 def q_verdict_targets(spark, sf_dir):
-    return ver.verdict(_metric_rows(spark, sf_dir))
+    return ver.verdict(_metric_rows(spark, sf_dir)).withColumn("metrics", ver.metric_text(F.col("metrics")))
 
 
 @register("verdict_overall", f"SELECT coalesce(bool_and(passed), false) AS sane, count(*) AS n_targets FROM ({VERDICT_SQL})")
@@ -1127,10 +1153,10 @@ from tabsmith import sources as src  # noqa: E402
 from tabsmith.operators import models as mdl, sample as smp  # noqa: E402
 
 
-@register("discover_tables", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{t}.parquet', '.parquet')" for t in sorted(SCHEMAS) + ["embeddings"]) + ") AS v(name, suffix)")
+@register("discover_tables", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS name, '.parquet' AS suffix, true AS readable, count(*) AS n_rows FROM {t}" for t in sorted(SCHEMAS) + ["embeddings"]))
 def q_discover_tables(spark, sf_dir):
-    return src.discover(spark, sf_dir).select("name", "suffix")
+    return src.table_sizes(spark, src.discover(spark, sf_dir)).select("name", "suffix", "readable", "n_rows")
 
 
 @register("peek_columns_lineitem", "SELECT * FROM (VALUES " + ", ".join(
@@ -1168,6 +1194,13 @@ def q_read_csv_orders(spark, sf_dir):
     return orders_csv_roundtrip(spark, sf_dir)
 
 
+@register("read_csv_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_read_csv_documents(spark, sf_dir):
+    path = src.scratch_path(spark, "documents-csv")
+    src.write_table(table(spark, sf_dir, "documents"), path, "csv")
+    return src.read_table(spark, path, "csv")
+
+
 @register("window_sample_orders", """
 WITH w AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM w

@@ -60,14 +60,30 @@ def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = fixed.CLASS
     return out
 
 
+def dummy_names(columns: Sequence[str], levels: dict[str, Sequence[str]]) -> list[tuple[str, str, str]]:
+    """``(column, level, name)`` of the dummy columns: ``<col>_<value>`` with dots and backticks as
+    underscores, and a number after a name that is taken (case ignored)."""
+    taken = {c.lower() for c in columns if c not in levels}
+    out = []
+    for c in columns:
+        for v in levels.get(c, ()):
+            base = f"{c}_{v}".replace(".", "_").replace("`", "_")
+            name, n = base, 1
+            while name.lower() in taken:
+                n += 1
+                name = f"{base}_{n}"
+            taken.add(name.lower())
+            out.append((c, v, name))
+    return out
+
+
 def one_hot(df: DataFrame, levels: dict[str, Sequence[str]]) -> DataFrame:
-    """``<col>_<value>`` 0/1 ints for every level; the source column is removed.
+    """0/1 ints for every level, named by ``dummy_names``; the source column is removed.
 
     Dummy columns follow the other columns, grouped by source column, levels ascending.
     """
     keep = [F.col(f"`{c}`") for c in df.columns if c not in levels]
-    dummies = [F.col(f"`{c}`").eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}")
-               for c in df.columns if c in levels for v in levels[c]]
+    dummies = [F.col(f"`{c}`").eqNullSafe(F.lit(v)).cast("int").alias(name) for c, v, name in dummy_names(df.columns, levels)]
     return df.select(*keep, *dummies)
 
 

@@ -47,12 +47,12 @@ def numeric_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
             for i, c in enumerate(cols)}
 
 
-def fit_numeric_fill(df: DataFrame, cols: Sequence[str], distinct: dict | None = None,
+def fit_numeric_fill(df: DataFrame, cols: Sequence[str],
                      skew_above: float = fixed.MEDIAN_SKEW_ABOVE) -> FillPlan:
     """Skew > 1 -> median, else mean (negative skew and undefined skew take the mean)."""
     st = numeric_moments(df, cols)
     med_cols = [c for c in cols if st[c]["skew"] is not None and st[c]["skew"] > skew_above]
-    meds = exact_quantiles(df, med_cols, [0.5], distinct)
+    meds = exact_quantiles(df, med_cols, [0.5])
     plan = {}
     for c in cols:
         if c in meds:
@@ -113,11 +113,11 @@ def fit_modes_and_levels(df: DataFrame, cols: Sequence[str], max_levels: int = f
     return out_modes, out_levels
 
 
-def fit_fill(df: DataFrame, exclude: Sequence[str] = (), distinct: dict | None = None,
+def fit_fill(df: DataFrame, exclude: Sequence[str] = (),
              max_levels: int = fixed.CLASS_MAX_DISTINCT) -> FillPlan:
     """Numeric and categorical fill for every feature; targets are never filled.
     The one-hot level probe of phase 8 comes from the same shuffle as the modes."""
-    num = fit_numeric_fill(df, numeric_columns(df, exclude), distinct)
+    num = fit_numeric_fill(df, numeric_columns(df, exclude))
     modes, levels = fit_modes_and_levels(df, categorical_columns(df, exclude), max_levels)
     return FillPlan(numeric=num.numeric, categorical=modes, stats=num.stats, levels=levels)
 

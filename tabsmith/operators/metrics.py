@@ -117,14 +117,14 @@ def scorecard_lines(metrics: DataFrame, task_strategy: str, framework: str,
 
 def prediction_table(scored: DataFrame, shown: Sequence[str], targets: Sequence[str],
                      mappings: DataFrame | None = None, decoded: Sequence[str] = (),
-                     counts: dict | None = None, digits: int = 4) -> DataFrame:
-    """K9: display columns + truth + ``Pred_*`` for all rows; label-coded targets decoded,
-    numbers at 4 decimals. Returned lazily, never collected."""
+                     counts: dict | None = None, coded: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """K9: display columns + truth + ``Pred_*`` for all rows; label-coded targets (``decoded``) and
+    display columns (``coded``) decoded, numbers at 4 decimals. Returned lazily, never collected."""
     from tabsmith.operators.encode import decode
     cols = list(shown) + list(targets) + [fixed.PRED_PREFIX + t for t in targets]
     out = scored.select(*[F.col(f"`{c}`") for c in cols])
-    if mappings is not None and decoded:
-        m = {}
+    if mappings is not None and (decoded or coded):
+        m = {c: c for c in coded}
         for t in decoded:
             m[t] = t
             m[fixed.PRED_PREFIX + t] = t

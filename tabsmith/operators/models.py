@@ -1,6 +1,6 @@
 """One MLlib model per target on shared features; prediction, clipping, save and load.
 
-Features are assembled once and persisted for all targets; every estimator is an MLlib
+Features are assembled once into a table in the shared folder for all targets; every estimator is an MLlib
 ``Pipeline`` stage, so training is distributed and nothing passes through the driver
 but model coefficients / trees.
 """
@@ -11,8 +11,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
-from tabsmith.operators.metrics import clip_predictions, target_limits
+from tabsmith.operators.metrics import clip_predictions
+from tabsmith.sources.tables import scratch_path
 
 FEATURES = "__features"
 
@@ -31,8 +30,15 @@ FAMILIES = (
     (("decisiontree", "decision_tree", "tree"), "tree"),
     (("svc", "svm"), "svm"),
     (("logistic",), "linear"),
-    (("linear", "ridge", "lasso", "elastic"), "linear"),
+    (("ridge",), "ridge"),
+    (("lasso",), "lasso"),
+    (("elastic",), "elastic"),
+    (("linear",), "linear"),
 )
+#: Penalty weight of ridge, lasso and elastic net, and the share of the absolute-value part.
+ALPHA, L1_SHARE = 1.0, {"ridge": 0.0, "lasso": 1.0, "elastic": 0.5}
+#: A classification target with more values than this is refused.
+MAX_CLASSES = 10_000
 
 
 def family_of(name: str) -> str:
@@ -40,15 +46,22 @@ def family_of(name: str) -> str:
     for words, fam in FAMILIES:
         if any(w in low for w in words):
             return fam
-    return "linear"
+    raise ValueError(f"no MLlib model for algorithm {name!r}")
 
 
-def estimator_for(name: str, task: str, label: str, n_classes: int = 2, seed: int = fixed.SEED):
-    """M2: the classifier or regressor of the named family. GBT and linear SVM are binary
-    in MLlib, so more classes use one-vs-rest."""
+def estimator_for(name: str, task: str, label: str, n_classes: int = 2, seed: int = fixed.SEED, n_rows: int = 1):
+    """M2: the classifier or regressor of the named family; an unknown name, or one that
+    does not fit the task, raises. GBT and linear SVM are binary in MLlib, so more classes
+    use one-vs-rest. Ridge, lasso and elastic net minimise the usual penalised sums with
+    weight ``ALPHA`` on features as they are (ridge's weight is on the sum, so it is divided by the rows)."""
     fam = family_of(name)
     common = dict(featuresCol=FEATURES, labelCol=label, predictionCol=fixed.PRED_PREFIX + label)
     if task == "Regression":
+        if fam in L1_SHARE:
+            reg = ALPHA / max(n_rows, 1) if fam == "ridge" else ALPHA
+            return R.LinearRegression(regParam=reg, elasticNetParam=L1_SHARE[fam], standardization=False, **common)
+        if fam == "svm":
+            raise ValueError(f"{name!r} is no regressor in MLlib")
         if fam == "gbt":
             return R.GBTRegressor(seed=seed, **common)
         if fam == "forest":
@@ -56,6 +69,8 @@ def estimator_for(name: str, task: str, label: str, n_classes: int = 2, seed: in
         if fam == "tree":
             return R.DecisionTreeRegressor(seed=seed, **common)
         return R.LinearRegression(**common)
+    if fam in L1_SHARE:
+        raise ValueError(f"{name!r} is a regressor, the task is classification")
     if fam in ("gbt", "svm"):
         base = (C.GBTClassifier(seed=seed, featuresCol=FEATURES, labelCol=label) if fam == "gbt"
                 else C.LinearSVC(featuresCol=FEATURES, labelCol=label))
@@ -79,44 +94,62 @@ class TrainedModels:
     tasks: dict                         # target -> task (M6: the task travels with the model)
     models: dict                        # target -> fitted model
     limits: dict = field(default_factory=dict)   # target -> (min, max) of the training target
+    classes: dict = field(default_factory=dict)  # classification target -> its values, ascending (code = place)
 
 
-def train(train_df: DataFrame, targets: Sequence[str], algorithm: str, tasks: dict,
-          n_classes: dict | None = None) -> TrainedModels:
-    """M1 + M3: one model per target on the same features (assembled and persisted once)."""
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` plus the feature vector; feature names may hold dots."""
+    plain = [f"__f{i}" for i in range(len(features))]
+    out = df.select("*", *[F.col(f"`{c}`").cast("double").alias(p) for c, p in zip(features, plain, strict=True)])
+    return VectorAssembler(inputCols=plain, outputCol=FEATURES, handleInvalid="keep").transform(out).drop(*plain)
+
+
+def class_values(df: DataFrame, target: str) -> list[float]:
+    """The values of a classification target, ascending (at most ``MAX_CLASSES``, or ValueError)."""
+    rows = df.select(target).where(F.col(target).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"classification target has more than {MAX_CLASSES} values")
+    return sorted(r[0] for r in rows)
+
+
+def train(train_df: DataFrame, targets: Sequence[str], algorithm: str, tasks: dict) -> TrainedModels:
+    """M1 + M3: one model per target on the same features.
+
+    The assembled table is written once to the shared folder, so fitting passes read compact rows
+    and a lost executor costs no more than its part. The values of a classification target are
+    coded 0..k-1 for the fit and kept, whatever they are (ratings, -1 / 1, years).
+    """
     feats = [c for c in train_df.columns if c not in set(targets)]
-    assembler = VectorAssembler(inputCols=feats, outputCol=FEATURES, handleInvalid="keep")
-    assembled = assembler.transform(train_df).select(FEATURES, *[F.col(f"`{t}`").cast("double").alias(t)
-                                                                for t in targets])
-    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
-    lim_rows = target_limits(assembled, list(targets)).collect()
-    limits = {r["target"]: (r["min"], r["max"]) for r in lim_rows}
-    models = {}
-    for t in targets:
-        k = (n_classes or {}).get(t)
-        if tasks[t] == "Classification" and k is None:
-            lo, hi = limits[t]
-            k = int(hi) + 1 if hi is not None else 2
-            if lo is not None and (lo < 0 or lo != int(lo)):
-                raise ValueError(f"classification target {t} needs codes 0..k-1; got min {lo}")
-        est = estimator_for(algorithm, tasks[t], t, k or 2)
-        models[t] = est.fit(assembled.filter(F.col(f"`{t}`").isNotNull()))
-    assembled.unpersist()
-    return TrainedModels(algorithm, tuple(feats), dict(tasks), models, limits)
+    labels = {t: f"__t{i}" for i, t in enumerate(targets)}
+    path = scratch_path(train_df.sparkSession, "assembled")
+    assemble(train_df, feats).select(FEATURES, *[F.col(f"`{t}`").cast("double").alias(n) for t, n in labels.items()]).write.parquet(path)
+    assembled = train_df.sparkSession.read.parquet(path)
+    stats = assembled.agg(*[f(n).alias(f"{k}{n}") for n in labels.values() for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    limits = {t: (stats[f"lo{n}"], stats[f"hi{n}"]) for t, n in labels.items()}
+    models, classes = {}, {}
+    for t, n in labels.items():
+        rows = assembled.filter(F.col(n).isNotNull())
+        if tasks[t] == "Classification":
+            classes[t] = class_values(assembled, n)
+            codes = train_df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes[t])], "__v double, __code double")
+            rows = rows.join(F.broadcast(codes), rows[n] == F.col("__v")).select(FEATURES, F.col("__code").alias(n))
+        est = estimator_for(algorithm, tasks[t], n, len(classes.get(t, ())) or 2, n_rows=stats[f"n{n}"])
+        models[t] = est.fit(rows)
+    return TrainedModels(algorithm, tuple(feats), dict(tasks), models, limits, classes)
 
 
 def predict(tm: TrainedModels, df: DataFrame, clip: bool = True) -> DataFrame:
-    """M4 + M5: ``Pred_<target>`` for every row of ``df``; regression clipped to the
-    training range, classification untouched; vectors and probabilities dropped."""
-    assembler = VectorAssembler(inputCols=list(tm.features), outputCol=FEATURES, handleInvalid="keep")
-    out = assembler.transform(df)
+    """M4 + M5: ``Pred_<target>`` for every row of ``df``; regression clipped to the training
+    range, class codes turned back into the target's values; vectors and probabilities dropped."""
+    out = assemble(df, tm.features)
+    values = []
     for t, m in tm.models.items():
         out = m.transform(out)
-        out = out.drop(*[c for c in out.columns if c.startswith("__prob_") or c.startswith("__raw_")
-                         or c in ("rawPrediction", "probability")])
-    keep = [c for c in out.columns if c != FEATURES]
-    out = out.select(*[F.col(f"`{c}`").cast("double").alias(c) if c.startswith(fixed.PRED_PREFIX)
-                       else F.col(f"`{c}`") for c in keep])
+        pred = F.col(f"`{m.getPredictionCol()}`").cast("double")
+        if t in tm.classes:
+            pred = F.get(F.array(*[F.lit(float(v)) for v in tm.classes[t]]), pred.cast("int"))
+        values.append(pred.alias(fixed.PRED_PREFIX + t))
+    out = out.select(*[F.col(f"`{c}`") for c in df.columns], *values)
     return clip_predictions(out, tm.limits, tm.tasks) if clip else out
 
 
@@ -126,7 +159,7 @@ def save_models(tm: TrainedModels, path: str) -> None:
         m.write().overwrite().save(f"{path}/models/{t}")
     s = SparkSession.getActiveSession()
     manifest = {"algorithm": tm.algorithm, "features": list(tm.features), "tasks": tm.tasks,
-                "limits": {k: list(v) for k, v in tm.limits.items()},
+                "limits": {k: list(v) for k, v in tm.limits.items()}, "values": tm.classes,
                 "classes": {t: type(m).__name__ for t, m in tm.models.items()}}
     s.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/manifest")
@@ -139,10 +172,4 @@ def load_models(spark, path: str) -> TrainedModels:
         klass = getattr(C, cls, None) or getattr(R, cls, None)
         models[t] = klass.load(f"{path}/models/{t}")
     return TrainedModels(manifest["algorithm"], tuple(manifest["features"]), manifest["tasks"], models,
-                         {k: tuple(v) for k, v in manifest["limits"].items()})
-
-
-def as_pipeline(tm: TrainedModels) -> PipelineModel:
-    """All models behind one assembler, as a single MLlib pipeline model."""
-    assembler = VectorAssembler(inputCols=list(tm.features), outputCol=FEATURES, handleInvalid="keep")
-    return PipelineModel([assembler, *tm.models.values()])
+                         {k: tuple(v) for k, v in manifest["limits"].items()}, manifest["values"])

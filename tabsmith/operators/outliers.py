@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
-from tabsmith.operators.quantiles import MAX_DISTINCT, exact_quantiles
+from tabsmith.operators.quantiles import _value, exact_quantiles
 
 
 def _min_max(df: DataFrame, cols: Sequence[str]) -> dict:
-    row = df.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
-                 *[F.max(F.col(f"`{c}`").cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.min(_value(c)).alias(f"lo{i}") for i, c in enumerate(cols)],
+                 *[F.max(_value(c)).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
 
 
@@ -23,7 +23,7 @@ def _between(c: str, bounds: dict):
     lo, hi = bounds[c]
     if lo is None:
         return F.lit(0)
-    x = F.col(f"`{c}`").cast("double")
+    x = _value(c)
     return F.count_if((x > F.lit(lo)) & (x < F.lit(hi)))
 
 
@@ -40,33 +40,18 @@ def binary_columns(df: DataFrame, cols: Sequence[str], bounds: dict | None = Non
 
 
 def fit_iqr(df: DataFrame, cols: Sequence[str], k: float = fixed.IQR_FACTOR,
-            distinct: dict | None = None, bounds: dict | None = None,
-            max_distinct: int = MAX_DISTINCT) -> dict[str, tuple]:
-    """O1 + O3: ``{column: (q1, q3, lo, hi)}`` for non-binary columns with IQR > 0.
-
-    With min/max known, one pass answers both the binary test and, for columns whose
-    distinct count is known and bounded, the exact quartiles (``percentile``); the
-    remaining columns use the distributed selection.
-    """
+            bounds: dict | None = None) -> dict[str, tuple]:
+    """O1 + O3: ``{column: (q1, q3, lo, hi)}`` for non-binary columns with a finite IQR > 0."""
     if not cols:
         return {}
-    distinct = distinct or {}
-    bounds = bounds or _min_max(df, cols)
-    by_agg = [c for c in cols if distinct.get(c, math.inf) <= max_distinct]
-    probs = F.array(F.lit(0.25), F.lit(0.75))
-    row = df.agg(*[_between(c, bounds).alias(f"b{i}") for i, c in enumerate(cols)],
-                 *[F.percentile(F.col(f"`{c}`").cast("double"), probs).alias(f"q{i}")
-                   for i, c in enumerate(by_agg)]).first()
-    binary = {c for i, c in enumerate(cols) if row[f"b{i}"] == 0}
-    qs = {c: (row[f"q{i}"] or [None, None]) for i, c in enumerate(by_agg)}
-    rest = [c for c in cols if c not in by_agg and c not in binary]
-    qs.update(exact_quantiles(df, rest, [0.25, 0.75], {}, max_distinct=0))
+    binary = binary_columns(df, cols, bounds)
+    qs = exact_quantiles(df, [c for c in cols if c not in binary], [0.25, 0.75])
     out = {}
     for c in cols:
         if c in binary:
             continue
         q1, q3 = qs[c]
-        if q1 is None or q3 is None or q3 - q1 == 0:
+        if q1 is None or q3 is None or q1 == q3 or not math.isfinite(q3 - q1):
             continue
         iqr = q3 - q1
         out[c] = (q1, q3, q1 - k * iqr, q3 + k * iqr)

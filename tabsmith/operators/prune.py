@@ -18,7 +18,7 @@ from tabsmith.operators.profile import profile as build_profile
 
 
 
-def _has_id_hint(name_col):
+def has_id_hint(name_col):
     low = F.lower(name_col)
     cond = F.lit(False)
     for h in fixed.ID_NAME_HINTS:
@@ -26,9 +26,9 @@ def _has_id_hint(name_col):
     return cond
 
 
-def find_ids(profile: DataFrame, protect_text: bool = True) -> DataFrame:
-    """Every value distinct and an ID-like name (string columns are descriptive text)."""
-    cond = (F.col("n_distinct") == F.col("n_rows")) & _has_id_hint(F.col("column_name"))
+def find_ids(profile: DataFrame, protect_text: bool = False) -> DataFrame:
+    """Every value distinct and an ID-like name; ``protect_text`` exempts text columns."""
+    cond = (F.col("n_distinct") == F.col("n_rows")) & has_id_hint(F.col("column_name"))
     if protect_text:
         cond = cond & (F.col("dtype") != "string")
     return profile.filter(cond).select("column_name", F.lit("id").alias("reason"))
@@ -57,35 +57,30 @@ def find_duplicate_columns(df: DataFrame, profile: DataFrame | None = None) -> D
     """``(column_name, duplicate_of)`` for each column equal, row by row and null for
     null, to an earlier column of the same type; the earliest copy is kept.
 
-    Candidates must agree on type, null count, distinct count and the summed value hash;
-    only those pairs (a handful, collected as profile rows) are compared exactly.
+    Candidates must agree on type, null count, distinct count and the summed value hash. Equality is
+    transitive, so each is compared with the first of its group only; those that differ from it
+    form a group of their own in a next pass (only after a hash collision).
     """
     spark = df.sparkSession
     profile = profile if profile is not None else build_profile(df, digits=None)
     rows = profile.select("ordinal", "column_name", "dtype", "null_pct", "n_distinct",
                           "fingerprint").orderBy("ordinal").collect()
-    groups: dict[tuple, list] = {}
+    by_sign: dict[tuple, list[str]] = {}
     for r in rows:
-        groups.setdefault((r.dtype, r.null_pct, r.n_distinct, r.fingerprint), []).append(r)
-    pairs = [(g[i].column_name, g[j].column_name)
-             for g in groups.values() if len(g) > 1
-             for j in range(1, len(g)) for i in range(j)]
-    empty = spark.createDataFrame([], "column_name string, duplicate_of string")
-    if not pairs:
-        return empty
-    checks = [F.bool_and(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"p{k}")
-              for k, (a, b) in enumerate(pairs)]
-    entries = [F.struct(F.lit(b).alias("column_name"), F.lit(a).alias("duplicate_of"),
-                        F.lit(k).alias("k"), F.col(f"p{k}").alias("same"))
-               for k, (a, b) in enumerate(pairs)]
-    long = (df.agg(*checks).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-              .filter("same"))
-    return (long.groupBy("column_name")
-                .agg(F.min_by("duplicate_of", "k").alias("duplicate_of")))
+        by_sign.setdefault((r.dtype, r.null_pct, r.n_distinct, r.fingerprint), []).append(r.column_name)
+    groups = [g for g in by_sign.values() if len(g) > 1]
+    found: list[tuple[str, str]] = []
+    while groups:
+        pairs = [(g[0], c) for g in groups for c in g[1:]]
+        same = df.agg(F.array(*[F.coalesce(F.bool_and(F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))), F.lit(True)) for a, b in pairs])).first()[0]
+        found += [(b, a) for (a, b), eq in zip(pairs, same, strict=True) if eq]
+        differ = {b for (_, b), eq in zip(pairs, same, strict=True) if not eq}
+        groups = [g for g in ([c for c in g if c in differ] for g in groups) if len(g) > 1]
+    return spark.createDataFrame(found, "column_name string, duplicate_of string")
 
 
 def plan_drops(df: DataFrame, targets: Sequence[str] = (), profile: DataFrame | None = None,
-               protect_text: bool = True) -> DataFrame:
+               protect_text: bool = False) -> DataFrame:
     """D5 + D6: ``(column_name, reasons)``, reasons sorted and comma-joined; targets are kept."""
     profile = profile if profile is not None else collected_profile(df)
     dup = find_duplicate_columns(df, profile).select(

@@ -1,148 +1,125 @@
 """Exact quantiles (linear interpolation, as pandas / DuckDB ``quantile_cont``).
 
-Two exact strategies, chosen per column:
-
-* distinct count known and bounded (<= ``max_distinct``): Spark's ``percentile``
-  aggregate. Its buffer holds one entry per distinct value, so the final merge is
-  bounded by that count.
-* otherwise a distributed selection: each wanted rank's value interval (first the
-  column's [min, max]) is cut into ``grid`` equal-width buckets by arithmetic, one
-  grouped pass counts each bucket and takes its min and max, and the rank moves to its
-  bucket's [min, max]. A bucket of one value is the answer; a bucket of at most
-  ``small`` values is ranked by one window over that bucket alone. Only bucket counts
-  (at most ``grid`` per interval) reach the driver.
+One path for every column and size: NaN counts as missing, and each wanted rank is found by
+selection. A round brackets the rank between two values of a rank sketch
+(``percentile_approx``, a bounded buffer) and counts exactly what lies below, on and between
+them; the rank is then one of the two values, or lies in the open interval between them, which
+holds a few ten-thousandths of the rows. An interval of at most ``small`` values is ranked by
+one window over it. Brackets are ranks, not widths, so skewed and infinite values take no more
+rounds; every round takes at least the two end values out. Only one row per round reaches
+the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_DISTINCT = 1_000_000
 SMALL = 50_000
-GRID = 4096
+ACCURACY = 10_000
+#: Ranks handled by one job: bounds the sketches that a task holds.
+RANKS_PER_JOB = 64
 
 
-def _long(df: DataFrame, cols: list[str]) -> DataFrame:
-    entries = [F.struct(F.lit(i).alias("ord"), F.col(f"`{c}`").cast("double").alias("v"))
-               for i, c in enumerate(cols)]
-    return (df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-              .filter(F.col("v").isNotNull() & ~F.isnan("v")))
+def _value(c: str) -> Column:
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    distinct: dict[str, int] | None = None, max_distinct: int = MAX_DISTINCT,
-                    small: int = SMALL, grid: int = GRID) -> dict[str, list[float | None]]:
-    """``{column: [quantile for each prob]}``; None for a column without values."""
-    if not cols:
-        return {}
-    distinct = distinct or {}
-    by_agg = [c for c in cols if distinct.get(c, math.inf) <= max_distinct]
-    by_sel = [c for c in cols if c not in by_agg]
-    out: dict[str, list[float | None]] = {}
-    if by_agg:
-        row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), F.array(*map(F.lit, probs)))
-                       .alias(f"q{i}") for i, c in enumerate(by_agg)]).first()
-        for i, c in enumerate(by_agg):
-            vals = row[f"q{i}"]
-            out[c] = list(vals) if vals is not None else [None] * len(probs)
-    if by_sel:
-        out.update(_select(df, by_sel, probs, small, grid))
+def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
+    """Is ``v`` in the open interval? None is no bound."""
+    out = v.isNotNull()
+    if lo is not None:
+        out = out & (v > F.lit(lo))
+    if hi is not None:
+        out = out & (v < F.lit(hi))
     return out
 
 
-def _select(df: DataFrame, cols: list[str], probs: list[float], small: int, grid: int):
-    spark = df.sparkSession
-    long = _long(df, cols)
-    stats = {r["ord"]: r for r in long.groupBy("ord").agg(
-        F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-    wanted: dict[tuple, float | None] = {}
-    for i in range(len(cols)):
-        n = stats[i]["n"] if i in stats else 0
-        for p in probs:
-            if n:
-                h = (n - 1) * p
-                wanted[(i, math.floor(h))] = None
-                wanted[(i, math.ceil(h))] = None
-    # each wanted rank is searched in a closed value interval [lo, hi] holding `size` values
-    state = {t: (stats[t[0]]["lo"], stats[t[0]]["hi"], t[1], stats[t[0]]["n"]) for t in wanted}
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], small: int = SMALL,
+                    accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """``{column: [quantile for each prob]}``; None for a column without values."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    size = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank from 0) -> open interval, values below or on its lower end, values inside
+    state = {}
+    for c in cols:
+        for p in probs if size[c] else []:
+            h = (size[c] - 1) * p
+            for rank in {math.floor(h), math.ceil(h)}:
+                state[c, rank] = (None, None, 0, size[c])
     while state:
-        for t, st in list(state.items()):
-            if st[0] == st[1]:
-                wanted[t] = st[0]
-                del state[t]
-        finals = {t: st for t, st in state.items() if st[3] <= small}
-        if finals:
-            for t, v in _pick(spark, long, finals).items():
-                wanted[t] = v
-                del state[t]
-        if state:
-            state = _narrow(spark, long, state, grid)
-    res = {}
-    for i, c in enumerate(cols):
-        n = stats[i]["n"] if i in stats else 0
-        vals = []
-        for p in probs:
-            if not n:
-                vals.append(None)
-                continue
-            h = (n - 1) * p
-            a, b = wanted[(i, math.floor(h))], wanted[(i, math.ceil(h))]
-            vals.append(a + (h - math.floor(h)) * (b - a))
-        res[c] = vals
-    return res
-
-
-def _intervals(spark, state):
-    """Distinct (ord, lo, hi) intervals: ranks of one column in one interval share a scan."""
-    keys = sorted({(t[0], st[0], st[1]) for t, st in state.items()})
-    frame = spark.createDataFrame([(g, o, lo, hi) for g, (o, lo, hi) in enumerate(keys)],
-                                  "gid int, ord int, lo double, hi double")
-    return frame, {k: g for g, k in enumerate(keys)}
-
-
-def _tag(long: DataFrame, intervals: DataFrame) -> DataFrame:
-    # equi-join on the column ordinal plus the interval; the interval table holds at most
-    # two ranks per column and probability, so it is broadcast by construction
-    cond = ((long["ord"] == intervals["ord"]) & (long["v"] >= intervals["lo"])
-            & (long["v"] <= intervals["hi"]))
-    return long.join(F.broadcast(intervals), cond).select("gid", "v", "lo", "hi")
-
-
-def _pick(spark, long, finals):
-    """Exact values for ranks whose interval is small: one ordered window per interval."""
-    intervals, gids = _intervals(spark, finals)
-    ranks: dict[int, list] = {}
-    for t, st in finals.items():
-        ranks.setdefault(gids[(t[0], st[0], st[1])], []).append(st[2] + 1)
-    rmap = F.create_map(*[x for g, rs in ranks.items() for x in (F.lit(g), F.array(*map(F.lit, rs)))])
-    w = Window.partitionBy("gid").orderBy("v")     # each interval holds at most `small` values
-    rows = (_tag(long, intervals).withColumn("rn", F.row_number().over(w))
-            .filter(F.array_contains(F.element_at(rmap, F.col("gid")), F.col("rn")))
-            .select("gid", "rn", "v").collect())
-    got = {(r["gid"], r["rn"] - 1): r["v"] for r in rows}
-    return {t: got[(gids[(t[0], st[0], st[1])], st[2])] for t, st in finals.items()}
-
-
-def _narrow(spark, long, state, grid):
-    """One pass: equal-width buckets of each interval (plain arithmetic, no sketch), with
-    count, min and max per bucket; each rank moves to its bucket's [min, max]."""
-    intervals, gids = _intervals(spark, state)
-    tagged = _tag(long, intervals)
-    width = F.col("hi") - F.col("lo")
-    b = F.least(F.floor((F.col("v") - F.col("lo")) / width * grid), F.lit(grid - 1)).cast("int")
-    per: dict[int, list] = {}
-    for r in (tagged.withColumn("b", b).groupBy("gid", "b")
-              .agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()):
-        per.setdefault(r["gid"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
-    new_state = {}
-    for t, (lo, hi, rank, size) in state.items():
-        before = 0
-        for _, n, mn, mx in sorted(per[gids[(t[0], lo, hi)]]):
-            if before + n > rank:
-                new_state[t] = (mn, mx, rank - before, n)
-                break
-            before += n
-    return new_state
+        done = {k: s for k, s in state.items() if s[3] <= small}
+        found.update(_pick(df, done))
+        rest = [(k, s) for k, s in state.items() if k not in done]
+        state = {}
+        for at in range(0, len(rest), RANKS_PER_JOB):
+            _narrow(df, dict(rest[at:at + RANKS_PER_JOB]), accuracy, found, state)
+    return {c: [_interpolate(found, c, size[c], p) for p in probs] for c in cols}
+
+
+def _interpolate(found: dict, c: str, n: int, p: float) -> float | None:
+    if not n:
+        return None
+    h = (n - 1) * p
+    a, b = found[c, math.floor(h)], found[c, math.ceil(h)]
+    return a if a == b else a + (h - math.floor(h)) * (b - a)
+
+
+def _pick(df: DataFrame, done: dict) -> dict:
+    """Exact values of ranks whose interval is small: one ordered window per interval."""
+    if not done:
+        return {}
+    spots: dict[tuple, list[int]] = {}
+    for (c, rank), (lo, hi, below, _) in done.items():
+        spots.setdefault((c, lo, hi), []).append(rank - below + 1)
+    keys = list(spots)
+    entries = [F.when(_inside(_value(c), lo, hi), F.struct(F.lit(g).alias("g"), _value(c).alias("v"))) for g, (c, lo, hi) in enumerate(keys)]
+    long = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    ranks = F.create_map(*[x for g, k in enumerate(keys) for x in (F.lit(g), F.array(*map(F.lit, spots[k])))])
+    order = Window.partitionBy("g").orderBy("v")  # at most ``small`` values each
+    rows = (long.withColumn("rn", F.row_number().over(order))
+            .filter(F.array_contains(F.element_at(ranks, F.col("g")), F.col("rn"))).collect())
+    got = {(r["g"], r["rn"]): r["v"] for r in rows}
+    return {(c, rank): got[keys.index((c, lo, hi)), rank - below + 1] for (c, rank), (lo, hi, below, _) in done.items()}
+
+
+def _narrow(df: DataFrame, part: dict, accuracy: int, found: dict, state: dict) -> None:
+    """One round for some ranks: each is answered (``found``) or moves to a smaller interval (``state``)."""
+    keys = list(part)
+    sketch = []
+    for i, k in enumerate(keys):
+        lo, hi, below, n = part[k]
+        p = (k[1] - below + 0.5) / n
+        v = _value(k[0])
+        around = F.array(F.lit(max(0.0, p - 2 / accuracy)), F.lit(min(1.0, p + 2 / accuracy)))
+        sketch.append(F.percentile_approx(F.when(_inside(v, lo, hi), v), around, accuracy).alias(f"b{i}"))
+    row = df.agg(*sketch).first()
+    ends = [row[f"b{i}"] for i in range(len(keys))]
+    counts = []
+    for i, (k, (a, b)) in enumerate(zip(keys, ends, strict=True)):
+        v = _value(k[0])
+        counts += [F.count_if(v < F.lit(a)).alias(f"l{i}"), F.count_if(v == F.lit(a)).alias(f"a{i}"),
+                   F.count_if((v > F.lit(a)) & (v < F.lit(b))).alias(f"m{i}"), F.count_if(v == F.lit(b)).alias(f"e{i}")]
+    row = df.agg(*counts).first()
+    for i, (k, (a, b)) in enumerate(zip(keys, ends, strict=True)):
+        lo, hi, below, n = part[k]
+        less, on_a, mid, on_b = (row[f"{x}{i}"] for x in "lame")
+        on_b = 0 if a == b else on_b
+        rank = k[1]
+        if rank < less:
+            state[k] = (lo, a, below, less - below)
+        elif rank < less + on_a:
+            found[k] = a
+        elif rank < less + on_a + mid:
+            state[k] = (a, b, less + on_a, mid)
+        elif rank < less + on_a + mid + on_b:
+            found[k] = b
+        else:
+            above = less + on_a + mid + on_b
+            state[k] = (b, hi, above, below + n - above)

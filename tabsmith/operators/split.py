@@ -51,13 +51,15 @@ def _cut(hashed: DataFrame, k: int, small: int = SMALL, first: list | None = Non
         prefix += bucket
         rank -= before
         scope = hashed.filter(F.col("h").startswith(prefix))
-        if n <= small or len(prefix) >= 32:
+        if len(prefix) >= 32:
+            return prefix
+        if n <= small:
             w = Window.partitionBy(F.substring("h", 1, len(prefix))).orderBy("h")
             return (scope.withColumn("rn", F.row_number().over(w))
                     .filter(F.col("rn") == rank).select("h").first()["h"])
 
 
-def _exact_flags(df: DataFrame, key, test_share: float, seed: int) -> tuple[DataFrame, int]:
+def exact_flags(df: DataFrame, key, test_share: float, seed: int) -> tuple[DataFrame, int]:
     """``(df with is_test, n)``. The row count is the sum of the first prefix counts, so
     counting and cutting share a pass."""
     h = split_hash(key, seed)
@@ -66,7 +68,11 @@ def _exact_flags(df: DataFrame, key, test_share: float, seed: int) -> tuple[Data
     n = sum(c for _, c in first)
     if n < fixed.TINY_TABLE_ROWS:
         return df.withColumn("is_test", F.lit(True)), n
-    cut_h = _cut(hashed, math.ceil(test_share * n), first=first)
+    k = math.ceil(test_share * n)
+    cut_h = _cut(hashed, k, first=first)
+    taken = hashed.filter(F.col("h") <= F.lit(cut_h)).count()
+    if taken != k:
+        raise ValueError(f"the split key repeats: {taken} rows share the {k} smallest hashes; give a unique key")
     return df.withColumn("is_test", h <= F.lit(cut_h)), n
 
 
@@ -76,16 +82,16 @@ def split_flags(df: DataFrame, key: str | Sequence[str], test_share: float = fix
     unique); below five rows every row is a test row. ``mode='bernoulli'``: each row
     independently by hash, no extra pass."""
     if mode == "bernoulli":
-        cut = F.pmod(F.xxhash64(key_column(key), F.lit(seed)), F.lit(10_000)) < int(test_share * 10_000)
+        cut = F.pmod(F.xxhash64(key_column(key), F.lit(seed)), F.lit(10_000)) < round(test_share * 10_000)
         return df.withColumn("is_test", cut)
-    return _exact_flags(df, key, test_share, seed)[0]
+    return exact_flags(df, key, test_share, seed)[0]
 
 
 def split(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TEST_SHARE,
           seed: int = fixed.SEED, mode: str = "exact") -> tuple[DataFrame, DataFrame]:
     """F1 + F2: (train, test). Below five rows both are the whole table."""
     if mode == "exact":
-        flagged, n = _exact_flags(df, key, test_share, seed)
+        flagged, n = exact_flags(df, key, test_share, seed)
         if n < fixed.TINY_TABLE_ROWS:
             return df, df
     else:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
+from tabsmith.functions.stats import nan_to_null
 
 NUMERIC_TYPES = ["tinyint", "smallint", "int", "bigint", "float", "double"]
 
@@ -22,7 +23,10 @@ def _is_numeric_dtype(dtype: Column) -> Column:
 
 def drop_null_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Rows whose target is null (or NaN) are removed."""
-    return df.na.drop(subset=list(targets))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for t in targets:
+        df = df.filter(nan_to_null(F.col(f"`{t}`"), types[t]).isNotNull())
+    return df
 
 
 def cast_target(df: DataFrame, target: str) -> DataFrame:
@@ -65,13 +69,19 @@ def task_from_algorithm(name: Column) -> Column:
     return F.when(cond, F.lit("Classification")).otherwise(F.lit("Regression"))
 
 
+def id_rule() -> Column:
+    """D1's rule over a profile row: every value distinct and an ID-like name."""
+    from tabsmith.operators.prune import has_id_hint
+    return (F.col("n_distinct") == F.col("n_rows")) & has_id_hint(F.col("column_name"))
+
+
 def rank_targets(profile: DataFrame) -> DataFrame:
     """``(rank, column_name, weight)``.
 
     weight = 0 for an ID, constant or mostly-empty column, else
     0.5 + 0.3 * (1 - null_pct / 100) + 0.2 * is_numeric; ties by column order.
     """
-    bad = F.col("flags") != ""
+    bad = id_rule() | F.col("flags").contains("CONSTANT") | F.col("flags").contains("HIGH NULL")
     w = F.when(bad, F.lit(0.0)).otherwise(
         F.lit(0.5) + F.lit(0.3) * (F.lit(1.0) - F.col("null_pct") / 100.0)
         + F.lit(0.2) * _is_numeric_dtype(F.col("dtype")).cast("double"))
@@ -117,21 +127,23 @@ def algorithm_table(spark) -> DataFrame:
 
 
 def rank_algorithms(df: DataFrame, task: str, n_features: int | None = None,
-                    n_rows: int | None = None) -> DataFrame:
+                    n_rows: int | None = None, small_rows: int = SMALL_TABLE_ROWS,
+                    wide_features: int = WIDE_TABLE_FEATURES) -> DataFrame:
     """Fixed candidates for the task, adjusted by table size; highest first.
 
-    Small tables (< 1000 rows) favour linear models (+0.1) over boosting (-0.1);
-    wide tables (> 50 features) favour forests (+0.05).
+    Tables under ``small_rows`` rows favour linear models (+0.1) over boosting (-0.1); tables
+    over ``wide_features`` features favour forests (+0.05). 0 turns the first rule off, a large
+    number the second.
     """
     n_features = len(df.columns) - 1 if n_features is None else n_features
     n_rows = df.count() if n_rows is None else n_rows
     cand = algorithm_table(df.sparkSession).filter(F.col("task") == task)
-    small = F.lit(n_rows < SMALL_TABLE_ROWS)
+    small = F.lit(n_rows < small_rows)
     linear = F.col("algorithm").isin("LinearRegression", "LogisticRegression", "LinearSVC")
     boost = F.col("algorithm").startswith("GBT")
     forest = F.col("algorithm").startswith("RandomForest")
     adj = (F.when(small & linear, F.lit(0.1)).when(small & boost, F.lit(-0.1)).otherwise(F.lit(0.0))
-           + F.when(forest & F.lit(n_features > WIDE_TABLE_FEATURES), F.lit(0.05)).otherwise(F.lit(0.0)))
+           + F.when(forest & F.lit(n_features > wide_features), F.lit(0.05)).otherwise(F.lit(0.0)))
     scored = cand.select(
         "algorithm", "task", F.round(F.col("base") + adj, 4).alias("suitability"))
     win = Window.orderBy(F.col("suitability").desc(), F.col("algorithm"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
@@ -13,7 +13,7 @@ def verdict(metrics: DataFrame) -> DataFrame:
 
     Classification passes with accuracy >= 0.55 (two classes) or >= 0.45 (more);
     regression passes with R2 > 0. Rating: accuracy, or max(R2, 0). ``metrics`` is
-    ``name=value`` pairs in name order.
+    a map from metric name to value, names ascending.
     """
     acc = F.max(F.when(F.col("metric") == "accuracy", F.col("value")))
     r2 = F.max(F.when(F.col("metric") == "r2", F.col("value")))
@@ -25,9 +25,13 @@ def verdict(metrics: DataFrame) -> DataFrame:
     need = F.when(F.col("k") <= 2, F.lit(fixed.BINARY_MIN_ACCURACY)).otherwise(F.lit(fixed.MULTICLASS_MIN_ACCURACY))
     passed = F.when(is_cls, F.col("acc") >= need).otherwise(F.col("r2") > fixed.MIN_R2)
     rating = F.when(is_cls, F.col("acc")).otherwise(F.greatest(F.col("r2"), F.lit(0.0)))
-    text = F.array_join(F.transform("ml", lambda s: F.format_string("%s=%.4f", s["metric"], s["value"])), ", ")
     return per.select("target", "task", F.round(rating, 4).alias("rating"),
-                      F.coalesce(passed, F.lit(False)).alias("passed"), text.alias("metrics"))
+                      F.coalesce(passed, F.lit(False)).alias("passed"), F.map_from_entries("ml").alias("metrics"))
+
+
+def metric_text(metrics: Column) -> Column:
+    """A verdict's metrics as ``name=value`` pairs at 4 decimals."""
+    return F.array_join(F.transform(F.map_entries(metrics), lambda s: F.format_string("%s=%.4f", s["key"], s["value"])), ", ")
 
 
 def overall(verdicts: DataFrame) -> DataFrame:

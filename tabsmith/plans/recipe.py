@@ -34,7 +34,7 @@ log = logging.getLogger(__name__)
 @dataclass(frozen=True)
 class Config:
     targets: tuple[str, ...]
-    protect_text: bool = True            # text columns are never dropped as IDs
+    protect_text: bool = False           # True: text columns are never dropped as IDs
     keep_sign: bool = False              # formatted numbers keep a leading minus
     max_levels: int = fixed.CLASS_MAX_DISTINCT
     parity: bool = False                 # True: label-coded text targets follow the <=15 rule too
@@ -196,12 +196,9 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     clock.lap("dates")
 
     # phase 6: fill (skew measured after phases 4-5; targets never filled)
-    # proven distinct-count bounds: raw columns keep theirs (parsing and word mapping can
-    # only merge values; a fill adds one); date parts are bounded by the calendar
+    # proven label-count bounds: text cleaning can only merge values; a fill adds one
     bounded = {c: n + 1 for c, n in distinct.items()}
-    for d in recipe.date_columns:
-        bounded.update({f"{d}_year": 10_000, f"{d}_month": 12, f"{d}_day": 31, f"{d}_dayofweek": 7})
-    recipe.fill = impute.fit_fill(cur, exclude=targets, distinct=bounded, max_levels=config.max_levels)
+    recipe.fill = impute.fit_fill(cur, exclude=targets, max_levels=config.max_levels)
     cur = impute.apply_fill(cur, recipe.fill)
     clock.lap("fill")
 
@@ -209,9 +206,9 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     num = impute.numeric_columns(cur, exclude=targets)
     mm = {c: (s["min"], s["max"]) for c, s in recipe.fill.stats.items() if c in num}
     if all(c in mm for c in num):
-        recipe.bounds = outliers.fit_iqr(cur, num, distinct=bounded, bounds=mm)
+        recipe.bounds = outliers.fit_iqr(cur, num, bounds=mm)
     else:
-        recipe.bounds = outliers.fit_iqr(cur, num, distinct=bounded)
+        recipe.bounds = outliers.fit_iqr(cur, num)
     cur = outliers.clip(cur, recipe.bounds)
     clock.lap("outliers")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tabsmith import fixed
 from tabsmith.operators import audit, metrics, models, split, verdict
 from tabsmith.plans.recipe import Config, Recipe, fit
+from tabsmith.sources.records import write_mappings, write_run_record
 from tabsmith.sources.tables import scratch_path
 
 DEFAULT_ALGORITHM = {"Regression": "LinearRegression", "Classification": "LogisticRegression"}
@@ -38,7 +39,7 @@ class RunResult:
 
 def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws: bool = False,
         test_share: float = fixed.TEST_SHARE, seed: int = fixed.SEED, clean_path: str | None = None,
-        fit_on: str = "all", **config) -> RunResult:
+        fit_on: str = "all", out_path: str | None = None, **config) -> RunResult:
     """Clean ``df``, audit it, split it exactly by ``key``, fit one model per target, score
     the whole test table and judge the metrics.
 
@@ -53,6 +54,8 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     fill value, bound or code.
     """
     targets = (targets,) if isinstance(targets, str) else tuple(targets)
+    if algorithm:
+        models.family_of(algorithm)  # an unknown name fails before any work
     keys = [key] if isinstance(key, str) else list(key)
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
@@ -61,8 +64,10 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     carried = df.select(*[F.col(f"`{k}`").alias(c) for k, c in zip(keys, kcols)], "*")
     fit_df = df
     if fit_on == "train":
-        carried = split.split_flags(carried, kcols, test_share, seed).withColumnRenamed("is_test", "__is_test")
-        fit_df = carried.filter(~F.col("__is_test")).drop("__is_test", *kcols)
+        carried, n = split.exact_flags(carried, kcols, test_share, seed)
+        carried, tiny = carried.withColumnRenamed("is_test", "__is_test"), n < fixed.TINY_TABLE_ROWS
+        # a tiny table trains and tests on all its rows
+        fit_df = df if tiny else carried.filter(~F.col("__is_test")).drop("__is_test", *kcols)
     # the contract (V1-V5) is checked once on the written table below, not on the lineage
     config.setdefault("validate", False)
     recipe = fit(fit_df, Config(targets=targets, **config))
@@ -78,7 +83,7 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
         if bad:
             raise ValueError("audit failed: " + "; ".join(f"{r.column_name}:{r.flaw}" for r in bad))
     if fit_on == "train":
-        train = clean.filter(~F.col("__is_test")).drop(*extra)
+        train = (clean if tiny else clean.filter(~F.col("__is_test"))).drop(*extra)
         test = clean.filter(F.col("__is_test")).drop(*extra)
     else:
         train_k, test_k = split.split(clean, kcols, test_share, seed)
@@ -87,7 +92,7 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     strategy = "Classification" if task_set == {"Classification"} else (
         "Regression" if task_set == {"Regression"} else "Mixed")
     algo = algorithm or DEFAULT_ALGORITHM.get(strategy, "RandomForest")
-    trained = models.train(train, targets, algo, recipe.tasks, recipe.target_classes or None)
+    trained = models.train(train, targets, algo, recipe.tasks)
     scored = models.predict(trained, test)
     mets = None
     for t in targets:
@@ -96,12 +101,29 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     card = metrics.scorecard_lines(mets, strategy, algo, list(targets))
     verdicts = verdict.verdict(mets)
     shown = split.display_columns(train.columns, targets)
-    preds = metrics.prediction_table(scored, shown, targets, recipe.target_mapping, recipe.target_coded,
-                                     recipe.target_classes)
+    coded = [c for c in shown if c in recipe.encoding.label]
+    preds = metrics.prediction_table(scored, shown, targets, recipe.mappings, recipe.target_coded,
+                                     {**recipe.encoding.label_counts, **recipe.target_classes}, coded)
     record = {"targets": list(targets), "tasks": recipe.tasks, "algorithm": algo, "fit_on": fit_on,
               "dropped": recipe.drops, "encodings": recipe.encodings()}
-    return RunResult(recipe, clean_feats, flaws, train, test, trained, scored, mets, card, verdicts,
-                     preds, record)
+    result = RunResult(recipe, clean_feats, flaws, train, test, trained, scored, mets, card, verdicts,
+                       preds, record)
+    if out_path:
+        write_artifacts(result, out_path)
+    return result
+
+
+def write_artifacts(result: RunResult, path: str) -> dict[str, str]:
+    """The train and test tables, label mappings, models and run record under ``path``."""
+    paths = {k: f"{path.rstrip('/')}/{k}" for k in ("train", "test", "mappings", "models", "record")}
+    result.train.write.mode("overwrite").parquet(paths["train"])
+    result.test.write.mode("overwrite").parquet(paths["test"])
+    if result.recipe.mappings is not None:
+        write_mappings(result.recipe.mappings, paths["mappings"])
+    models.save_models(result.trained, paths["models"])
+    result.record["paths"] = paths
+    write_run_record(result.clean.sparkSession, run_record(result), paths["record"])
+    return paths
 
 
 def run_record(result: RunResult) -> dict:

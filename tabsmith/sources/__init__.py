@@ -8,7 +8,7 @@ from tabsmith.sources.records import (
     write_run_record,
 )
 from tabsmith.sources.tables import (
-    discover,
+    discover, table_sizes,
     infer_types,
     peek_columns,
     pool,
@@ -17,6 +17,6 @@ from tabsmith.sources.tables import (
     write_table,
 )
 
-__all__ = ["discover", "infer_types", "peek_columns", "pool", "read_table", "scratch_path",
+__all__ = ["discover", "table_sizes", "infer_types", "peek_columns", "pool", "read_table", "scratch_path",
            "write_table", "write_mappings", "read_mappings", "mappings_document",
            "write_run_record", "read_run_record"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tabsmith import fixed
 from tabsmith.session import ensure_checkpoint_dir
 
+READABLE = (".csv", ".parquet")
 BOOL_WORDS = ("true", "false")
 INT_SHAPE = "^\\s*[+-]?[0-9]+\\s*$"
 NUM_SHAPE = "^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$"
@@ -39,23 +40,36 @@ def _fs(spark: SparkSession, path: str):
 
 
 def discover(spark: SparkSession, path: str, suffixes: Sequence[str] = fixed.TABLE_SUFFIXES) -> DataFrame:
-    """``(path, name, suffix, size)`` of supported files: the file itself, or the
-    files directly inside a directory (not recursive). No match is an error."""
+    """``(path, name, suffix, size, readable)`` of table files: the file itself, or the files
+    directly inside a directory (not recursive). A directory with a table suffix is a table of
+    part files. Excel files are listed but not ``readable`` here. No match is an error."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
     status = fs.getFileStatus(p)
-    entries = [status] if status.isFile() else [s for s in fs.listStatus(p) if s.isFile()]
+    entries = [status] if status.isFile() else list(fs.listStatus(p))
     rows = []
     for s in entries:
         name = s.getPath().getName()
         dot = name.rfind(".")
         suffix = name[dot:].lower() if dot >= 0 else ""
         if suffix in suffixes:
-            rows.append((s.getPath().toString(), name, suffix, int(s.getLen())))
+            size = int(s.getLen()) if s.isFile() else int(fs.getContentSummary(s.getPath()).getLength())
+            rows.append((s.getPath().toString(), name, suffix, size, suffix in READABLE))
     if not rows:
         raise ValueError(f"no table files ({', '.join(suffixes)}) at {path}")
-    return spark.createDataFrame(sorted(rows, key=lambda r: r[1]), "path string, name string, suffix string, size long")
+    return spark.createDataFrame(sorted(rows, key=lambda r: r[1]), "path string, name string, suffix string, size long, readable boolean")
+
+
+def table_sizes(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """The discovered tables, each readable one opened, with ``n_rows`` (one row per file on the driver)."""
+    out = None
+    for r in found.collect():
+        one = F.lit(None).cast("long") if not r.readable else None
+        rows = spark.range(1).select(one.alias("n_rows")) if one is not None else read_table(spark, r.path, infer=False).agg(F.count(F.lit(1)).alias("n_rows"))
+        rows = rows.select(*[F.lit(r[c]).alias(c) for c in found.columns], "n_rows")
+        out = rows if out is None else out.unionAll(rows)
+    return out
 
 
 def _null_tokens(c):
@@ -91,14 +105,23 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = True) -> DataFrame:
-    """CSV with a header (null tokens, inferred types) or Parquet as it is."""
+#: RFC 4180: fields in double quotes, a quote doubled inside them, white space kept.
+CSV_RULES = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = True, multiline: bool = True) -> DataFrame:
+    """CSV with a header (null tokens, inferred types) or Parquet as it is.
+
+    ``multiline`` (default) lets a quoted field hold line breaks; a file is then read by one task.
+    Without it files are split, and a record torn by a line break is an error.
+    """
     fmt = fmt or ("parquet" if path.lower().rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported table format {fmt!r}; export Excel sheets to CSV or Parquet")
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    rules = CSV_RULES | ({"multiLine": True} if multiline else {"mode": "FAILFAST"})
+    raw = spark.read.options(**rules).option("inferSchema", False).csv(path)
     raw = raw.select(*[_null_tokens(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     return infer_types(raw) if infer else raw
 
@@ -108,7 +131,7 @@ def peek_columns(spark: SparkSession, path: str, fmt: str | None = None) -> list
     fmt = fmt or ("parquet" if path.lower().rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
         return spark.read.parquet(path).columns
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    return spark.read.options(**CSV_RULES).option("inferSchema", False).csv(path).columns
 
 
 def pool(dfs: Sequence[DataFrame], names: Sequence[str] | None = None, source_col: str = "source") -> DataFrame:
@@ -135,7 +158,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = T
             raise ValueError(f"{path} is an input of this frame; write to a new path")
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        w = w.option("header", header)
+        w = w.options(**(CSV_RULES | {"header": header}))
     w.save(path)
     return path
 

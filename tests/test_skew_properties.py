@@ -44,6 +44,6 @@ def test_hot_run_in_log_table(spark):
                 min_size=1, max_size=300))
 def test_selection_matches_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    got = exact_quantiles(df, ["a"], [0.25, 0.5, 0.75], {}, max_distinct=0, small=7, grid=4)["a"]
+    got = exact_quantiles(df, ["a"], [0.25, 0.5, 0.75], small=7, accuracy=10)["a"]
     want = np.quantile(np.array(values), [0.25, 0.5, 0.75], method="linear")
     assert np.allclose(got, want, rtol=1e-12, atol=1e-9)

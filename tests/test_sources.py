@@ -50,3 +50,12 @@ def test_window_sample_and_head(spark):
     assert s1 == s2 and len(s1) == 10 and max(s1) < 1000
     lines = [r.line for r in sample.head_rows(o, 2, "o_orderkey", "|").orderBy("line_no").collect()]
     assert lines[0] == "|".join(o.columns) and len(lines) == 3
+
+
+def test_csv_quotes_newlines_and_blanks(spark):
+    path = src.scratch_path(spark, "csv")
+    rows = [(1, 'he said "hi, you"'), (2, "two\nlines\r\nthree"), (3, "  kept  "), (4, '"'), (5, "a,b")]
+    src.write_table(spark.createDataFrame(rows, "i long, s string"), path, "csv")
+    assert sorted(map(tuple, src.read_table(spark, path).collect())) == rows
+    with pytest.raises(Exception):
+        src.read_table(spark, path, multiline=False, infer=False).collect()
