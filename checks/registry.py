@@ -588,7 +588,7 @@ def q_one_hot_orders(spark, sf_dir):
 
 
 @register("label_codes_part", """
-SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS code
+SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT p_name FROM part)
 UNION ALL
 SELECT 'p_brand', p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) FROM (SELECT DISTINCT p_brand FROM part)""")
@@ -597,7 +597,7 @@ def q_label_codes_part(spark, sf_dir):
 
 
 @register("label_codes_customer", """
-SELECT 'c_name' AS column_name, c_name AS label, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code
+SELECT 'c_name' AS column_name, c_name AS label, CAST(row_number() OVER (ORDER BY c_name) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT c_name FROM customer)""")
 def q_label_codes_customer(spark, sf_dir):
     return enc.label_codes(table(spark, sf_dir, "customer"), ["c_name"])
@@ -607,8 +607,8 @@ PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
 @register("encode_part", """
-WITH n AS (SELECT p_name AS l, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS c FROM (SELECT DISTINCT p_name FROM part)),
-b AS (SELECT p_brand AS l, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS c FROM (SELECT DISTINCT p_brand FROM part))
+WITH n AS (SELECT p_name AS l, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS c FROM (SELECT DISTINCT p_name FROM part)),
+b AS (SELECT p_brand AS l, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS c FROM (SELECT DISTINCT p_brand FROM part))
 SELECT p_partkey, n.c AS p_name, b.c AS p_brand, p_size, p_retailprice, """
           + ", ".join(f"CAST(p_type IS NOT DISTINCT FROM '{v}' AS INTEGER) AS \"p_type_{v}\"" for v in PART_TYPES)
           + " FROM part JOIN n ON part.p_name = n.l JOIN b ON part.p_brand = b.l")
@@ -619,14 +619,14 @@ def q_encode_part(spark, sf_dir):
 
 
 @register("encode_target_orders", """
-SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS o_orderstatus FROM orders""")
+SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) AS o_orderstatus FROM orders""")
 def q_encode_target_orders(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return tgt.encode_target(o, "o_orderstatus")[0]
 
 
 @register("decode_orders", """
-WITH m AS (SELECT o_orderpriority AS label, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS code
+WITH m AS (SELECT o_orderpriority AS label, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS code
            FROM (SELECT DISTINCT o_orderpriority FROM orders)),
 e AS (SELECT o_orderkey, m.code AS y, (m.code + 1) % 6 + 0.7 AS p FROM orders JOIN m ON orders.o_orderpriority = m.label)
 SELECT o_orderkey, coalesce(my.label, 'Unknown') AS y, coalesce(mp.label, 'Unknown') AS p
@@ -1010,7 +1010,7 @@ t AS (SELECT CASE WHEN tw > 3 THEN array_to_string(list_slice(string_split_regex
              CASE WHEN sw > 3 THEN array_to_string(list_slice(string_split_regex(trim(source), '\\s+'), 1, 2), ' ')
              ELSE source END AS source FROM j, w),
 n AS (SELECT count(DISTINCT text) AS nt, count(DISTINCT source) AS ns FROM t)
-SELECT 'text' AS column_name, text AS label, CAST(dense_rank() OVER (ORDER BY text) - 1 AS INTEGER) AS code
+SELECT 'text' AS column_name, text AS label, CAST(dense_rank() OVER (ORDER BY text) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT text FROM t) WHERE (SELECT nt FROM n) > 15
 UNION ALL
 SELECT 'source', source, CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER)
@@ -1245,7 +1245,7 @@ def q_pool_files(spark, sf_dir):
 
 
 @register("mappings_roundtrip_part", """
-SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS code
+SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT p_name FROM part)""")
 def q_mappings_roundtrip_part(spark, sf_dir):
     m = enc.label_codes(table(spark, sf_dir, "part"), ["p_name"])
@@ -1349,7 +1349,7 @@ WITH raw AS (
          CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS urgent,
          o_orderpriority AS priority_label
   FROM orders),
-codes AS (SELECT priority_label AS label, CAST(dense_rank() OVER (ORDER BY priority_label) - 1 AS INTEGER) AS code
+codes AS (SELECT priority_label AS label, CAST(dense_rank() OVER (ORDER BY priority_label) - 1 AS BIGINT) AS code
           FROM (SELECT DISTINCT priority_label FROM raw)),
 m AS (SELECT status AS mode FROM raw WHERE status IS NOT NULL GROUP BY status ORDER BY count(*) DESC, status LIMIT 1),
 p AS (SELECT cust_no, amount, coalesce(status, mode) AS status, year(d) AS order_date_year, month(d) AS order_date_month,

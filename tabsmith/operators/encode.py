@@ -21,10 +21,29 @@ from tabsmith.operators.profile import value_counts
 from tabsmith.operators.topk import top_k_per_group
 from tabsmith.session import ensure_checkpoint_dir, shuffle_partitions
 
-BROADCAST_MAX_LABELS = 2_000_000   # a mapping this small (counted exactly) is broadcast
+BROADCAST_MAX_BYTES = 64 << 20      # mappings of one table are broadcast while their counted bytes stay under this
 UNSEEN_CODE = -1                   # code of a label the mapping does not hold (decodes to 'Unknown')
 
 
+class LabelCounts(dict):
+    """``{column: number of labels}`` with the exact size of each mapping in ``nbytes``."""
+
+    def __init__(self, counts=(), nbytes: dict | None = None):
+        super().__init__(counts)
+        self.nbytes = dict(nbytes or {})
+
+
+def _small(cols: Sequence[str], counts: dict | None) -> set[str]:
+    """Columns whose mappings may be broadcast: sizes known, and under the limit all together."""
+    sizes = getattr(counts, "nbytes", {})
+    out, used = set(), 0
+    for c in sorted({c for c in cols if c in sizes}, key=sizes.get):
+        used += sizes[c]
+        if used <= BROADCAST_MAX_BYTES:
+            out.add(c)
+    return out
+
+
 @dataclass(frozen=True)
 class EncodePlan:
     one_hot: dict = field(default_factory=dict)     # column -> tuple of levels (ascending)
@@ -106,7 +125,7 @@ def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | No
     """
     spark = df.sparkSession
     if not cols:
-        return spark.createDataFrame([], "column_name string, label string, code int"), {}
+        return spark.createDataFrame([], "column_name string, label string, code long"), LabelCounts()
     ensure_checkpoint_dir(spark)
     if partitions is None and expected is not None:
         partitions = max(1, min(shuffle_partitions(spark), -(-expected // LABELS_PER_PARTITION)))
@@ -117,8 +136,8 @@ def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | No
     ranged = ranged.sortWithinPartitions("ordinal", "label").checkpoint(eager=True)
     pos = ranged.select("ordinal", "label", F.spark_partition_id().alias("pid"),
                         F.monotonically_increasing_id().alias("mid"))
-    counts = sorted((r["ordinal"], r["pid"], r["n"]) for r in
-                    pos.groupBy("ordinal", "pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    found = pos.groupBy("ordinal", "pid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("label") + 16).alias("b")).collect()
+    counts = sorted((r["ordinal"], r["pid"], r["n"]) for r in found)
     # inside a partition rows are sorted by (ordinal, label): an ordinal's rows start
     # after the rows of the smaller ordinals held by the same partition
     start, seen = {}, {}
@@ -134,8 +153,9 @@ def label_codes_counted(df: DataFrame, cols: Sequence[str], partitions: int | No
     names = spark.createDataFrame([(df.columns.index(c), c) for c in cols], "ordinal int, column_name string")
     mapping = (pos.join(F.broadcast(base), ["ordinal", "pid"])
                   .join(F.broadcast(names), "ordinal")
-                  .select("column_name", "label", (F.col("mid") + F.col("base")).cast("int").alias("code")))
-    return mapping, {c: totals.get(df.columns.index(c), 0) for c in cols}
+                  .select("column_name", "label", (F.col("mid") + F.col("base")).alias("code")))
+    size = {c: sum(r["b"] for r in found if r["ordinal"] == df.columns.index(c)) for c in cols}
+    return mapping, LabelCounts({c: totals.get(df.columns.index(c), 0) for c in cols}, size)
 
 
 def apply_labels(df: DataFrame, mappings: DataFrame, cols: Sequence[str],
@@ -143,15 +163,15 @@ def apply_labels(df: DataFrame, mappings: DataFrame, cols: Sequence[str],
     """Replace each label column by its code (left join). A label absent from the mapping
     (a table the recipe was not fitted on) gets ``UNSEEN_CODE``; a null stays null.
 
-    The mapping side is broadcast only when its exact size is known and small;
-    otherwise it is a shuffle join, where AQE splits a hot label's partition.
+    Mappings are broadcast only while their exact bytes are known and small all together;
+    otherwise each it is a shuffle join, where AQE splits a hot label's partition.
     """
     out = df
+    small = _small(cols, counts)
     for c in cols:
         m = (mappings.filter(F.col("column_name") == c)
              .select(F.col("label").alias("__label"), F.col("code").alias("__code")))
-        n = (counts or {}).get(c)
-        if n is not None and n <= BROADCAST_MAX_LABELS:
+        if c in small:
             m = F.broadcast(m)
         code = F.when(F.col(f"`{c}`").isNotNull(), F.coalesce(F.col("__code"), F.lit(UNSEEN_CODE)))
         out = (out.join(m, out[f"`{c}`"] == m["__label"], "left")
@@ -198,16 +218,16 @@ def decode(df: DataFrame, mappings: DataFrame, columns: dict[str, str],
     """For each ``output column -> mapping column``, the code (``int(float(x))``,
     truncating toward zero) becomes its label; unmapped or null values become 'Unknown'.
 
-    A mapping is broadcast when its counted size is small (``counts``), else joined by shuffle.
+    Mappings are broadcast when their counted bytes are small (``counts``), else joined by shuffle.
     """
     out = df
+    small = _small(list(columns.values()), counts)
     for col, key in columns.items():
         m = (mappings.filter(F.col("column_name") == key)
              .select(F.col("code").alias("__code"), F.col("label").alias("__label")))
-        n = (counts or {}).get(key)
-        if n is not None and n <= BROADCAST_MAX_LABELS:
+        if key in small:
             m = F.broadcast(m)
-        code = F.col(f"`{col}`").try_cast("double").try_cast("int")
+        code = F.col(f"`{col}`").try_cast("double").try_cast("bigint")
         out = (out.join(m, code == m["__code"], "left")
                   .select(*[F.coalesce(F.col("__label"), F.lit(unknown)).alias(x) if x == col
                             else F.col(f"`{x}`") for x in out.columns]))

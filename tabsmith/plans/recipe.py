@@ -98,6 +98,12 @@ class Recipe:
             out = out.unionByName(p)
         return out
 
+    def label_counts(self) -> encode.LabelCounts:
+        """Label counts and mapping sizes of coded features and targets."""
+        parts = (self.encoding.label_counts, self.target_classes)
+        return encode.LabelCounts({k: v for p in parts for k, v in p.items()},
+                                  {k: v for p in parts for k, v in getattr(p, "nbytes", {}).items()})
+
     def encodings(self) -> dict:
         e = {c: "one_hot" for c in self.encoding.one_hot}
         e.update({c: "label" for c in self.encoding.label})

@@ -103,7 +103,7 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     shown = split.display_columns(train.columns, targets)
     coded = [c for c in shown if c in recipe.encoding.label]
     preds = metrics.prediction_table(scored, shown, targets, recipe.mappings, recipe.target_coded,
-                                     {**recipe.encoding.label_counts, **recipe.target_classes}, coded)
+                                     recipe.label_counts(), coded)
     record = {"targets": list(targets), "tasks": recipe.tasks, "algorithm": algo, "fit_on": fit_on,
               "dropped": recipe.drops, "encodings": recipe.encodings()}
     result = RunResult(recipe, clean_feats, flaws, train, test, trained, scored, mets, card, verdicts,

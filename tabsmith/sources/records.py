@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import ensure_checkpoint_dir
 
-MAPPING_SCHEMA = "column_name string, label string, code int"
+MAPPING_SCHEMA = "column_name string, label string, code bigint"
 
 
 def write_mappings(mappings: DataFrame, path: str) -> str:
