@@ -1272,6 +1272,41 @@ def q_models_roundtrip_documents(spark, sf_dir):
     return mdl.predict(loaded, res.test)
 
 
+@register("models_roundtrip_equal_documents", """
+SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_rows, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_equal
+FROM documents JOIN labels USING (doc_id)""")
+def q_models_roundtrip_equal_documents(spark, sf_dir):
+    """Test rows, and those for which a saved and loaded model predicts what the trained one did."""
+    from tabsmith.plans.run import run
+    res = run(documents_labelled(spark, sf_dir), ["quality"], "doc_id", algorithm="DecisionTreeClassifier")
+    path = src.scratch_path(spark, "models")
+    mdl.save_models(res.trained, path)
+    again = mdl.predict(mdl.load_models(spark, path), res.scored.withColumnRenamed("Pred_quality", "first_pred"))
+    return again.agg(F.count("*").alias("n_rows"), F.count_if(F.col("first_pred") == F.col("Pred_quality")).alias("n_equal"))
+
+
+@register("run_truth_orders", """
+WITH h AS (SELECT o_orderstatus, row_number() OVER (ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR))) AS r,
+                  count(*) OVER () AS n FROM orders)
+SELECT o_orderstatus, count(*) AS n_rows, true AS known FROM h WHERE r <= ceil(0.2 * n) GROUP BY 1""")
+def q_run_truth_orders(spark, sf_dir):
+    """Decoded truth of the prediction table over the exact test split; predictions are decoded labels too."""
+    res = run_all(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_orderkey", algorithm="DecisionTreeClassifier")
+    known = F.bool_and(F.col("Pred_o_orderstatus").isin("F", "O", "P"))
+    return res.predictions.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), known.alias("known"))
+
+
+@register("linear_fit_lineitem", """
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b FROM lineitem)
+SELECT l_quantity, count(*) AS n, round(a * l_quantity + b, 3) AS pred FROM lineitem, f GROUP BY l_quantity, a, b""")
+def q_linear_fit_lineitem(spark, sf_dir):
+    """One-feature linear regression on all rows against its closed form."""
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    tm = mdl.train(li, ["l_extendedprice"], "LinearRegression", {"l_extendedprice": "Regression"})
+    out = mdl.predict(tm, li, clip=False)
+    return out.groupBy("l_quantity").agg(F.count("*").alias("n"), F.round(F.max("Pred_l_extendedprice"), 3).alias("pred"))
+
+
 # ---------------------------------------------- audit statistics (P10), clean report (V6)
 
 
