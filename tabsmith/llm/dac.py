@@ -30,7 +30,7 @@ MAGIC = b"DAC1"
 BLOCK = 512
 NULL_ID = -(1 << 63)
 #: Words remembered by a worker; the table is emptied when it is full.
-CACHE = 1 << 19
+CACHE = 3 << 18
 
 
 # ---------------------------------------------------------------- one segment
@@ -109,33 +109,63 @@ class Segment:
 # ---------------------------------------------------------------- encoding
 
 class WordTokenizer:
-    """Whole texts by a tokenizer whose pre-tokens never cross ASCII white space.
+    """Whole texts by a tokenizer that lower-cases and whose pre-tokens cross neither ASCII white space nor a letter and a sign.
 
-    The ids of a text are then those of its white-space-free runs side by side, so each
-    distinct run is encoded once while it is remembered.
+    The ids of a text are then those of its white-space-free runs side by side, and a run that
+    ends in a letter and a stop or comma is the run before it and that sign; each distinct run is
+    encoded once while it is remembered. New runs are encoded many to a text, with a control
+    character between them whose id marks the cuts.
     """
 
+    MARK = b"\x01"
+
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
+        self.mark, = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
         self.seen: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids with the end id, as little-endian 32-bit integers."""
         runs = [t.split() for t in texts]
+        if len(self.seen) > CACHE:
+            self.seen.clear()
         seen = self.seen
-        new = list(set().union(*runs).difference(seen))
-        if len(seen) + len(new) > CACHE:
-            seen.clear()
-            new = list(set().union(*runs))
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for run, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False), strict=True):
-                seen[run] = np.array(e.ids, "<u4").tobytes()
+        new = set().union(*runs).difference(seen)
+        bare = {w: self._bare(w) for w in new}
+        self._learn([w for w in {s for s, _ in bare.values()}.union([b".", b","]) if w not in seen])
+        for w, (stem, sign) in bare.items():
+            if w is not stem:
+                seen[w] = seen[stem] + seen[sign] if sign else seen[stem]
         return [b"".join(map(seen.__getitem__, r)) + self.end for r in runs]
 
+    @staticmethod
+    def _bare(run: bytes) -> tuple[bytes, bytes]:
+        """The run in small ASCII letters without a stop or comma after a letter, and that sign (a special token keeps its case)."""
+        if b"<" in run:
+            return run, b""
+        low = run.lower()
+        if low[-1:] in (b".", b",") and low[-2:-1].isalpha():
+            return low[:-1], low[-1:]
+        return low, b""
+
+    def _learn(self, runs: list[bytes]) -> None:
+        odd = [r for r in runs if self.MARK in r]
+        plain = [r for r in runs if self.MARK not in r] if odd else runs
+        groups = [plain[k:k + 256] for k in range(0, len(plain), 256)] + [[r] for r in odd]
+        between = b" " + self.MARK + b" "
+        for k in range(0, len(groups), 64):
+            part = groups[k:k + 64]
+            done = self.tokenizer.encode_batch_fast([between.join(g).decode() for g in part], add_special_tokens=False)
+            for group, e in zip(part, done, strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = np.flatnonzero(ids == self.mark) if len(group) > 1 else np.zeros(0, np.int64)
+                blob = ids.tobytes()
+                for r, a, z in zip(group, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(blob)], strict=True):
+                    self.seen[r] = blob[a:z]
+
 
 @lru_cache(maxsize=4)
 def word_tokenizer(path: str, end_id: int) -> WordTokenizer:
