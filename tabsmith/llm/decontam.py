@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, digits and non-ASCII characters of the lower-cased text. One scan
 finds the places of training texts where any n-gram of the test items occurs and cuts the
-passage around them. N-grams are counted over all these places; of every few consecutive
-n-grams of an item the rarest is its seed, so any copy with a few words in a row intact meets
-a seed, and phrases that are common do not make candidates where a rarer one is near. Seeds
-join passages to items, and each distinct (passage, item) is aligned once.
+passage around them. Every n-gram is a seed of the items that have it, so any copy with
+``GRAM`` words in a row intact is a candidate. Seeds join passages to items; a distinct (passage,
+item) is aligned once, and only if enough of the item's words occur in the passage to reach the limits.
 """
 
 from __future__ import annotations
@@ -14,13 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.llm import common as C
 
-#: Words of a seed, and of how many consecutive n-grams the rarest is taken.
-GRAM, CHOICE = 4, 4
+#: Words of a seed.
+GRAM = 4
 #: Alignment scores, the least share of an item's own score, and the least words matched (or all of a shorter item).
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE, LEAST_WORDS = 0.6, 8
@@ -117,14 +116,23 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _least(n: np.ndarray) -> np.ndarray:
+    """The least score that counts, for items of ``n`` words."""
+    return np.maximum(LEAST_SCORE * MATCH * n, MATCH * np.minimum(LEAST_WORDS, n))
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         (a_data, a_off), (p_data, p_off) = C.text_buffer(b.column(2)), C.text_buffer(b.column(3))
         (_, _, a_at, a), (_, _, p_at, p) = _words(a_data, a_off), _words(p_data, p_off)
-        got = [align(a[i:j], p[k:m]) for i, j, k, m in zip(a_at[:-1], a_at[1:], p_at[:-1], p_at[1:], strict=True)]
         n = np.diff(a_at)
+        got = []
+        for i, j, k, m, least in zip(a_at[:-1], a_at[1:], p_at[:-1], p_at[1:], _least(n), strict=True):
+            # each item word that the passage has adds one match at most
+            top = MATCH * int(np.isin(a[i:j], p[k:m]).sum())
+            got.append(align(a[i:j], p[k:m]) if top >= least else (0, 0))
         raw = np.array([g[0] for g in got], np.int64).reshape(-1)
-        good = (raw >= LEAST_SCORE * MATCH * n) & (raw >= MATCH * np.minimum(LEAST_WORDS, n)) & (n > 0)
+        good = (raw >= _least(n)) & (n > 0)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(raw / np.maximum(MATCH * n, 1)), pa.array([g[1] for g in got], pa.int64())],
             names=["h", "item_id", "score", "end"]).filter(pa.array(good))
@@ -140,6 +148,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     nothing; null ids are kept; repeated rows give one row; either table empty gives none.
     Texts are scanned whole, once per ``BLOCK`` item n-grams; only places that hold an item's
     n-gram are shuffled, and equal passages are aligned once, however many documents hold them.
+    A copy with no ``GRAM`` words in a row intact is not found.
     """
     text = lambda c: F.lower(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))
     raw = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), text(item_text).alias("text"))
@@ -162,11 +171,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
     found = C.written(found.withColumn("h", F.xxhash64("passage")), "decontam-passages")
-    # how many places hold each n-gram; the rarest of every few consecutive ones of an item is its seed
-    places = found.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    counted = grams.join(places, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    near = Window.partitionBy("item_id").orderBy("pos").rowsBetween(0, CHOICE - 1)
-    seeds = counted.select("item_id", F.min(F.struct("n", "gram")).over(near).alias("s")).where("s.n > 0").select("item_id", F.col("s.gram").alias("gram")).distinct()
+    seeds = grams.select("item_id", "gram").distinct()
     # equal passages count once; one has few n-grams, so a hot one does not gather rows
     distinct_passages = found.groupBy("h").agg(F.first("passage").alias("passage"), F.first("grams").alias("grams"))
     pairs = distinct_passages.select("h", F.explode(F.array_distinct("grams")).alias("gram")).join(seeds, "gram").select("h", "item_id").distinct()

@@ -262,6 +262,27 @@ def test_leaks_edges(spark, monkeypatch):
     assert decontam.without_leaks(messy(spark), items).count() == 8
 
 
+def spaced_copy(rng, words, step):
+    """``words`` with every ``step``-th changed."""
+    return [f"zq{rng.randrange(10**6)}" if k % step == step - 1 else w for k, w in enumerate(words)]
+
+
+def test_leaks_short_runs(spark):
+    rng = random.Random(4)
+    item = {i: [f"w{rng.randrange(10**5)}" for _ in range(rng.randrange(24, 40))] for i in range(24)}
+    docs, want = [], set()
+    for i, w in item.items():
+        lead = [f"x{rng.randrange(10**5)}" for _ in range(30)]
+        docs.append((i, " ".join(lead + spaced_copy(rng, w, 5 + i % 3) + lead[::-1])))
+        want.add((i, i))
+        # another document has one rarer n-gram right beside the run that many copies have
+        docs += [(100 + 10 * i + k, " ".join([f"y{i}_{k}", *w[:4], "q", *w[5:9], *lead[:k], *w[10:]])) for k in range(3)] + [(1000 + i, " ".join(w[1:5]))]
+        want |= {(100 + 10 * i + k, i) for k in range(3)}
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in item.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == want
+
+
 # ---------------------------------------------------------------- context trees
 
 def tree_score(train, text):
