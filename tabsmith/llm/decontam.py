@@ -172,10 +172,11 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, end_word long")
     found = C.written(found.withColumn("h", F.xxhash64("passage")), "decontam-passages")
     seeds = grams.select("item_id", "gram").distinct()
-    # equal passages count once; one has few n-grams, so a hot one does not gather rows
-    distinct_passages = found.groupBy("h").agg(F.first("passage").alias("passage"), F.first("grams").alias("grams"))
-    pairs = distinct_passages.select("h", F.explode(F.array_distinct("grams")).alias("gram")).join(seeds, "gram").select("h", "item_id").distinct()
-    sides = pairs.join(unique, "item_id").join(distinct_passages.select("h", "passage"), "h").select("h", "item_id", "text", "passage")
+    # equal passages count once, with the n-grams of all scans; one has few n-grams, so a hot one does not gather rows
+    held = found.select("h", F.explode("grams").alias("gram")).distinct()
+    distinct_passages = found.groupBy("h").agg(F.first("passage").alias("passage"))
+    pairs = held.join(seeds, "gram").select("h", "item_id").distinct()
+    sides = pairs.join(unique, "item_id").join(distinct_passages, "h").select("h", "item_id", "text", "passage")
     aligned = sides.mapInArrow(_align, "h long, item_id long, score double, end long")
     out = found.select("doc_id", "first_word", "h").join(aligned, "h")
     best = F.max(F.struct("score", (F.col("first_word") + F.col("end")).alias("end_word"))).alias("b")

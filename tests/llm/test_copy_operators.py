@@ -283,6 +283,20 @@ def test_leaks_short_runs(spark):
     assert got == want
 
 
+def test_leaks_many_scans(spark, monkeypatch):
+    rng = random.Random(6)
+    item = [[f"w{rng.randrange(10**5)}" for _ in range(16)] for _ in range(30)]
+    # two items to a short document, each with one run of 4 words in its middle: every scan cuts out the whole text
+    copy = lambda w: [*w[:4], "zq", w[5], w[6], "zq", w[8], w[9], w[10], "zq", w[12], w[13], w[14], "zq"]
+    docs = spark.createDataFrame([(i, " ".join([*copy(item[i][::-1])[::-1], *copy(item[(i + 1) % 30])])) for i in range(30)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(item)], "item_id long, text string")
+    want = {(i, j % 30) for i in range(30) for j in (i, i + 1)}
+    one = set(map(tuple, decontam.leaks(docs, items).collect()))
+    assert {r[:2] for r in one} == want
+    monkeypatch.setattr(decontam, "BLOCK", 100)
+    assert set(map(tuple, decontam.leaks(docs, items).collect())) == one
+
+
 # ---------------------------------------------------------------- context trees
 
 def tree_score(train, text):
