@@ -207,6 +207,36 @@ def test_line_dedup(spark, tau):
     assert collections.Counter((r.doc_id, r.text, r.n_chars) for r in kept.collect()) == expect
 
 
+def test_line_limits_grow(spark):
+    rng = random.Random(8)
+    base = []
+    for n in (18, 19, 20, 30, 39, 40, 41, 119, 160, 170, 200, 205, 400, 810):
+        for gap in (5, 30):  # words of 5 or 30 letters; some lines have long blanks
+            x = "".join(" " if k % (gap + 1) == gap else rng.choice("abcdefgé漢\U0001f600") for k in range(n))
+            base.append(x.replace(" ", " " * 12)[:n] if gap == 30 else x)
+    texts = set(base)
+    for x in base:
+        limit = max(2, len(x) // 40 - 1)
+        for _ in range(5):
+            b, many = list(x), limit + rng.randrange(-1, 2)
+            step = len(b) // (many + 1)
+            for k in range(many, 0, -1):  # evenly spread, so that the equal runs are as short as can be
+                kind = rng.randrange(3)
+                b[k * step:k * step + (kind > 0)] = [rng.choice("xyz")] if kind < 2 else []
+            texts.add("".join(b))
+        texts.add(x[:3] + "Q" + x[4:])
+    texts = sorted(x for x in texts if x.strip())
+    most = lambda n: 0 if n < 20 else 1 if n < 40 else max(2, n // 40 - 1)
+    near = lambda a, b: abs(len(a) - len(b)) <= most(min(len(a), len(b))) and edits(a, b) <= most(min(len(a), len(b)))
+    want = {frozenset((a, b)) for a, b in itertools.combinations(texts, 2) if near(a, b)}
+    lines = line_dedup.lines_of(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+    name = {r.h1: r.line for r in lines.select("h1", "line").collect()}
+    got = {frozenset((name[r.a], name[r.b])) for r in line_dedup.growing_links(lines).collect()}
+    assert got == want and sum(min(map(len, p)) >= 160 for p in want) > 40 and any(min(map(len, p)) < 40 for p in want)
+    docs = spark.createDataFrame([(1, base[-1]), (2, base[-1][:400] + "another" + base[-1][404:])], "doc_id long, text string")
+    assert sorted(r.n_removed for r in line_dedup.dedup_lines(docs).collect()) == [0, 1]
+
+
 def test_line_dedup_edges(spark):
     got = line_dedup.dedup_lines(messy(spark)).collect()
     assert len(got) == 11 and {r.doc_id: r.n_removed for r in got}[6] == 1
