@@ -18,7 +18,7 @@ from tabsmith.llm import common as C
 
 #: (texts of at least so many bytes, least ratio, greatest ratio) of raw to compressed bytes.
 BANDS = ((0, 0.30, 2.2), (128, 0.75, 2.9), (512, 1.10, 3.4), (2048, 1.40, 4.0), (8192, 1.60, 4.8), (32768, 1.70, 6.0))
-#: The same for one chunk, and the share of chunks that may lie outside.
+#: The same for one chunk (the last one of a text overlaps the one before), and the share of chunks that may lie outside.
 CHUNK_BYTES, CHUNK_BAND, CHUNK_SHARE = 4096, (1.40, 4.5), 0.25
 LEVEL = 3
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -91,12 +91,11 @@ def _compression(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         ratio[i] = r = _ratio(press, view[a:b])
         _, low, high = BANDS[int(np.searchsorted(floors, b - a, side="right")) - 1]
         inside[i] = low <= r <= high
-        whole = (b - a) // CHUNK_BYTES
-        chunks[i] = whole
-        if whole == 1 and b - a == CHUNK_BYTES:
-            rs = [r]
-        else:
-            rs = [_ratio(press, view[k:k + CHUNK_BYTES]) for k in range(a, a + whole * CHUNK_BYTES, CHUNK_BYTES)]
+        at = list(range(a, b - CHUNK_BYTES + 1, CHUNK_BYTES))
+        if at and at[-1] + CHUNK_BYTES < b:
+            at.append(b - CHUNK_BYTES)
+        chunks[i] = len(at)
+        rs = [r] if b - a == CHUNK_BYTES else [_ratio(press, view[k:k + CHUNK_BYTES]) for k in at]
         bad[i] = sum(not CHUNK_BAND[0] <= x <= CHUNK_BAND[1] for x in rs)
     inside &= bad <= CHUNK_SHARE * chunks
     return {"ratio": ratio, "n_chunks": chunks, "n_bad_chunks": bad, "in_band": inside}
@@ -109,7 +108,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     Words are ``[^\\x20\\x09-\\x0D]+``. ``base_failed``: under ``least_words`` words, or more than
     ``repeat_percent`` % of the words in ``window``-word windows that the text has twice or more.
     ``in_band``: the whole text's ratio lies in the band of its length and at most a quarter of its
-    full chunks lie outside the chunk band. ``kept``: not base_failed and in_band.
+    chunks lie outside the chunk band; chunks follow each other from the start, and the last one
+    ends where the text ends (texts shorter than a chunk have none). ``kept``: not base_failed and in_band.
     Null and empty texts: zero counts, ratio 0, base_failed. Repeated rows give repeated rows; an
     empty table gives none; a null id stays null; other columns are not read. No shuffle: each
     text is judged where it is read, in batches of a few MB (or one text).

@@ -58,6 +58,16 @@ def test_quality_bands(spark):
     assert quality.quality(empty(spark)).count() == 0
 
 
+def test_quality_last_chunk(spark):
+    rng = random.Random(2)
+    prose = lambda n: "".join(rng.choice(("the", "a", "of")) + " " + "".join(rng.choice(("an", "er", "ti", "on", "th", "es", "ou", "ri")) for _ in range(rng.randrange(1, 4))) + " " for _ in range(n))[:n]
+    texts = [prose(4096) + "ab " * 1000, prose(7096), prose(4095), prose(4096), prose(4097), prose(8192)]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_chunks for i in range(6)] == [2, 2, 0, 1, 2, 2]
+    assert [got[i].n_bad_chunks for i in range(6)] == [1, 0, 0, 0, 0, 0]
+    assert not got[0].in_band and all(got[i].in_band for i in range(1, 6))
+
+
 @pytest.fixture(scope="module")
 def library():
     import base64
