@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, quality, suffix_dedup
+from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, oracles, quality, suffix_dedup, trie
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +92,15 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"), held_out=0)
 
 
+def rebuilt_paths(rows: DataFrame) -> DataFrame:
+    """Paths whose first ``crc32(id) mod 6`` turns are those of conversation ``id - id % 100``."""
+    return trie.with_openings(trie.paths_of(rows), 100, C.fold_of(F.col("conv_id"), 6), 5)
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt_paths(_table(spark, sf_dir, "conversations"))).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination,
     "op2_token_output": token_output,
@@ -103,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": compression_bands,
     "op9_byte_bpe": byte_bpe,
     "op10_language": language,
+    "op13_prefix_trie": prefix_trie,
 }
-ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL}
+ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL, "op13_prefix_trie": oracles.TRIE_SQL}
