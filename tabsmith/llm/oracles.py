@@ -1,5 +1,19 @@
 """DuckDB SQL of the training-data queries that SQL can express (names as in ``queries.QUERIES``)."""
 
+#: Base32 of the SHA-1: four letters for five hexadecimal digits.
+WARC_SQL = """
+with hashed as (
+  select page_id, coalesce(html, '') as payload, row_number() over same as nth, first_value(page_id) over same as first_id
+  from pages window same as (partition by coalesce(html, '') order by page_id nulls last, url nulls first)),
+digits as (
+  select *, list_transform(range(8), lambda g: ('0x' || substr(sha1(payload), 5 * g + 1, 5))::bigint) as v from hashed)
+select page_id, strlen(payload)::bigint as payload_bytes,
+  list_aggregate(list_transform(v, lambda x: list_aggregate(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') as payload_digest,
+  case when nth = 1 then 'response' else 'revisit' end as record_type, case when nth > 1 then first_id end as refers_to
+from digits
+"""
+
 #: CRC-32 (reflected polynomial 0xEDB88320) of a conversation id's decimal digits, by list folds.
 TRIE_SQL = """
 with t as (

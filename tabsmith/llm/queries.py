@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, oracles, quality, suffix_dedup, trie
+from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, oracles, quality, suffix_dedup, trie, warc
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +92,11 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"), held_out=0)
 
 
+def warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_warc(warc.records_of(_table(spark, sf_dir, "pages"), least=0), C.scratch(spark, "archives"))
+    return warc.pages_in(spark, path)
+
+
 def rebuilt_paths(rows: DataFrame) -> DataFrame:
     """Paths whose first ``crc32(id) mod 6`` turns are those of conversation ``id - id % 100``."""
     return trie.with_openings(trie.paths_of(rows), 100, C.fold_of(F.col("conv_id"), 6), 5)
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": compression_bands,
     "op9_byte_bpe": byte_bpe,
     "op10_language": language,
+    "op12_warc": warc_pages,
     "op13_prefix_trie": prefix_trie,
 }
-ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL, "op13_prefix_trie": oracles.TRIE_SQL}
+ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL, "op12_warc": oracles.WARC_SQL, "op13_prefix_trie": oracles.TRIE_SQL}
