@@ -1,5 +1,34 @@
 """DuckDB SQL of the training-data queries that SQL can express (names as in ``queries.QUERIES``)."""
 
+PHRASES_SQL = r"""
+with words as (
+  select lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') as w from (
+    select coalesce(lang, 'und') as lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) as piece
+    from documents)),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from words, range(1, 6) as ks(k) where len(w) >= k),
+freq as (select lang, k, phrase, count(*) as a from grams group by all having count(*) >= 100),
+parts as (select *, string_split(phrase, ' ') as w from freq),
+cuts as (
+  select p.lang, p.phrase, p.a, cut, array_to_string(w[1:cut], ' ') as first_part, array_to_string(w[cut + 1:], ' ') as rest
+  from parts p, range(1, 5) as cs(cut) where cut < k),
+scored as (
+  select c.*, f.a as l, r.a as r, n, ((1000::hugeint * c.a * n) // (f.a::hugeint * r.a))::bigint as score from cuts c
+  join freq f on f.lang = c.lang and f.phrase = first_part join freq r on r.lang = c.lang and r.phrase = rest join totals t on t.lang = c.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+longer as (
+  select lang, part, max(a) as most from (
+    select lang, a, unnest(list_transform(list_filter(flatten(list_transform(range(1, 5), lambda i: list_transform(range(i, 6), lambda j: [i, j]))),
+      lambda s: s[2] <= k and s[2] - s[1] + 1 < k), lambda s: array_to_string(w[s[1]:s[2]], ' '))) as part from parts)
+  group by all),
+kept as (select b.* from best b left join longer on longer.lang = b.lang and part = phrase where most is null or 100 * most < 100 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from kept
+qualify rank <= 2000
+"""
+
 #: Base32 of the SHA-1: four letters for five hexadecimal digits.
 WARC_SQL = """
 with hashed as (

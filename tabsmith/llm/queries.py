@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bitsim, bpe, chat, ctw, dac, decontam, langid, line_dedup, oracles, quality, suffix_dedup, trie, warc
+from tabsmith.llm import bitsim, bpe, chat, collocations, ctw, dac, decontam, langid, line_dedup, oracles, quality, suffix_dedup, trie, warc
 from tabsmith.llm import common as C
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +92,10 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"), held_out=0)
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, keep=2000)
+
+
 def warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_warc(warc.records_of(_table(spark, sf_dir, "pages"), least=0), C.scratch(spark, "archives"))
     return warc.pages_in(spark, path)
@@ -117,7 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": compression_bands,
     "op9_byte_bpe": byte_bpe,
     "op10_language": language,
+    "op11_collocations": phrases,
     "op12_warc": warc_pages,
     "op13_prefix_trie": prefix_trie,
 }
-ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL, "op12_warc": oracles.WARC_SQL, "op13_prefix_trie": oracles.TRIE_SQL}
+ORACLES: dict[str, str] = {"op5_chat_format": CHAT_SQL, "op11_collocations": oracles.PHRASES_SQL, "op12_warc": oracles.WARC_SQL, "op13_prefix_trie": oracles.TRIE_SQL}
