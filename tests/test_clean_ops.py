@@ -71,7 +71,7 @@ def test_levels_15_vs_16(spark):
     plan = encode.fit_encoding(df)
     assert list(plan.one_hot) == ["c15"] and plan.label == ("c16",)
     out = encode.apply_encoding(df, plan)
-    assert "c15_v00" in out.columns and dict(out.dtypes)["c16"] == "int"
+    assert "c15_v00" in out.columns and dict(out.dtypes)["c16"] == "bigint"
     assert out.filter("id = 17").first().c16 == 1
 
 
