@@ -1,13 +1,13 @@
 """Exact quantiles (linear interpolation, as pandas / DuckDB ``quantile_cont``).
 
-One path for every column and size: NaN counts as missing, and each wanted rank is found by
-selection. A round brackets the rank between two values of a rank sketch
-(``percentile_approx``, a bounded buffer) and counts exactly what lies below, on and between
-them; the rank is then one of the two values, or lies in the open interval between them, which
-holds a few ten-thousandths of the rows. An interval of at most ``small`` values is ranked by
-one window over it. Brackets are ranks, not widths, so skewed and infinite values take no more
-rounds; every round takes at least the two end values out. Only one row per round reaches
-the driver.
+One path for every column and size; NaN counts as missing. The values of all columns go as
+``(column, value)`` rows through three passes, whatever the width: one mergeable rank sketch per
+column (``percentile_approx``, a bounded buffer) brackets every wanted rank between two values; one
+aggregate counts exactly what lies below, on and between them; a rank is then one of the two values,
+or is picked by a window over the open interval between, which holds about two thousandths of the
+rows. Intervals of more than ``small`` values are narrowed once more in the same way. Brackets are
+ranks, not widths, so skewed and infinite values take no more rounds; every round takes at least the
+two end values out. Only rows of counts reach the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SMALL = 50_000
-ACCURACY = 10_000
+ACCURACY = 2_000
 #: Ranks handled by one job: bounds the sketches that a task holds.
 RANKS_PER_JOB = 64
 
@@ -38,21 +38,41 @@ def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
     return out
 
 
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(i, v)``: position in ``cols`` and value, missing values left out."""
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), _value(c).alias("v")) for i, c in enumerate(cols)])
+    return df.select(F.explode(entries).alias("e")).select("e.*").where(F.col("v").isNotNull())
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], small: int = SMALL,
                     accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
     """``{column: [quantile for each prob]}``; None for a column without values."""
     if not cols:
         return {}
-    row = df.agg(*[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    size = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    long = _long(df, cols)
+    around = F.array(*[F.lit(float(min(1.0, max(0.0, p + d / accuracy)))) for p in probs for d in (-2, 2)])
+    rows = long.groupBy("i").agg(F.count("v").alias("n"), F.percentile_approx("v", around, accuracy).alias("ends")).collect()
+    size = {c: 0 for c in cols} | {cols[r["i"]]: r["n"] for r in rows}
     found: dict[tuple[str, int], float] = {}
     # (column, rank from 0) -> open interval, values below or on its lower end, values inside
-    state = {}
-    for c in cols:
-        for p in probs if size[c] else []:
-            h = (size[c] - 1) * p
-            for rank in {math.floor(h), math.ceil(h)}:
-                state[c, rank] = (None, None, 0, size[c])
+    state, spots = {}, []
+    for r in rows:
+        c, n = cols[r["i"]], r["n"]
+        for j, p in enumerate(probs):
+            h = (n - 1) * p
+            ranks = {math.floor(h), math.ceil(h)}
+            if n <= small:
+                state.update({(c, rank): (None, None, 0, n) for rank in ranks})
+            else:
+                spots.append((r["i"], ranks, r["ends"][2 * j], r["ends"][2 * j + 1]))
+    if spots:
+        table = df.sparkSession.createDataFrame([(i, k, a, b) for k, (i, _, a, b) in enumerate(spots)], "i int, k int, a double, b double")
+        counts = long.join(F.broadcast(table), "i").groupBy("k").agg(  # a row per column and prob
+            F.count_if(F.expr("v < a")).alias("l"), F.count_if(F.expr("v = a")).alias("a"), F.count_if(F.expr("v > a and v < b")).alias("m"), F.count_if(F.expr("v = b")).alias("e"))
+        for r in counts.collect():
+            i, ranks, a, b = spots[r["k"]]
+            for rank in ranks:
+                _settle((cols[i], rank), (None, None, 0, size[cols[i]]), a, b, [r[x] for x in "lame"], found, state)
     while state:
         done = {k: s for k, s in state.items() if s[3] <= small}
         found.update(_pick(df, done))
@@ -63,6 +83,25 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], small: i
     return {c: [_interpolate(found, c, size[c], p) for p in probs] for c in cols}
 
 
+def _settle(key: tuple, interval: tuple, a: float, b: float, counts: list[int], found: dict, state: dict) -> None:
+    """Answers a rank from the counts below ``a``, on it, between, and on ``b``, or gives its smaller interval."""
+    lo, hi, below, n = interval
+    less, on_a, mid, on_b = counts
+    on_b = 0 if a == b else on_b
+    rank = key[1]
+    above = less + on_a + mid + on_b
+    if rank < less:
+        state[key] = (lo, a, below, less - below)
+    elif rank < less + on_a:
+        found[key] = a
+    elif rank < less + on_a + mid:
+        state[key] = (a, b, less + on_a, mid)
+    elif rank < above:
+        found[key] = b
+    else:
+        state[key] = (b, hi, above, below + n - above)
+
+
 def _interpolate(found: dict, c: str, n: int, p: float) -> float | None:
     if not n:
         return None
@@ -108,18 +147,4 @@ def _narrow(df: DataFrame, part: dict, accuracy: int, found: dict, state: dict)
                    F.count_if((v > F.lit(a)) & (v < F.lit(b))).alias(f"m{i}"), F.count_if(v == F.lit(b)).alias(f"e{i}")]
     row = df.agg(*counts).first()
     for i, (k, (a, b)) in enumerate(zip(keys, ends, strict=True)):
-        lo, hi, below, n = part[k]
-        less, on_a, mid, on_b = (row[f"{x}{i}"] for x in "lame")
-        on_b = 0 if a == b else on_b
-        rank = k[1]
-        if rank < less:
-            state[k] = (lo, a, below, less - below)
-        elif rank < less + on_a:
-            found[k] = a
-        elif rank < less + on_a + mid:
-            state[k] = (a, b, less + on_a, mid)
-        elif rank < less + on_a + mid + on_b:
-            found[k] = b
-        else:
-            above = less + on_a + mid + on_b
-            state[k] = (b, hi, above, below + n - above)
+        _settle(k, part[k], a, b, [row[f"{x}{i}"] for x in "lame"], found, state)
