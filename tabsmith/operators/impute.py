@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.functions.stats import is_numeric, nan_to_null
-from tabsmith.operators.profile import _ranked_values, moments, top_values_long, value_counts
-from tabsmith.operators.topk import top_k_per_group
+from tabsmith.operators.profile import SLACK, hashed_counts, leading_hashes, moments, top_values, top_values_long
 from tabsmith.operators.quantiles import exact_quantiles
 
 
@@ -79,37 +78,27 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_modes_and_levels(df: DataFrame, cols: Sequence[str], max_levels: int = fixed.CLASS_MAX_DISTINCT):
-    """I2 modes and, for text columns, the one-hot level probe (first ``max_levels + 1``
-    values in order) from one value-count shuffle: both rankings read the same counts,
-    so Spark reuses the exchange. Returns ``(modes, levels)``; levels are None for a
-    column with more than ``max_levels`` values.
+    """I2 modes and, for text columns, the one-hot levels (all values of a column with at most
+    ``max_levels``) from one value-count shuffle of hashes. Returns ``(modes, levels)``; levels are
+    None for a column with more than ``max_levels`` values.
 
     Filling a column with its own mode adds no level, so the levels hold for the filled
     column too; a column with no value at all fills to, and has the one level, 'Unknown'.
     """
     if not cols:
         return {}, {}
-    counts = value_counts(df, list(cols))
-    modes = _ranked_values(counts, 1).select("ordinal", "v_str", F.lit("mode").alias("kind"))
-    # values are distinct within a column, so the count tiebreak never decides; it keeps
-    # both rankings reading the same aggregate columns, which lets Spark reuse the shuffle
-    probe = (top_k_per_group(counts, ["ordinal"], [F.col("v_str").asc(), F.col("cnt").desc()],
-                             max_levels + 1, F.xxhash64("v_long", "v_dbl", "v_str"))
-             .select("ordinal", "v_str", F.lit("level").alias("kind")))
-    got_mode, got_levels = {}, {}
-    for r in modes.unionByName(probe).collect():
-        if r["kind"] == "mode":
-            got_mode[r["ordinal"]] = r["v_str"]
-        else:
-            got_levels.setdefault(r["ordinal"], []).append(r["v_str"])
-    out_modes, out_levels = {}, {}
+    # one value more than a column may have shows that it has too many
+    kept = max(1, max_levels + 1 - SLACK)
+    leading = {r["ordinal"]: r["l"] for r in leading_hashes(hashed_counts(df, list(cols)), kept).collect()}
     fields = {f.name: f.dataType for f in df.schema.fields}
+    few = {i: rows for i, rows in leading.items() if len(rows) <= max_levels and isinstance(fields[df.columns[i]], T.StringType)}
+    tops = top_values(df, few, max_levels) | top_values(df, {i: rows for i, rows in leading.items() if i not in few}, 1)
+    out_modes, out_levels = {}, {}
     for c in cols:
         i = df.columns.index(c)
-        out_modes[c] = got_mode.get(i, fixed.UNKNOWN_LABEL)
+        out_modes[c] = tops[i][0][0] if i in tops else fixed.UNKNOWN_LABEL
         if isinstance(fields[c], T.StringType):
-            vals = sorted(got_levels.get(i, [])) or [fixed.UNKNOWN_LABEL]
-            out_levels[c] = tuple(vals) if len(vals) <= max_levels else None
+            out_levels[c] = tuple(sorted(v for v, _ in tops[i])) if i in few else None if i in leading else (fixed.UNKNOWN_LABEL,)
     return out_modes, out_levels
 
 

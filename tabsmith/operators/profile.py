@@ -2,14 +2,16 @@
 
 Two scans feed the whole profile and Spark runs them as one job:
 
-* a single wide ``agg`` (count, non-null count, mean, std, min, max, G1 skew per column,
-  plus an order-free fingerprint -- xor and bounded sum of value hashes -- used by the
-  duplicate finder) that combines map-side and merges into one row;
-* one value-count shuffle: every column is unpivoted to typed ``(ordinal, value)`` pairs
-  and counted with partial aggregation. Distinct counts and top values both read it
-  (the exchange is reused), so the number of shuffles does not grow with the width.
-
-Only the per-column rows (one per column) ever reach the driver.
+* a long-form aggregate by column ordinal (counts, moments, and an order-free fingerprint -- xor and
+  bounded sum of value hashes -- used by the duplicate finder) that combines map-side;
+* one value-count shuffle of fixed-size keys: every value goes as two 64-bit hashes and the first
+  ``PREFIX`` bytes of its text, counted with partial aggregation. Distinct counts and top values both
+  read it (the exchange is reused), so neither the width of the table nor the length of its texts
+  shows in the number or size of the shuffled rows.
+
+Top values are ranked by count and prefix. Values shorter than the prefix are already known; the few
+longer ones that can be shown are looked up in one pass that keeps only rows with their hashes. Only a
+few rows per column reach the driver.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from tabsmith.functions.stats import g1_skew, is_integral, is_numeric, nan_to_nu
 from tabsmith.operators.topk import top_k_per_group
 
 VALUE_COLS = ("v_long", "v_dbl", "v_str")
+#: Bytes of a text that the value-count shuffle carries, and values kept beyond the ones shown to find ties at the last place.
+PREFIX, SLACK = 16, 64
+HASH_COLS = ("h1", "h2", "prefix")
 
 
 def _typed_value(c, dt):
@@ -63,29 +68,101 @@ def value_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def _ranked_values(counts: DataFrame, k: int) -> DataFrame:
-    """Top k values of every ordinal in ``counts`` (count desc, then value ascending)."""
-    order = [F.col("cnt").desc(), F.col("v_str").asc(), F.col("v_long").asc(), F.col("v_dbl").asc()]
-    return top_k_per_group(counts, ["ordinal"], order, k, F.xxhash64("v_long", "v_dbl", "v_str"))
+def _text_hashes(c) -> tuple:
+    """128 bits that stand for a value: two hashes with different seeds."""
+    return F.xxhash64(c), F.xxhash64(F.lit(1), c)
 
 
-def top_values_long(df: DataFrame, k: int = 3, cols: list[str] | None = None,
-                    counts: DataFrame | None = None) -> DataFrame:
+def hashed_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Unpivot to ``(ordinal, h1, h2, prefix)``, nulls removed; numbers have no prefix. No shuffle."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    entries = []
+    for name in cols:
+        c, dt = F.col(f"`{name}`"), fields[name]
+        prefix = F.lit(None).cast("binary")
+        if is_integral(dt):
+            v, (h1, h2) = c, (c.cast("bigint"), F.lit(0).cast("bigint"))
+        elif is_numeric(dt):
+            v = nan_to_null(c, dt).cast("double") + F.lit(0.0)  # one zero
+            h1, h2 = _text_hashes(v)
+        else:
+            v = c.cast("string")
+            h1, h2 = _text_hashes(v)
+            prefix = F.substring(v.cast("binary"), 1, PREFIX)
+        entries.append(F.when(v.isNotNull(), F.struct(F.lit(df.columns.index(name)).alias("ordinal"), h1.alias("h1"), h2.alias("h2"), prefix.alias("prefix"))))
+    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("kv")).select("kv.*")
+
+
+def hashed_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``(ordinal, h1, h2, prefix, cnt)``: one row per distinct value of every column, no text over ``PREFIX`` bytes."""
+    return hashed_values(df, cols or df.columns).groupBy("ordinal", *HASH_COLS).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def leading_hashes(counts: DataFrame, k: int) -> DataFrame:
+    """``(ordinal, l)``: the first ``k + SLACK`` values of every column by count, then prefix, as an array."""
+    order = [F.col("cnt").desc(), F.col("prefix").asc(), F.col("h1").asc(), F.col("h2").asc()]
+    ranked = top_k_per_group(counts, ["ordinal"], order, k + SLACK, F.col("h1"))
+    return ranked.groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct("rank", "cnt", *HASH_COLS))).alias("l"))
+
+
+def top_values(df: DataFrame, leading: dict[int, list], k: int) -> dict[int, list[tuple[str, int]]]:
+    """``{ordinal: [(value, count), ...]}``: the ``k`` most frequent values, ties by value ascending.
+
+    ``leading`` has the rows of ``leading_hashes`` (``l``) of the columns wanted. What ties with the
+    last place shown by count and prefix is compared by its whole text. If more values tie there than
+    were kept, the texts with that prefix are ranked themselves (bounded top-k, salted).
+    """
+    exact: dict[int, list[tuple[str, int]]] = {}
+    wanted: dict[int, dict] = {}
+    crowded: dict[int, tuple] = {}
+    for i, rows in leading.items():
+        rows = sorted(rows, key=lambda r: r["rank"])
+        place = lambda r: (-r["cnt"], bytes(r["prefix"]))
+        last = place(rows[min(k, len(rows)) - 1])
+        kept = [r for r in rows if place(r) <= last]
+        if len(rows) >= k + SLACK and place(rows[-1]) == last and len(last[1]) == PREFIX:
+            crowded[i] = last
+            kept = [r for r in kept if place(r) < last]
+        exact[i] = [(bytes(r["prefix"]).decode(), r["cnt"]) for r in kept if len(r["prefix"]) < PREFIX]
+        wanted[i] = {(r["h1"], r["h2"]): r["cnt"] for r in kept if len(r["prefix"]) == PREFIX}
+    looked_up = {i: w for i, w in wanted.items() if w}
+    if looked_up:
+        entries = []
+        for i, w in looked_up.items():
+            v = F.col(f"`{df.columns[i]}`").cast("string")
+            h1, h2 = _text_hashes(v)
+            entries.append(F.when(h1.isin([h for h, _ in w]), F.struct(F.lit(i).alias("ordinal"), h1.alias("h1"), h2.alias("h2"), v.alias("v"))))
+        rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*").distinct().collect()
+        for r in rows:
+            cnt = looked_up[r["ordinal"]].get((r["h1"], r["h2"]))
+            if cnt is not None:
+                exact[r["ordinal"]].append((r["v"], cnt))
+    for i, last in crowded.items():
+        exact[i] += [(r["v"], -last[0]) for r in _crowded_place(df, i, last, k - len(exact[i])).collect()]
+    return {i: sorted(v, key=lambda x: (-x[1], x[0].encode()))[:k] for i, v in exact.items()}
+
+
+def _crowded_place(df: DataFrame, i: int, last: tuple, need: int) -> DataFrame:
+    """The ``need`` smallest values of column ``i`` with the count and prefix of ``last``.
+
+    Values that occur once need no count: any text with the prefix that is not repeated is one. A
+    repeated value shares its task with its copies (hash shuffle of the texts with that prefix only).
+    """
+    v = F.col(f"`{df.columns[i]}`").cast("string")
+    texts = df.select(v.alias("v")).where(F.substring(F.col("v").cast("binary"), 1, PREFIX) == F.lit(bytearray(last[1])))
+    tied = texts.groupBy("v").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") == -last[0]).withColumn("g", F.lit(0))
+    return top_k_per_group(tied, ["g"], [F.col("v").asc()], need, F.xxhash64("v")).select("v")
+
+
+def top_values_long(df: DataFrame, k: int = 3, cols: list[str] | None = None) -> DataFrame:
     """The k most frequent values of each non-numeric column, ties by value ascending.
 
-    Output ``(ordinal, column_name, rank, value, cnt)``. When ``counts`` (all columns) is
-    given, the ranking runs over it unfiltered and the columns are picked afterwards, so
-    the value-count shuffle stays identical to other users of ``counts`` and is reused.
+    Output ``(ordinal, column_name, rank, value, cnt)``, k rows per column, computed when called.
     """
     cols = cols or [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
-    ords = [df.columns.index(c) for c in cols]
-    if counts is None:
-        counts = value_counts(df, cols)
-    ranked = _ranked_values(counts, k).filter(F.col("ordinal").isin(ords))
-    names = _names_frame(df)
-    return (ranked.join(F.broadcast(names), "ordinal")
-                  .select("ordinal", "column_name", F.col("rank").cast("int").alias("rank"),
-                          F.col("v_str").alias("value"), F.col("cnt").cast("bigint").alias("cnt")))
+    leading = {r["ordinal"]: r["l"] for r in leading_hashes(hashed_counts(df, cols), k).collect()} if cols else {}
+    rows = [(i, df.columns[i], rank, v, cnt) for i, top in sorted(top_values(df, leading, k).items()) for rank, (v, cnt) in enumerate(top, 1)]
+    return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, rank int, value string, cnt bigint")
 
 
 def _names_frame(df: DataFrame) -> DataFrame:
@@ -118,32 +195,34 @@ def moments(df: DataFrame) -> DataFrame:
                     F.try_sum(F.pmod(h, F.lit(1_000_003))).cast("string")).alias("fingerprint"))
 
 
+def counted(df: DataFrame, k: int = 3) -> DataFrame:
+    """Moments, distinct counts and leading hashes, one row per column, in one job."""
+    counts = hashed_counts(df)
+    # the non-null count is taken from the value counts too: both branches then read the
+    # same (ordinal, hashes, cnt) aggregate and Spark reuses its shuffle
+    distinct = counts.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("cnt").alias("n_counted"))
+    return (moments(df).join(F.broadcast(_names_frame(df)), "ordinal")
+            .join(F.broadcast(distinct), "ordinal", "left")
+            .join(F.broadcast(leading_hashes(counts, k)), "ordinal", "left"))
+
+
 def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
     """One row per column.
 
     ``ordinal, column_name, dtype, n_rows, null_pct, n_distinct, skew, mean, std, min, max,
     top_values, flags, fingerprint``. Numbers are rounded to ``digits`` (None keeps them raw).
+    One job, and a look-up pass if a value to show is longer than ``PREFIX`` bytes.
     """
-    names = _names_frame(df)
-    counts = value_counts(df)
-    # the non-null count is taken from the value counts too: both branches then read the
-    # same (ordinal, value, cnt) aggregate and Spark reuses its shuffle
-    distinct = counts.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"),
-                                             F.sum("cnt").alias("n_counted"))
+    numbered = counted(df, k)
+    rows = numbered.collect()
     text_ords = [i for i, f in enumerate(df.schema.fields) if not is_numeric(f.dataType)]
-    # ranked over every column and picked in the final projection: a filter on the
-    # ordinal would be pushed below the aggregate and break the shuffle reuse
-    entry = F.format_string("'%s': %d", F.col("v_str"), F.col("cnt"))
-    tops = (_ranked_values(counts, k).groupBy("ordinal")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", entry.alias("e")))).alias("l"))
-            .select("ordinal", F.concat(F.lit("{"), F.array_join(F.col("l.e"), ", "),
-                                        F.lit("}")).alias("top_values")))
-
+    tops = top_values(df, {r["ordinal"]: r["l"] for r in rows if r["ordinal"] in text_ords and r["l"]}, k)
+    shown = {i: "{" + ", ".join(f"'{v}': {n}" for v, n in top) + "}" for i, top in tops.items()}
+    kept = [c for c in numbered.columns if c != "l"]
+    # one row per column: the rest is arithmetic on a local table
+    out = df.sparkSession.createDataFrame([(*(r[c] for c in kept), shown.get(r["ordinal"])) for r in rows],
+                                          numbered.drop("l").schema.add("top_values", "string"))
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    m = moments(df)
-    out = (m.join(F.broadcast(names), "ordinal")
-            .join(F.broadcast(distinct), "ordinal", "left")
-            .join(F.broadcast(tops), "ordinal", "left"))
     n_rows = F.col("n_rows")
     nonnull = F.coalesce(F.col("n_counted"), F.lit(0))
     null_pct = F.round(F.lit(100.0) * (n_rows - nonnull) / n_rows, 2)
@@ -157,8 +236,7 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
         nd.alias("n_distinct"), rnd(F.col("skew")).alias("skew"),
         rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"),
         rnd(F.col("min")).alias("min"), rnd(F.col("max")).alias("max"),
-        F.when(F.col("ordinal").isin(text_ords), F.col("top_values")).alias("top_values"),
-        flags.alias("flags"), "fingerprint")
+        "top_values", flags.alias("flags"), "fingerprint")
 
 
 @dataclass(frozen=True)
@@ -206,7 +284,7 @@ def column_types(df: DataFrame) -> DataFrame:
 def column_summary(df: DataFrame) -> DataFrame:
     """Name, type and distinct count."""
     names = _names_frame(df)
-    distinct = value_counts(df).groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"))
+    distinct = hashed_counts(df).groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"))
     return (names.join(F.broadcast(distinct), "ordinal", "left")
                  .select("ordinal", "column_name", "dtype",
                          F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct")))

@@ -4,8 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tabsmith.operators import encode, profile
-from tabsmith.operators.profile import _ranked_values, value_counts
-from tabsmith.operators.topk import top_k_per_group
 
 
 def _final_plan(df) -> str:
@@ -15,18 +13,21 @@ def _final_plan(df) -> str:
 
 def test_profile_reuses_value_count_shuffle(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    plan = _final_plan(profile.profile(li))
+    plan = _final_plan(profile.counted(li))
     assert "ReusedExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_modes_and_levels_share_one_shuffle(spark):
-    o = spark.read.parquet(f"{SF}/orders.parquet")
-    counts = value_counts(o, ["o_orderstatus", "o_orderpriority"])
-    modes = _ranked_values(counts, 1).select("ordinal", "v_str")
-    probe = top_k_per_group(counts, ["ordinal"], [F.col("v_str").asc(), F.col("cnt").desc()], 16,
-                            F.xxhash64("v_long", "v_dbl", "v_str")).select("ordinal", "v_str")
-    assert "ReusedExchange" in _final_plan(modes.unionByName(probe))
+def test_profile_shuffles_no_texts(spark):
+    """What the value counts shuffle is hashes and a prefix of 16 bytes, whatever the texts."""
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = profile.hashed_counts(d)
+    keys = dict(counts.dtypes)
+    assert keys == {"ordinal": "int", "h1": "bigint", "h2": "bigint", "prefix": "binary", "cnt": "bigint"}
+    assert counts.agg(F.max(F.octet_length("prefix"))).first()[0] == profile.PREFIX
+    plan = _final_plan(profile.counted(d))
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert shuffled and not any("text#" in line or "v_str#" in line for line in shuffled)
 
 
 def test_apply_labels_broadcasts_only_small_counted_mappings(spark):
