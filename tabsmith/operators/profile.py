@@ -89,8 +89,9 @@ def hashed_values(df: DataFrame, cols: list[str]) -> DataFrame:
             v = c.cast("string")
             h1, h2 = _text_hashes(v)
             prefix = F.substring(v.cast("binary"), 1, PREFIX)
-        entries.append(F.when(v.isNotNull(), F.struct(F.lit(df.columns.index(name)).alias("ordinal"), h1.alias("h1"), h2.alias("h2"), prefix.alias("prefix"))))
-    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("kv")).select("kv.*")
+        # filtered after the explode: dropping nulls inside the array would leave generated code
+        entries.append(F.struct(F.lit(df.columns.index(name)).alias("ordinal"), F.when(v.isNotNull(), h1).alias("h1"), h2.alias("h2"), prefix.alias("prefix")))
+    return df.select(F.explode(F.array(*entries)).alias("kv")).select("kv.*").where(F.col("h1").isNotNull())
 
 
 def hashed_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
