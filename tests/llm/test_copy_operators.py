@@ -389,3 +389,25 @@ def test_context_tree(spark):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-5)
     assert ctw.score(empty(spark)).count() == 0
     assert ctw.score(messy(spark)).count() == 11
+
+
+def test_crowded_keys_lose_no_link(spark, monkeypatch):
+    """Crowded keys: clusters around several originals, and template lines that differ in three letters."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    stem = "the same beginning of a line that very many lines have, and then "
+    rows = []
+    for end in ("one end of it for these", "and here is quite another end", "third one"):
+        for _ in range(60):
+            t = list(stem + end)
+            for _ in range(rng.randint(0, 2)):
+                t[rng.randrange(len(t))] = rng.choice(letters)
+            rows.append("".join(t))
+    rows += [stem + "".join(rng.choices("abcdefgh", k=3)) + " in a template" for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    lines = line_dedup.lines_of(docs, "doc_id", "text")
+    full = {tuple(r) for r in line_dedup.links(lines).collect()}
+    monkeypatch.setattr(line_dedup, "HOT", 6)
+    index, _ = line_dedup._keyed(lines, 2, 40)
+    assert index.groupBy("key").count().where("count > 6").count() > 3
+    assert {tuple(r) for r in line_dedup.links(lines).collect()} == full and len(full) > 500
