@@ -733,6 +733,15 @@ def q_split_sizes_lineitem(spark, sf_dir):
     return flagged.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
 
 
+@register("split_repeated_keys", """
+WITH h AS (SELECT l_orderkey, md5('42|' || l_orderkey) AS h, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey),
+c AS (SELECT *, sum(n_rows) OVER (ORDER BY h) AS upto, CAST(ceil(0.2 * sum(n_rows) OVER ()) AS BIGINT) AS k FROM h)
+SELECT l_orderkey, CAST(n_rows AS BIGINT) AS n_rows, CAST(greatest(0, least(n_rows, k - (upto - n_rows))) AS BIGINT) AS n_test FROM c""")
+def q_split_repeated_keys(spark, sf_dir):
+    flagged = spl.split_flags(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return flagged.groupBy("l_orderkey").agg(F.count("*").alias("n_rows"), F.count_if("is_test").alias("n_test"))
+
+
 @register("split_tiny_statuses", "SELECT o_orderstatus, count(*) AS n, true AS is_test FROM orders GROUP BY o_orderstatus")
 def q_split_tiny_statuses(spark, sf_dir):
     few = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))  # three rows
@@ -1244,6 +1253,21 @@ def q_pool_files(spark, sf_dir):
     return src.pool([r, n]).drop("_metadata")
 
 
+@register("pool_mixed_types", """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_totalprice AS DOUBLE) AS amount, CAST(o_orderstatus AS VARCHAR) AS code, o_orderpriority AS note, 'orders' AS source
+FROM orders
+UNION ALL SELECT p_partkey, p_size, CAST(p_size AS VARCHAR), NULL, 'part' FROM part
+UNION ALL SELECT n_nationkey, NULL, CASE WHEN n_regionkey = 1 THEN 'true' ELSE 'false' END, NULL, 'nation' FROM nation""")
+def q_pool_mixed_types(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("id"), F.col("o_totalprice").alias("amount"),
+                                              F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("note"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("id"), F.col("p_size").cast("int").alias("amount"),
+                                            F.col("p_size").cast("int").alias("code"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("smallint").alias("id"), F.lit(None).alias("amount"),
+                                              (F.col("n_regionkey") == 1).alias("code"))
+    return src.pool([o, p, n], ["orders", "part", "nation"])
+
+
 @register("mappings_roundtrip_part", """
 SELECT 'p_name' AS column_name, p_name AS label, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT p_name FROM part)""")

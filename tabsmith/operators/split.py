@@ -5,6 +5,10 @@ with the smallest hashes. The cut hash is found by counting hash prefixes (65,53
 buckets per level, collected as counts only) and refining inside the one bucket that
 holds the cut, so no global sort and no single-task window over the table. The result
 depends only on the key and the seed: repartitioning or re-running gives the same split.
+
+A key may repeat. Rows below the cut hash are test rows; of the rows on it only as many as are
+missing, by a second rank: a hash of the whole row, cut in the same way. Rows that are equal in every
+column too are taken by count (which of them does not show).
 """
 
 from __future__ import annotations
@@ -70,16 +74,40 @@ def exact_flags(df: DataFrame, key, test_share: float, seed: int) -> tuple[DataF
         return df.withColumn("is_test", F.lit(True)), n
     k = math.ceil(test_share * n)
     cut_h = _cut(hashed, k, first=first)
-    taken = hashed.filter(F.col("h") <= F.lit(cut_h)).count()
-    if taken != k:
-        raise ValueError(f"the split key repeats: {taken} rows share the {k} smallest hashes; give a unique key")
-    return df.withColumn("is_test", h <= F.lit(cut_h)), n
+    below = hashed.agg(F.count_if(F.col("h") < F.lit(cut_h)).alias("less"), F.count_if(F.col("h") == F.lit(cut_h)).alias("on")).first()
+    if below["less"] + below["on"] == k:
+        return df.withColumn("is_test", h <= F.lit(cut_h)), n
+    return _cut_inside(df, h, cut_h, k - below["less"]), n
+
+
+def _row_hash(df: DataFrame, seed: int = 1) -> Column:
+    """A hash of all columns; a null differs from every value, and two columns do not run together."""
+    parts = [F.coalesce(F.concat(F.lit("+"), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in df.columns]
+    return F.md5(F.to_json(F.array(F.lit(str(seed)), *parts)))
+
+
+def _cut_inside(df: DataFrame, h: Column, cut_h: str, need: int) -> DataFrame:
+    """``is_test`` where the cut falls among the rows of one key hash: ``need`` of them are test rows."""
+    row = _row_hash(df)
+    tied = df.where(h == F.lit(cut_h)).select(row.alias("h"))
+    cut_row = _cut(tied, need)
+    less = tied.filter(F.col("h") < F.lit(cut_row)).count()
+    on = (h == F.lit(cut_h)) & (row == F.lit(cut_row))
+    sure = (h < F.lit(cut_h)) | ((h == F.lit(cut_h)) & (row < F.lit(cut_row)))
+    equal = tied.filter(F.col("h") == F.lit(cut_row)).count()
+    if less + equal == need:
+        return df.withColumn("is_test", sure | on)
+    # equal rows: one of them stands for all, made again as often as each side takes, in many tasks
+    one = df.where(on).limit(1).withColumn("__g", F.lit(0))
+    copies = df.sparkSession.range(equal).select(F.lit(0).alias("__g"), (F.col("id") < need - less).alias("is_test"))
+    copies = copies.join(F.broadcast(one), "__g").select(*[F.col(f"`{c}`") for c in df.columns], "is_test")
+    return df.where(~on).withColumn("is_test", sure).unionByName(copies)
 
 
 def split_flags(df: DataFrame, key: str | Sequence[str], test_share: float = fixed.TEST_SHARE,
                 seed: int = fixed.SEED, mode: str = "exact") -> DataFrame:
-    """``df`` plus ``is_test``. ``mode='exact'``: exactly ceil(share*n) test rows (key must be
-    unique); below five rows every row is a test row. ``mode='bernoulli'``: each row
+    """``df`` plus ``is_test``. ``mode='exact'``: exactly ceil(share*n) test rows, also if
+    the key repeats; below five rows every row is a test row. ``mode='bernoulli'``: each row
     independently by hash, no extra pass."""
     if mode == "bernoulli":
         cut = F.pmod(F.xxhash64(key_column(key), F.lit(seed)), F.lit(10_000)) < round(test_share * 10_000)

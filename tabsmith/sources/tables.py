@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.session import ensure_checkpoint_dir
@@ -134,14 +135,59 @@ def peek_columns(spark: SparkSession, path: str, fmt: str | None = None) -> list
     return spark.read.options(**CSV_RULES).option("inferSchema", False).csv(path).columns
 
 
+#: Whole numbers from narrow to wide.
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both: the join of the type lattice.
+
+    Whole numbers widen to the longer one; with a decimal or floating number they are double (two
+    floats stay float; a decimal takes the digits of both if 38 are enough); a date is a timestamp at
+    midnight; a column without a type (all null) takes the other's. Everything else, booleans with
+    numbers too, meets in text.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, WHOLE) and isinstance(b, WHOLE):
+        return max(a, b, key=lambda t: WHOLE.index(type(t)))
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.DoubleType()
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    kinds = {type(a), type(b)}
+    if kinds == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    if kinds <= {T.DateType, T.TimestampNTZType, T.TimestampType}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def pooled_schema(dfs: Sequence[DataFrame]) -> dict[str, T.DataType]:
+    """``{column: type}`` of the tables stacked by name, in order of first appearance."""
+    out: dict[str, T.DataType] = {}
+    for d in dfs:
+        for f in d.schema.fields:
+            out[f.name] = wider(out[f.name], f.dataType) if f.name in out else f.dataType
+    return out
+
+
 def pool(dfs: Sequence[DataFrame], names: Sequence[str] | None = None, source_col: str = "source") -> DataFrame:
     """Stack tables by column name (missing columns become null) with a source label.
 
-    Without ``names`` the label is the file each row came from (``_metadata.file_name``)."""
+    Columns whose types differ are cast to the type that holds both (``wider``) before the union, in
+    each table's own projection. Without ``names`` the label is the file each row came from
+    (``_metadata.file_name``)."""
+    types = pooled_schema(dfs)
     out = None
     for i, d in enumerate(dfs):
         label = F.lit(names[i]) if names else F.col("_metadata.file_name")
-        d = d.select("*", label.alias(source_col))
+        own = [F.col(f"`{f.name}`") if f.dataType == types[f.name] else F.col(f"`{f.name}`").cast(types[f.name]).alias(f.name) for f in d.schema.fields]
+        d = d.select(*own, label.alias(source_col))
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
     return out
 

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF
 from tabsmith import sources as src
+from tabsmith.sources.tables import wider
 from tabsmith.operators import sample
 
 
@@ -59,3 +61,20 @@ def test_csv_quotes_newlines_and_blanks(spark):
     assert sorted(map(tuple, src.read_table(spark, path).collect())) == rows
     with pytest.raises(Exception):
         src.read_table(spark, path, multiline=False, infer=False).collect()
+
+
+def test_pool_widens_types(spark):
+    wide = lambda a, b: wider(*(T._parse_datatype_string(x) if x != 'void' else T.NullType() for x in (a, b))).simpleString()
+    cases = {("int", "bigint"): "bigint", ("smallint", "int"): "int", ("int", "double"): "double", ("float", "float"): "float", ("float", "int"): "double",
+             ("decimal(10,2)", "decimal(8,4)"): "decimal(12,4)", ("decimal(38,0)", "decimal(38,10)"): "double", ("decimal(10,2)", "int"): "double",
+             ("int", "string"): "string", ("boolean", "int"): "string", ("date", "timestamp"): "timestamp", ("date", "timestamp_ntz"): "timestamp_ntz",
+             ("timestamp", "timestamp_ntz"): "timestamp_ntz", ("date", "int"): "string", ("void", "date"): "date", ("boolean", "void"): "boolean"}
+    for (a, b), want in cases.items():
+        assert wide(a, b) == wide(b, a) == want, (a, b)
+    frames = [spark.createDataFrame(rows, schema) for rows, schema in (
+        ([(1, True, 5)], "a int, b boolean, only long"), ([(2 ** 40, "text")], "a long, b string"), ([("x", 1.5)], "a string, b double"), ([], "a double, b date"))]
+    got = src.pool(frames, list("pqrs")).orderBy("source")
+    assert dict(got.dtypes) == {"a": "string", "b": "string", "only": "bigint", "source": "string"}
+    assert [tuple(r) for r in got.collect()] == [("1", "true", 5, "p"), (str(2 ** 40), "text", None, "q"), ("x", "1.5", None, "r")]
+    # nothing is cast where the types agree
+    assert "cast(" not in src.pool(frames[:1] * 2, ["p", "q"])._jdf.queryExecution().analyzed().toString()

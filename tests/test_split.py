@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -38,3 +39,23 @@ def test_bernoulli_mode_is_stable(spark):
 def test_display_columns():
     assert spl.display_columns(["Open", "x", "Close", "Volume"], ["Close"]) == ["Open", "Volume"]
     assert spl.display_columns(["a", "b", "y", "c", "d"], ["y"]) == ["a", "b", "c"]
+
+
+def test_repeated_keys_are_cut_exactly(spark):
+    rows = [(i % 7, i, "x") for i in range(100)] + [(3, None, "same")] * 400
+    df = spark.createDataFrame(rows, "k int, v int, s string").repartition(6)
+    for share in (0.05, 0.2, 0.33, 0.5, 0.9, 1.0):
+        flagged = spl.split_flags(df, "k", share)
+        got = [tuple(r) for r in flagged.collect()]
+        assert Counter(r[:3] for r in got) == Counter(rows)
+        assert sum(r[3] for r in got) == math.ceil(share * 500)
+        again = spl.split_flags(df.repartition(2), "k", share)
+        assert Counter(got) == Counter(tuple(r) for r in again.collect())
+    # a key is only divided where the cut falls
+    taken = {k: (n, t) for k, n, t in spl.split_flags(df, "k", 0.2).groupBy("k").agg(F.count("*"), F.count_if("is_test")).collect()}
+    assert sum(0 < t < n for n, t in taken.values()) <= 1
+
+
+def test_wholly_equal_rows(spark):
+    df = spark.createDataFrame([("a", None)] * 50, "k string, v int")
+    assert spl.split_flags(df, "k", 0.3).where("is_test").count() == 15
