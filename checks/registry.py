@@ -1210,6 +1210,13 @@ def q_read_csv_documents(spark, sf_dir):
     return src.read_table(spark, path, "csv")
 
 
+@register("read_csv_split_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_read_csv_split_documents(spark, sf_dir):
+    path = src.scratch_path(spark, "documents-csv")
+    src.write_table(table(spark, sf_dir, "documents"), path, "csv")
+    return src.read_table(spark, path, "csv", split=True)
+
+
 @register("window_sample_orders", """
 WITH w AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM w

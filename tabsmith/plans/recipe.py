@@ -259,6 +259,8 @@ def save_recipe(recipe: Recipe, path: str) -> str:
         "encoding": {"one_hot": {c: list(v) for c, v in recipe.encoding.one_hot.items()},
                      "label": list(recipe.encoding.label), "boolean": list(recipe.encoding.boolean),
                      "label_counts": recipe.encoding.label_counts},
+        # counted sizes of the mappings: without them a loaded recipe could broadcast none
+        "nbytes": {"targets": getattr(recipe.target_classes, "nbytes", {}), "labels": getattr(recipe.encoding.label_counts, "nbytes", {})},
     }
     spark.createDataFrame([(json.dumps(doc),)], "recipe string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/recipe")
@@ -276,11 +278,12 @@ def load_recipe(spark, path: str) -> Recipe:
     enc = doc["encoding"]
     target_map = maps.filter(F.col("column_name").isin(list(coded))) if (maps is not None and coded) else None
     label_map = maps.filter(F.col("column_name").isin(enc["label"])) if (maps is not None and enc["label"]) else None
+    nbytes = doc.get("nbytes", {"targets": {}, "labels": {}})  # recipes saved before have none
     cfg = doc["config"]
     cfg["targets"] = tuple(cfg["targets"])
     return Recipe(
         config=Config(**cfg), columns=tuple(doc["columns"]), drops=doc["drops"], tasks=doc["tasks"],
-        target_coded=coded, target_mapping=target_map, target_classes=doc["target_classes"],
+        target_coded=coded, target_mapping=target_map, target_classes=encode.LabelCounts(doc["target_classes"], nbytes["targets"]),
         text=text.TextPlan(tuple(doc["text"]["formatted"]), tuple(doc["text"]["truncated"]),
                            tuple(doc["text"]["boolean"]), doc["text"]["keep_words"], doc["text"]["keep_sign"]),
         date_columns=tuple(doc["date_columns"]),
@@ -289,4 +292,4 @@ def load_recipe(spark, path: str) -> Recipe:
         bounds={c: tuple(v) for c, v in doc["bounds"].items()},
         encoding=encode.EncodePlan(one_hot={c: tuple(v) for c, v in enc["one_hot"].items()},
                                    label=tuple(enc["label"]), boolean=tuple(enc["boolean"]),
-                                   mappings=label_map, label_counts=enc["label_counts"]))
+                                   mappings=label_map, label_counts=encode.LabelCounts(enc["label_counts"], nbytes["labels"])))

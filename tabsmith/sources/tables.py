@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.session import ensure_checkpoint_dir
+from tabsmith.sources import csv_split
 
 READABLE = (".csv", ".parquet")
 BOOL_WORDS = ("true", "false")
@@ -110,17 +111,37 @@ def infer_types(df: DataFrame) -> DataFrame:
 CSV_RULES = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = True, multiline: bool = True) -> DataFrame:
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file at ``path`` (metadata only); a pattern counts as small."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return 0
+    status = fs.getFileStatus(p)
+    return max([int(s.getLen()) for s in ([status] if status.isFile() else fs.listStatus(p)) if s.isFile()], default=0)
+
+
+def _partition_bytes(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = True, multiline: bool = True,
+               split: bool | None = None) -> DataFrame:
     """CSV with a header (null tokens, inferred types) or Parquet as it is.
 
-    ``multiline`` (default) lets a quoted field hold line breaks; a file is then read by one task.
-    Without it files are split, and a record torn by a line break is an error.
+    ``multiline`` (default) lets a quoted field hold line breaks. A file that is larger than one
+    partition (``split`` None; True: any) is then cut at its true record borders and read by many
+    tasks (``csv_split``), a smaller one by one task; the rows are the same. Without ``multiline``
+    a record torn by a line break is an error.
     """
     fmt = fmt or ("parquet" if path.lower().rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported table format {fmt!r}; export Excel sheets to CSV or Parquet")
+    if multiline and (split or split is None and _largest_file(spark, path) > _partition_bytes(spark)):
+        raw = csv_split.read_csv(spark, path, peek_columns(spark, path, fmt), CSV_RULES)
+        raw = raw.select(*[_null_tokens(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+        return infer_types(raw) if infer else raw
     rules = CSV_RULES | ({"multiLine": True} if multiline else {"mode": "FAILFAST"})
     raw = spark.read.options(**rules).option("inferSchema", False).csv(path)
     raw = raw.select(*[_null_tokens(F.col(f"`{c}`")).alias(c) for c in raw.columns])

@@ -64,3 +64,15 @@ def test_parity_switch_for_many_class_text_target(spark):
     df = spark.createDataFrame(rows, "row_id int, x double, label string")
     assert fit(df, Config(targets=("label",))).tasks == {"label": "Classification"}
     assert fit(df, Config(targets=("label",), parity=True)).tasks == {"label": "Regression"}
+
+
+def test_loaded_recipe_keeps_mapping_sizes(spark):
+    from tabsmith.plans.recipe import Config, fit, load_recipe, save_recipe
+    from tabsmith.sources import scratch_path
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    recipe = fit(part, Config(targets=("p_brand",)))
+    back = load_recipe(spark, save_recipe(recipe, scratch_path(spark, "recipe")))
+    assert back.label_counts().nbytes == recipe.label_counts().nbytes and back.label_counts().nbytes
+    assert dict(back.label_counts()) == dict(recipe.label_counts())
+    hints = lambda r: r.transform(part)._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+    assert hints(back) > 0

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from conftest import SF
 from tabsmith import sources as src
+from tabsmith.sources import csv_split
 from tabsmith.sources.tables import wider
 from tabsmith.operators import sample
 
@@ -78,3 +79,26 @@ def test_pool_widens_types(spark):
     assert [tuple(r) for r in got.collect()] == [("1", "true", 5, "p"), (str(2 ** 40), "text", None, "q"), ("x", "1.5", None, "r")]
     # nothing is cast where the types agree
     assert "cast(" not in src.pool(frames[:1] * 2, ["p", "q"])._jdf.queryExecution().analyzed().toString()
+
+
+def test_split_csv_equals_the_whole_file_reader(spark):
+    rows = [(i, ["plain", 'he said "hi, you"', "two\nlines\r\nthree", "\n\n" * 40, "a,b", '"', "", None, "  kept  ", "é漢\n,"][i % 10], "x" * (i % 50)) for i in range(3000)]
+    path = src.scratch_path(spark, "csv")
+    src.write_table(spark.createDataFrame(rows, "i long, s string, `t,u` string").repartition(2), path, "csv")
+    whole = src.read_table(spark, path, split=False)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000b", "7777b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            parts = src.read_table(spark, path)  # larger than a partition: split
+            assert parts.dtypes == whole.dtypes
+            assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+            assert csv_split.read_records(spark, path).where("block > 0").count() > 1000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quoted_state():
+    from tabsmith.sources.csv_split import inside_after
+    assert not inside_after('a,5" disk,b', False) and inside_after('a,"open', False) and not inside_after('end",b', True)
+    assert inside_after('still ""quoted"" here', True) and inside_after('x","new', True) and not inside_after('"a ""b"" c",d', False)
