@@ -1293,6 +1293,24 @@ def q_run_record_lineitem(spark, sf_dir):
     return spark.read.text(path)
 
 
+@register("run_record_facts_orders", f"""
+SELECT 'dropped' AS fact, column_name AS name, reasons AS value
+FROM ({drop_plan_sql(ORDERS_DERIVED, ORDERS_DERIVED_SCHEMA, ["o_totalprice"])})
+UNION ALL SELECT 'task', 'o_totalprice', 'Regression'
+UNION ALL SELECT 'metric', m, 'Regression' FROM (VALUES ('mse'), ('mae'), ('r2')) t(m)""")
+def q_run_record_facts_orders(spark, sf_dir):
+    """What a run's record tells after it was written and read back: dropped columns, tasks, metrics."""
+    from tabsmith.plans.run import run, run_record
+    res = run(orders_derived(spark, sf_dir), "o_totalprice", "o_orderkey", allow_flaws=True, protect_text=True)
+    path = src.write_run_record(spark, run_record(res), src.scratch_path(spark, "facts"))
+    schema = ("dropped map<string,string>, tasks map<string,string>, "
+              "metrics array<struct<target:string,task:string,metric:string>>")
+    rec = spark.read.text(path).select(F.from_json("value", schema).alias("r")).select("r.*")
+    facts = [rec.select(F.lit(fact).alias("fact"), F.explode(c).alias("name", "value")) for fact, c in (("dropped", "dropped"), ("task", "tasks"))]
+    scores = rec.select(F.explode("metrics").alias("m")).select(F.lit("metric").alias("fact"), F.col("m.metric").alias("name"), F.col("m.task").alias("value"))
+    return facts[0].unionByName(facts[1]).unionByName(scores)
+
+
 @register("models_roundtrip_documents")
 def q_models_roundtrip_documents(spark, sf_dir):
     from tabsmith.plans.run import run
@@ -1338,6 +1356,66 @@ def q_linear_fit_lineitem(spark, sf_dir):
     return out.groupBy("l_quantity").agg(F.count("*").alias("n"), F.round(F.max("Pred_l_extendedprice"), 3).alias("pred"))
 
 
+@register("linear_fit_two_targets_lineitem", """
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b,
+                  regr_slope(l_tax, l_quantity) AS c, regr_intercept(l_tax, l_quantity) AS d FROM lineitem)
+SELECT l_quantity, count(*) AS n, round(a * l_quantity + b, 3) AS price, round(c * l_quantity + d, 6) AS tax
+FROM lineitem, f GROUP BY l_quantity, a, b, c, d""")
+def q_linear_fit_two_targets_lineitem(spark, sf_dir):
+    """Two linear targets solved from one pass, against their closed forms."""
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_tax")
+    targets = ["l_extendedprice", "l_tax"]
+    tm = mdl.train(li, targets, "LinearRegression", dict.fromkeys(targets, "Regression"))
+    out = mdl.predict(tm, li, clip=False)
+    return out.groupBy("l_quantity").agg(F.count("*").alias("n"), F.round(F.max("Pred_l_extendedprice"), 3).alias("price"),
+                                         F.round(F.max("Pred_l_tax"), 6).alias("tax"))
+
+
+@register("class_digits_part", """
+WITH c AS (SELECT p_retailprice AS value, dense_rank() OVER (ORDER BY p_retailprice) - 1 AS code
+           FROM (SELECT DISTINCT p_retailprice FROM part)),
+k AS (SELECT count(*) AS n FROM c),
+d AS (SELECT min(j) AS digits FROM range(1, 9) t(j), k WHERE pow(256, j) >= n),
+b AS (SELECT min(i) AS base FROM range(2, 257) t(i), k, d WHERE pow(i, digits) >= n)
+SELECT value, CAST(code AS BIGINT) AS code, CAST(digits AS INTEGER) AS digits,
+       CAST(code // CAST(pow(base, digits - 1) AS BIGINT) AS BIGINT) AS first_digit, CAST(code % base AS BIGINT) AS last_digit
+FROM c, d, b""")
+def q_class_digits_part(spark, sf_dir):
+    """Class codes of a target with many values, and the first and last of their digits."""
+    codes, n = mdl.class_codes(table(spark, sf_dir, "part"), "p_retailprice")
+    digits, base = mdl.digit_base(n)
+    places = mdl.code_digits(F.col("code"), digits, base)
+    return codes.select("value", "code", F.lit(digits).alias("digits"), places[0].alias("first_digit"), places[-1].alias("last_digit"))
+
+
+@register("run_many_classes_customer", """
+SELECT 'Classification' AS task, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_rows, true AS known, true AS digit_chain FROM customer""")
+def q_run_many_classes_customer(spark, sf_dir):
+    """A run on a text target of many labels: codes are learned in digits, every prediction is a label of the table."""
+    from tabsmith.plans.run import run
+    c = table(spark, sf_dir, "customer")
+    res = run(c, "c_name", "c_custkey", algorithm="DecisionTreeClassifier", max_classes=100, allow_flaws=True)
+    names = c.select(F.col("c_name").alias("Pred_c_name"), F.lit(True).alias("known")).distinct()
+    chain = isinstance(res.trained.models["c_name"], mdl.ClassChain)
+    return res.predictions.join(names, "Pred_c_name", "left").agg(
+        F.lit(res.trained.tasks["c_name"]).alias("task"), F.count("*").alias("n_rows"),
+        F.bool_and(F.coalesce("known", F.lit(False))).alias("known"), F.lit(chain).alias("digit_chain"))
+
+
+@register("mappings_document_part", """
+WITH l AS (SELECT 'p_name' AS column_name, p_name AS label FROM part UNION SELECT 'p_type', p_type FROM part),
+c AS (SELECT column_name, label, row_number() OVER (PARTITION BY column_name ORDER BY label) - 1 AS code,
+             row_number() OVER (ORDER BY column_name DESC, label DESC) AS back FROM l)
+SELECT (CASE WHEN code > 0 THEN ',' WHEN column_name = 'p_name' THEN '{"p_name":{' ELSE '},"p_type":{' END)
+       || CAST(to_json(label) AS VARCHAR) || ':' || code || (CASE WHEN back = 1 THEN '}}' ELSE '' END) AS line
+FROM c""")
+def q_mappings_document_part(spark, sf_dir):
+    """The nested mapping document, written in range partitions and read back as its lines."""
+    m = enc.label_codes(table(spark, sf_dir, "part"), ["p_name", "p_type"])
+    path = src.write_mappings_document(m, src.scratch_path(spark, "document"))
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 # ---------------------------------------------- audit statistics (P10), clean report (V6)
 
 

@@ -39,7 +39,7 @@ class RunResult:
 
 def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws: bool = False,
         test_share: float = fixed.TEST_SHARE, seed: int = fixed.SEED, clean_path: str | None = None,
-        fit_on: str = "all", out_path: str | None = None, **config) -> RunResult:
+        fit_on: str = "all", out_path: str | None = None, max_classes: int = models.MAX_CLASSES, **config) -> RunResult:
     """Clean ``df``, audit it, split it exactly by ``key``, fit one model per target, score
     the whole test table and judge the metrics.
 
@@ -92,7 +92,7 @@ def run(df: DataFrame, targets, key, algorithm: str | None = None, allow_flaws:
     strategy = "Classification" if task_set == {"Classification"} else (
         "Regression" if task_set == {"Regression"} else "Mixed")
     algo = algorithm or DEFAULT_ALGORITHM.get(strategy, "RandomForest")
-    trained = models.train(train, targets, algo, recipe.tasks)
+    trained = models.train(train, targets, algo, recipe.tasks, max_classes)
     scored = models.predict(trained, test)
     mets = None
     for t in targets:

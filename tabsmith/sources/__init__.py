@@ -5,6 +5,7 @@ from tabsmith.sources.records import (
     read_mappings,
     read_run_record,
     write_mappings,
+    write_mappings_document,
     write_run_record,
 )
 from tabsmith.sources.tables import (
@@ -19,4 +20,5 @@ from tabsmith.sources.tables import (
 
 __all__ = ["discover", "table_sizes", "infer_types", "peek_columns", "pool", "read_table", "scratch_path",
            "write_table", "write_mappings", "read_mappings", "mappings_document",
+           "write_mappings_document",
            "write_run_record", "read_run_record"]

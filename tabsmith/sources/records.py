@@ -27,10 +27,38 @@ def read_mappings(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(MAPPING_SCHEMA).json(path)
 
 
+def _json_text(col):
+    """A text column as a JSON string, quotes included."""
+    return F.regexp_extract(F.to_json(F.struct(col.alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
+
+
 def mappings_document(mappings: DataFrame) -> DataFrame:
-    """The nested ``{column: {label: code}}`` form, one row per column."""
-    return (mappings.groupBy("column_name")
-            .agg(F.map_from_entries(F.collect_list(F.struct("label", "code"))).alias("codes")))
+    """``(column_name, code, line)``: the nested ``{column: {label: code}}`` document, one line a label, in
+    range partitions ordered by column and code.
+
+    A line opens its column's object if its code is the column's first and closes the document if it is the
+    last of all. Only the first and last code of each column are gathered, so a column with a billion labels
+    is split over as many partitions as its rows need. Without labels there is no line.
+    """
+    spark = mappings.sparkSession
+    ends = mappings.groupBy("column_name").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).collect()
+    if not ends:
+        return spark.createDataFrame([], "column_name string, code bigint, line string")
+    top, last = (f(r["column_name"].encode() for r in ends).decode() for f in (min, max))
+    edges = F.broadcast(spark.createDataFrame(ends, "column_name string, lo bigint, hi bigint"))
+    name, first = F.col("column_name"), F.col("code") == F.col("lo")
+    opening = F.when(~first, ",").otherwise(F.concat(F.when(name == top, "{").otherwise("},"), _json_text(name), F.lit(":{")))
+    closing = F.when((name == last) & (F.col("code") == F.col("hi")), "}}").otherwise("")
+    line = F.concat(opening, _json_text(F.col("label")), F.lit(":"), F.col("code").cast("string"), closing)
+    lines = mappings.join(edges, "column_name").select("column_name", "code", line.alias("line"))
+    return lines.repartitionByRange("column_name", "code").sortWithinPartitions("column_name", "code")
+
+
+def write_mappings_document(mappings: DataFrame, path: str) -> str:
+    """The nested document as text parts under ``path``; read one after the other in name order they
+    are one JSON document (nothing is written for a mapping without labels)."""
+    mappings_document(mappings).select("line").write.mode("overwrite").text(path)
+    return path
 
 
 def write_run_record(spark: SparkSession, record: dict, path: str | None = None) -> str:
