@@ -282,10 +282,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Columns as in ``docs``. Rows that repeat both id and group are reduced to one.
+    Columns as in ``docs``. Rows that repeat both id and group are reduced to the one whose text has
+    the least XXH64.
     """
-    fp, root, least = (C.free_name(docs, x) for x in ("_fp", "_root", "_least"))
+    fp, root, least, row = (C.free_name(docs, x) for x in ("_fp", "_root", "_least", "_row"))
     with_fp = C.written(docs.withColumn(fp, fingerprint(F.col(f"`{text_col}`"), shingle)), "simhash-docs")
     comp = components(with_fp, fp, f"`{id_col}`", radius).select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least))
     kept = with_fp.join(comp, fp).where(F.col(f"`{id_col}`").eqNullSafe(F.col(least)))
-    return kept.dropDuplicates([id_col, root]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.groupBy(F.col(f"`{id_col}`"), root).agg(F.min_by(whole, F.xxhash64(f"`{text_col}`")).alias(row))
+    return one.select(*[F.col(row)[c].alias(c) for c in docs.columns])

@@ -244,6 +244,16 @@ def test_line_dedup_edges(spark):
     assert line_dedup.without_lines(messy(spark)).columns == messy(spark).columns and line_dedup.without_lines(empty(spark)).count() == 0
 
 
+def test_one_of_each_settles_equal_ids_by_text(spark):
+    words = " ".join(f"word{i}" for i in range(400))
+    rows = [(1, words + x, x) for x in ("", " ", "\n", "  ")] + [(2, words, "later"), (None, None, "n"), (None, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_row` string")
+    least = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).first()
+    for parts in (1, 5):
+        got = bitsim.one_of_each(docs.repartition(parts)).collect()
+        assert [tuple(r) for r in got if r.doc_id is not None] == [tuple(least)] and len(got) == 2
+
+
 # ---------------------------------------------------------------- leaks
 
 def test_alignment():
@@ -313,6 +323,40 @@ def test_leaks_short_runs(spark):
     assert got == want
 
 
+def test_leaks_every_fourth_word_changed(spark):
+    """Runs of three words are left; other texts hold some of an item's runs, and one is copied very often."""
+    rng = random.Random(14)
+    item = {i: [f"w{rng.randrange(2000)}" for _ in range(rng.randrange(24, 40))] for i in range(36)}
+    docs, want = [], set()
+    for i, w in item.items():
+        lead = [f"x{rng.randrange(10**5)}" for _ in range(30)]
+        docs.append((i, " ".join(lead + spaced_copy(rng, w, 4) + lead[::-1])))
+        want.add((i, i))
+    docs += [(1000 + k, " ".join(item[0])) for k in range(300)]
+    want |= {(1000 + k, 0) for k in range(300)}
+    docs += [(2000 + k, f"y{k} " + " ".join(item[1][:3]) + f" z{k}") for k in range(300)]  # one run that is not rare
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in item.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == want
+
+
+def test_leaks_equal_aligning_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    codes = {}
+    coded = lambda t: np.array([codes.setdefault(w, len(codes)) for w in decontam_words(t)], np.uint64)
+    all_items, want = {}, set()
+    for r in items.orderBy("item_id").collect():
+        all_items.setdefault(" ".join(decontam_words(r.text)), (r.item_id, coded(r.text)))
+    for d in docs.collect():
+        text = coded(d.text)
+        for i, w in all_items.values():
+            least = max(1.2 * len(w), 2 * min(8, len(w)))
+            if len(w) >= decontam.GRAM and 2 * np.isin(w, text).sum() >= least and decontam.align(w, text)[0] >= least:
+                want.add((d.doc_id, i))
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()} == want and want
+
+
 def test_leaks_many_scans(spark, monkeypatch):
     rng = random.Random(6)
     item = [[f"w{rng.randrange(10**5)}" for _ in range(16)] for _ in range(30)]
