@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,13 +60,20 @@ def find_dates(df: DataFrame, exclude: Sequence[str] = (),
     return [c for c in df.columns if c in found]
 
 
+def all_parsed(cols: Sequence[str]) -> Column:
+    """Over the output of ``date_parts``: every date of the row parsed."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"`{c}_year`").isNotNull()
+    return cond
+
+
 def date_parts(df: DataFrame, cols: Sequence[str], drop_unparsed: bool = True) -> DataFrame:
     """Parse, add ``<col>_year/_month/_day/_dayofweek`` (Monday = 0) in place of
     the original, and drop rows whose date is missing or did not parse."""
     if not cols:
         return df
     fields = {f.name: f.dataType for f in df.schema.fields}
-    parsed = {}
     out = []
     for c in df.columns:
         if c not in cols:
@@ -74,14 +81,7 @@ def date_parts(df: DataFrame, cols: Sequence[str], drop_unparsed: bool = True) -
             continue
         x = F.col(f"`{c}`")
         ts = x if isinstance(fields[c], DATE_TYPES) else parse_datetime(x)
-        parsed[c] = ts
         out += [F.year(ts).alias(f"{c}_year"), F.month(ts).alias(f"{c}_month"),
                 F.dayofmonth(ts).alias(f"{c}_day"), weekday_monday0(ts).alias(f"{c}_dayofweek")]
     res = df.select(*out)
-    if drop_unparsed:
-        cond = None
-        for c in cols:
-            k = F.col(f"`{c}_year`").isNotNull()
-            cond = k if cond is None else cond & k
-        res = res.filter(cond)
-    return res
+    return res.filter(all_parsed(cols)) if drop_unparsed else res

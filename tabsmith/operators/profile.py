@@ -18,11 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
 from tabsmith.functions.stats import g1_skew, is_integral, is_numeric, nan_to_null
+from tabsmith.operators.text import TextProbe, stat_aggregates
 from tabsmith.operators.topk import top_k_per_group
 
 VALUE_COLS = ("v_long", "v_dbl", "v_str")
@@ -172,37 +173,44 @@ def _names_frame(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "ordinal int, column_name string, dtype string")
 
 
-def moments(df: DataFrame) -> DataFrame:
+def moments(df: DataFrame, probe: TextProbe | None = None) -> DataFrame:
     """Per-column counts, moments and fingerprint, one row per column.
 
     The table is unpivoted to ``(ordinal, value as double, value hash)`` and grouped by
     ordinal: a handful of aggregate functions whatever the width (so the aggregate stays
     in generated code), partial aggregation leaves one row per column per task, and the
-    final shuffle moves only those rows.
+    final shuffle moves only those rows. With a ``probe`` the same pass also takes the text
+    statistics of its columns, as a struct ``texts``.
     """
     entries = []
     for i, f in enumerate(df.schema.fields):
         c = nan_to_null(F.col(f"`{f.name}`"), f.dataType)
         v = c.cast("double") if is_numeric(f.dataType) else F.lit(None).cast("double")
-        entries.append(F.struct(F.lit(i).alias("ordinal"), v.alias("v"),
-                                c.isNotNull().alias("nn"), F.xxhash64(c).alias("h")))
+        own = [F.lit(i).alias("ordinal"), v.alias("v"), c.isNotNull().alias("nn"), F.xxhash64(c).alias("h")]
+        if probe:
+            x = F.lit(None).cast("string")
+            if f.name in probe.columns:
+                x = c if probe.rows is None else F.when(probe.rows, c)
+            own += [x.alias("x"), F.lit(f.name in probe.date_columns).alias("hinted")]
+        entries.append(F.struct(*own))
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
     h = F.when(F.col("nn"), F.col("h"))
+    texts = [F.struct(*stat_aggregates(F.col("x"), F.col("hinted"), probe.keep_sign)).alias("texts")] if probe else []
     return long.groupBy("ordinal").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("nn").alias("n_nonnull"),
         F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
         F.max("v").alias("max"), g1_skew(F.col("v")).alias("skew"),
         F.concat_ws(":", F.bit_xor(h).cast("string"),
-                    F.try_sum(F.pmod(h, F.lit(1_000_003))).cast("string")).alias("fingerprint"))
+                    F.try_sum(F.pmod(h, F.lit(1_000_003))).cast("string")).alias("fingerprint"), *texts)
 
 
-def counted(df: DataFrame, k: int = 3) -> DataFrame:
+def counted(df: DataFrame, k: int = 3, probe: TextProbe | None = None) -> DataFrame:
     """Moments, distinct counts and leading hashes, one row per column, in one job."""
     counts = hashed_counts(df)
     # the non-null count is taken from the value counts too: both branches then read the
     # same (ordinal, hashes, cnt) aggregate and Spark reuses its shuffle
     distinct = counts.groupBy("ordinal").agg(F.count(F.lit(1)).alias("n_distinct"), F.sum("cnt").alias("n_counted"))
-    return (moments(df).join(F.broadcast(_names_frame(df)), "ordinal")
+    return (moments(df, probe).join(F.broadcast(_names_frame(df)), "ordinal")
             .join(F.broadcast(distinct), "ordinal", "left")
             .join(F.broadcast(leading_hashes(counts, k)), "ordinal", "left"))
 
@@ -214,15 +222,25 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
     top_values, flags, fingerprint``. Numbers are rounded to ``digits`` (None keeps them raw).
     One job, and a look-up pass if a value to show is longer than ``PREFIX`` bytes.
     """
-    numbered = counted(df, k)
+    return _profile(df, k, digits)[0]
+
+
+def profile_with_texts(df: DataFrame, probe: TextProbe, k: int = 3, digits: int | None = 2) -> tuple[DataFrame, list[Row]]:
+    """``profile`` and the ``text_stats`` rows of the probe's columns, from the same passes."""
+    return _profile(df, k, digits, probe)
+
+
+def _profile(df: DataFrame, k: int, digits: int | None, probe: TextProbe | None = None) -> tuple[DataFrame, list[Row]]:
+    numbered = counted(df, k, probe)
     rows = numbered.collect()
+    texts = [Row(column_name=r["column_name"], **r["texts"].asDict()) for r in rows if probe and r["column_name"] in probe.columns]
     text_ords = [i for i, f in enumerate(df.schema.fields) if not is_numeric(f.dataType)]
     tops = top_values(df, {r["ordinal"]: r["l"] for r in rows if r["ordinal"] in text_ords and r["l"]}, k)
     shown = {i: "{" + ", ".join(f"'{v}': {n}" for v, n in top) + "}" for i, top in tops.items()}
-    kept = [c for c in numbered.columns if c != "l"]
+    kept = [c for c in numbered.columns if c not in ("l", "texts")]
     # one row per column: the rest is arithmetic on a local table
     out = df.sparkSession.createDataFrame([(*(r[c] for c in kept), shown.get(r["ordinal"])) for r in rows],
-                                          numbered.drop("l").schema.add("top_values", "string"))
+                                          numbered.select(*kept).schema.add("top_values", "string"))
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     n_rows = F.col("n_rows")
     nonnull = F.coalesce(F.col("n_counted"), F.lit(0))
@@ -231,13 +249,14 @@ def profile(df: DataFrame, k: int = 3, digits: int | None = 2) -> DataFrame:
     flags = F.concat_ws(", ", F.when((nd == n_rows) & (nd > 1), F.lit("POTENTIAL ID")),
                         F.when(nd <= fixed.CONSTANT_MAX_DISTINCT, F.lit("CONSTANT")),
                         F.when(null_pct > fixed.HIGH_NULL_PCT, F.lit("HIGH NULL")))
-    return out.select(
+    out = out.select(
         F.col("ordinal").cast("int").alias("ordinal"), "column_name", "dtype",
         n_rows.cast("bigint").alias("n_rows"), null_pct.alias("null_pct"),
         nd.alias("n_distinct"), rnd(F.col("skew")).alias("skew"),
         rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"),
         rnd(F.col("min")).alias("min"), rnd(F.col("max")).alias("max"),
         "top_values", flags.alias("flags"), "fingerprint")
+    return out, texts
 
 
 @dataclass(frozen=True)

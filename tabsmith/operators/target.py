@@ -21,12 +21,18 @@ def _is_numeric_dtype(dtype: Column) -> Column:
     return dtype.isin(NUMERIC_TYPES) | dtype.startswith("decimal")
 
 
-def drop_null_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """Rows whose target is null (or NaN) are removed."""
+def has_targets(df: DataFrame, targets: Sequence[str]) -> Column:
+    """No target of the row is null (or NaN)."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    cond = F.lit(True)
     for t in targets:
-        df = df.filter(nan_to_null(F.col(f"`{t}`"), types[t]).isNotNull())
-    return df
+        cond = cond & nan_to_null(F.col(f"`{t}`"), types[t]).isNotNull()
+    return cond
+
+
+def drop_null_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """Rows whose target is null (or NaN) are removed."""
+    return df.filter(has_targets(df, targets)) if targets else df
 
 
 def cast_target(df: DataFrame, target: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,19 +47,32 @@ def text_stats(df: DataFrame, cols: Sequence[str], keep_sign: bool = False,
     entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("x"),
                         F.lit(c in date_cols).alias("hinted")) for c in cols]
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    x = F.col("x")
+    return long.groupBy("column_name").agg(*stat_aggregates(F.col("x"), F.col("hinted"), keep_sign))
+
+
+def stat_aggregates(x: Column, hinted: Column, keep_sign: bool = False) -> list[Column]:
+    """The aggregates of ``text_stats`` over a text ``x`` (null for what is not counted)."""
     nn = x.isNotNull()
     match = tx.looks_formatted(x, keep_sign)
     # an unsigned value of the formatted shape always parses, so only the others are parsed
     fail = tx.parse_formatted(x, keep_sign).isNull()
     fail = fail if keep_sign else (~match & fail)
-    return long.groupBy("column_name").agg(
-        F.count(x).alias("n_nonnull"),
-        F.count_if(nn & match).alias("n_match"),
-        F.count_if(nn & fail).alias("n_fail"),
-        F.avg(tx.word_count(x)).alias("mean_words"),
-        F.count_if(tx.is_boolean_word(x)).alias("n_boolean"),
-        F.count(F.when(F.col("hinted"), parse_datetime(x))).alias("n_parsed"))
+    return [F.count(x).alias("n_nonnull"),
+            F.count_if(nn & match).alias("n_match"),
+            F.count_if(nn & fail).alias("n_fail"),
+            F.avg(tx.word_count(x)).alias("mean_words"),
+            F.count_if(tx.is_boolean_word(x)).alias("n_boolean"),
+            F.count(F.when(hinted, parse_datetime(x))).alias("n_parsed")]
+
+
+@dataclass(frozen=True)
+class TextProbe:
+    """What a profile pass counts beside its own figures: text statistics of ``columns`` in the rows ``rows``."""
+
+    columns: tuple[str, ...]
+    date_columns: tuple[str, ...] = ()
+    rows: Column | None = None
+    keep_sign: bool = False
 
 
 def decide(stats_rows, keep_sign: bool = False) -> TextPlan:

@@ -3,11 +3,13 @@
     recipe = fit(df, Config(targets=["price"]))
     clean = recipe.transform(df)          # lazy: one projection per phase, two row filters
 
-Fitting runs a fixed number of aggregate passes, each over the output of the previous
-phase (as the rules require: skew after text cleaning, bounds after filling):
+Fitting reads the source at most four times: two scans of the profile, which also take the text
+and date decisions, one that looks up long values the profile shows, and one that writes the
+typed table (texts cleaned, numbers and dates parsed). One more confirms columns that look equal.
+All later passes read the typed table, each over the output of the previous phase (as the rules
+require: skew after text cleaning, bounds after filling):
 
-    1 profile (+ duplicate confirmation)   4 text decisions      6 moments / medians / modes
-    3 target codes (text targets only)     5 date parse shares   7 quartiles   8 levels / codes
+    3 target codes (text targets only)   6 moments / medians / modes   7 quartiles   8 levels / codes
 
 Only per-column numbers, at most ``max_levels + 1`` levels per column and label counts
 reach the driver; label mappings stay distributed.
@@ -26,7 +28,8 @@ from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.operators import audit, dates, encode, impute, outliers, prune, target, text
-from tabsmith.operators.profile import profile as build_profile
+from tabsmith.operators.profile import profile_with_texts
+from tabsmith.sources.tables import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -149,9 +152,15 @@ def fit(df: DataFrame, config: Config) -> Recipe:
         df = df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in decimals else F.col(f"`{c}`")
                          for c in df.columns])
 
-    # phase 1: profile the raw table (one job), decisions read the collected rows
-    rows = build_profile(df, digits=None).collect()
-    prof_small = spark.createDataFrame(rows, build_profile(df, digits=None).schema)
+    # phase 1: profile the raw table (one job), decisions read the collected rows. The same
+    # pass takes the text statistics of phase 4 over the rows that phase 3 will keep, and counts
+    # date parses of date-hinted text: phase 4 leaves the columns it does not select
+    # unchanged, so those counts are what phase 5 would see
+    types = {f.name: f.dataType for f in df.schema.fields}
+    typed_dates, hinted = dates.date_candidates(df, exclude=targets)
+    probe = text.TextProbe(tuple(text.string_columns(df, targets)), tuple(hinted), target.has_targets(df, targets), config.keep_sign)
+    prof_small, text_rows = profile_with_texts(df, probe, digits=None)
+    rows = prof_small.collect()
     distinct = {r.column_name: r.n_distinct for r in rows}
     recipe = Recipe(config=config, columns=tuple(df.columns), profile_rows=rows)
     clock.lap("profile")
@@ -162,11 +171,29 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     cur = recipe.drop_columns(df)
     clock.lap("drops")
 
-    # phase 3: targets
-    types = {f.name: f.dataType for f in cur.schema.fields}
+    # phases 4 and 5: text (formatted numbers, long text, yes/no words) and dates, by the rows of phase 1
+    recipe.text = text.decide([r for r in text_rows if r.column_name not in recipe.drops], config.keep_sign)
+    touched = set(recipe.text.formatted) | set(recipe.text.truncated) | set(recipe.text.boolean)
+    found = set(typed_dates)
+    for c in hinted:
+        st = recipe.text.stats.get(c)
+        if c not in touched and st and st["n_nonnull"] and \
+                st["n_parsed"] / st["n_nonnull"] >= fixed.DATE_MIN_PARSED_SHARE:
+            found.add(c)
+    recipe.date_columns = tuple(c for c in cur.columns if c in found)
+    clock.lap("text")
+
+    # the typed table: what all later passes read, several times, in place of the source
+    cur = target.drop_null_target(cur, targets)
+    cur = dates.date_parts(text.apply_text(cur, recipe.text), list(recipe.date_columns), drop_unparsed=False)
+    typed_path = scratch_path(spark, "typed")
+    cur.write.parquet(typed_path)
+    cur = spark.read.schema(cur.schema).parquet(typed_path)
+    clock.lap("typed")
+
+    # phase 3: targets; a text target's codes cover the rows whose dates are dropped after it, too
     coded = tuple(t for t in targets if not isinstance(types[t], _numeric_types()))
     recipe.target_coded = coded
-    cur = target.drop_null_target(cur, targets)
     if coded:
         recipe.target_mapping, recipe.target_classes = encode.label_codes_counted(
             cur, coded, expected=sum(distinct[t] for t in coded))
@@ -178,29 +205,9 @@ def fit(df: DataFrame, config: Config) -> Recipe:
             recipe.tasks[t] = "Classification"
         else:
             recipe.tasks[t] = "Regression"
-    cur = recipe.handle_targets(cur)
+    cur = recipe.handle_targets(cur.filter(dates.all_parsed(recipe.date_columns)))
     clock.lap("targets")
 
-    # phase 4: text (formatted numbers, long text, yes/no words). The same pass counts
-    # date parses of date-hinted text: phase 4 leaves the columns it does not select
-    # unchanged, so those counts are what phase 5 would see
-    typed_dates, hinted = dates.date_candidates(cur, exclude=targets)
-    recipe.text = text.fit_text(cur, exclude=targets, keep_sign=config.keep_sign, date_cols=hinted)
-    cur = text.apply_text(cur, recipe.text)
-    clock.lap("text")
-
-    # phase 5: dates
-    touched = set(recipe.text.formatted) | set(recipe.text.truncated) | set(recipe.text.boolean)
-    found = set(typed_dates)
-    for c in hinted:
-        st = recipe.text.stats.get(c)
-        if c not in touched and st and st["n_nonnull"] and \
-                st["n_parsed"] / st["n_nonnull"] >= fixed.DATE_MIN_PARSED_SHARE:
-            found.add(c)
-    recipe.date_columns = tuple(c for c in cur.columns if c in found)
-    cur = dates.date_parts(cur, list(recipe.date_columns))
-    clock.lap("dates")
-
     # phase 6: fill (skew measured after phases 4-5; targets never filled)
     # proven label-count bounds: text cleaning can only merge values; a fill adds one
     bounded = {c: n + 1 for c, n in distinct.items()}

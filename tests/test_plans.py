@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tabsmith.operators import encode, profile
+from tabsmith.plans import recipe
 
 
 def _final_plan(df) -> str:
@@ -48,3 +49,19 @@ def test_scan_prunes_columns(spark):
                                               (F.col("l_quantity") * 950.0).alias("p")), "y", "p")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan and "l_returnflag" not in plan
+
+
+def test_recipe_fit_reads_the_source_four_times(spark):
+    """Every row that a scan of the source hands on is counted: four times the rows at most."""
+    for name, target in (("lineitem", "l_extendedprice"), ("orders", "o_orderstatus"), ("customer", "c_acctbal")):
+        table = spark.read.parquet(f"{SF}/{name}.parquet")
+        read = spark.sparkContext.accumulator(0)
+
+        def passed(batches, read=read):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        fitted = recipe.fit(table.mapInArrow(passed, table.schema), recipe.Config(targets=(target,)))
+        assert 0 < read.value <= 4 * table.count(), (name, read.value / table.count())
+        assert fitted.profile_rows and fitted.tasks[target]
