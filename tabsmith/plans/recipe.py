@@ -33,6 +33,9 @@ from tabsmith.sources.tables import scratch_path
 
 log = logging.getLogger(__name__)
 
+#: Values up to which the typed table is dealt over all cores; a larger one has splits enough as it is read.
+SMALL_TABLE = 100_000_000
+
 
 @dataclass(frozen=True)
 class Config:
@@ -186,6 +189,8 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     # the typed table: what all later passes read, several times, in place of the source
     cur = target.drop_null_target(cur, targets)
     cur = dates.date_parts(text.apply_text(cur, recipe.text), list(recipe.date_columns), drop_unparsed=False)
+    if rows and rows[0].n_rows * len(cur.columns) <= SMALL_TABLE:
+        cur = cur.repartition(spark.sparkContext.defaultParallelism)
     typed_path = scratch_path(spark, "typed")
     cur.write.parquet(typed_path)
     cur = spark.read.schema(cur.schema).parquet(typed_path)
