@@ -4,7 +4,8 @@ A segment holds the ids of consecutive documents. Each id is split into 8-bit ch
 first; level ``k`` holds the ``k``-th chunk of every id that has one, a continuation bitmap
 tells which of them go on, and a rank directory (ones before every 512th bit) finds an id's
 place in the next level. Any token is reached by one byte, one bit and one rank per level,
-without decoding a block.
+without decoding a block; the files keep segments as they are, neither compressed nor in a
+dictionary, and ``token_at`` goes from places among all ids to the segments that hold them.
 
 Segment layout, little-endian: ``DAC1``, u32 documents, u64 ids, u32 levels; i64 document ids
 (the least long for null), u64 ids per document; per level u64 entries, the chunks, the bitmap (entries / 8, rounded up)
@@ -13,6 +14,7 @@ and the directory (u64 per 512 entries).
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -31,6 +33,8 @@ BLOCK = 512
 NULL_ID = -(1 << 63)
 #: Words remembered by a worker; the table is emptied when it is full.
 CACHE = 3 << 18
+#: The pre-token pattern whose pieces lie within white-space-free runs (``splits_at_space``).
+RUN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 # ---------------------------------------------------------------- one segment
@@ -108,28 +112,57 @@ class Segment:
 
 # ---------------------------------------------------------------- encoding
 
+def splits_at_space(spec: dict) -> bool:
+    """Does a tokenizer file's text part promise what ``WordTokenizer`` needs to encode run by run?
+
+    Known to do so: Unicode composition, white space to one blank and lower-casing, then pre-tokens cut
+    out by a pattern whose alternatives are contractions, letters, one digit and other signs, and their
+    bytes as they are; no added token holds white space or is stripped around, and none but those with
+    ``<`` in them is taken out of the text first.
+    """
+    normal = (spec.get("normalizer") or {}).get("normalizers") or []
+    cut = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if [n.get("type") for n in normal] != ["NFC", "Replace", "Lowercase"] or [c.get("type") for c in cut] != ["Split", "ByteLevel"]:
+        return False
+    spaces = normal[1].get("pattern") == {"Regex": r"\s+"} and normal[1].get("content") == " "
+    split, level = cut
+    pieces = (split.get("pattern") or {}).get("Regex") == RUN_PIECES and split.get("behavior") == "Removed" and split.get("invert") is True
+    whole = level.get("add_prefix_space") is False and level.get("use_regex") is False
+    added = all("<" in t["content"] and not t["lstrip"] and not t["rstrip"] and not any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens") or [])
+    return spaces and pieces and whole and added
+
+
 class WordTokenizer:
-    """Whole texts by a tokenizer that lower-cases and whose pre-tokens cross neither ASCII white space nor a letter and a sign.
+    """Whole texts by a tokenizer of the library, given as the bytes of its file.
 
-    The ids of a text are then those of its white-space-free runs side by side, and a run that
+    Where it lower-cases and its pre-tokens cross neither ASCII white space nor a letter and a sign
+    (``by_runs``), the ids of a text are those of its white-space-free runs side by side, and a run that
     ends in a letter and a stop or comma is the run before it and that sign; each distinct run is
     encoded once while it is remembered. New runs are encoded many to a text, with a control
-    character between them whose id marks the cuts.
+    character between them whose id marks the cuts. Any other tokenizer gets the texts whole.
     """
 
     MARK = b"\x01"
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, blob: bytes, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_buffer(blob)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.end = np.array([end_id], "<u4").tobytes()
-        self.mark, = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
+        self.by_runs = splits_at_space(json.loads(blob))
+        if self.by_runs:
+            marks = self.tokenizer.encode(self.MARK.decode(), add_special_tokens=False).ids
+            self.by_runs, self.mark = len(marks) == 1, marks[0] if marks else None
         self.seen: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids with the end id, as little-endian 32-bit integers."""
-        runs = [t.split() for t in texts]
+        if not self.by_runs:
+            done = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() + self.end for e in done]
+        runs = [(t if b"<" in t else t.lower()).split() for t in texts]  # a special token keeps its case
         if len(self.seen) > CACHE:
             self.seen.clear()
         seen = self.seen
@@ -168,8 +201,8 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=4)
-def word_tokenizer(path: str, end_id: int) -> WordTokenizer:
-    return WordTokenizer(path, end_id)
+def word_tokenizer(blob: bytes, end_id: int) -> WordTokenizer:
+    return WordTokenizer(blob, end_id)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -177,18 +210,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
     """Encode every row of ``docs`` and write the ids to ``path`` in ascending id order.
 
     Files are Parquet rows ``(part, seq, n_docs, n_tokens, payload)``, one per segment of about
-    ``segment_tokens`` ids; (part, seq) ascend with the id. Null texts are empty (the end id
+    ``segment_tokens`` ids, its payload stored plainly; (part, seq) ascend with the id. The driver reads
+    the tokenizer file and sends its bytes to the tasks. Null texts are empty (the end id
     alone); null ids come first; rows of equal id are ordered by text hash, repeated rows are
     written as often as they occur. Rows are dealt by ranges of (id, text hash, row), so equal
     ids do not have to meet in one task. An empty table writes no segment.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with open(tokenizer_path, "rb") as f:
+        sent = spark.sparkContext.broadcast(f.read())  # one tokenizer file, a few MB whatever the input
     base = C.id_text(docs, id_col, text_col).withColumn("_h", F.xxhash64("_text"))
     ordered = base.repartitionByRange(parts, "_id", "_h", F.monotonically_increasing_id()).sortWithinPartitions("_id", "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, part, seq = word_tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        tok, part, seq = word_tokenizer(sent.value, end_id), TaskContext.get().partitionId(), 0
         ids: list[int] = []
         blobs: list[bytes] = []
         held = 0
@@ -214,7 +250,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
     out = ordered.select("_id", "_text").mapInArrow(run, "part int, seq int, n_docs long, n_tokens long, payload binary")
-    out.write.option("compression", "zstd").parquet(path)
+    # the ids are coded already: a page that had to be unpacked first would not be directly addressable
+    out.write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -246,3 +283,34 @@ def documents(segments: DataFrame, starts: DataFrame) -> DataFrame:
 
     rows = segments.mapInArrow(run, "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long")
     return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("at") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def token_at(spark: SparkSession, path: str, positions: DataFrame, column: str = "position", span: int = 1 << 20) -> DataFrame:
+    """``position, token``: the id at each distinct place of ``positions`` among all ids of the files.
+
+    Segments and places meet by blocks of ``span`` ids (a segment is in the blocks it reaches into), from
+    the segments' counts alone; a second join brings the payloads of the segments that were asked for to
+    their places, where each is read by chunk, bit and rank. A null, negative or too great place gives a
+    null token; repeated places give one row; without segments every token is null.
+    """
+    segments, starts = read_tokens(spark, path)
+    want = positions.select(F.col(f"`{column}`").cast("long").alias("position")).distinct()
+    sizes = spark.read.parquet(path).select("part", "seq", "n_tokens")
+    held = starts.join(sizes, ["part", "seq"]).where(F.col("n_tokens") > 0)
+    last = F.col("at") + F.col("n_tokens") - 1
+    held = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / span), F.floor(last / span))))
+    asked = want.where(F.col("position") >= 0).withColumn("block", F.floor(F.col("position") / span))
+    local = F.col("position") - F.col("at")
+    places = asked.join(held, "block").where((local >= 0) & (local < F.col("n_tokens"))).select("part", "seq", "position", local.alias("local"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"position": pa.array([], pa.int64()), "token": pa.array([], pa.int64())}
+        if left.num_rows and right.num_rows:
+            token = Segment(right["payload"][0].as_py()).at(left["local"].to_numpy())
+            out = {"position": left["position"].combine_chunks(), "token": pa.array(token.astype(np.int64))}
+        return pa.table(out)
+
+    wanted = places.select(F.col("part").alias("p"), F.col("seq").alias("s")).distinct()
+    own = segments.select(F.col("part").alias("p"), F.col("seq").alias("s"), "payload").join(wanted, ["p", "s"], "left_semi")
+    got = places.groupBy("part", "seq").cogroup(own.groupBy("p", "s")).applyInArrow(run, "position long, token long")
+    return want.join(got, "position", "left")

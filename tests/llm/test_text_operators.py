@@ -123,9 +123,52 @@ def test_token_files(spark):
         want[r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
     assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
     assert [r.start for r in got] == np.concatenate(([0], np.cumsum([r.n_tokens for r in got])[:-1])).tolist()
+    every = [i for r in sorted(got, key=lambda r: r.start) for i in [None] * r.n_tokens]
+    for part, seq, at in dac.read_tokens(spark, path)[1].collect():
+        payload = spark.read.parquet(path).where((F.col("part") == part) & (F.col("seq") == seq)).first().payload
+        ids = dac.Segment(bytes(payload)).all()
+        every[at:at + len(ids)] = ids.tolist()
+    rng = random.Random(3)
+    places = [0, len(every) - 1, len(every), -1, None, 1999, 2000, 2000, 2001] + [rng.randrange(len(every)) for _ in range(300)]
+    frame = spark.createDataFrame([(p,) for p in places], "position long")
+    for span in (1 << 20, 700):
+        tokens = dac.token_at(spark, path, frame, span=span).collect()
+        assert len(tokens) == len(set(places))
+        assert all(r.token == (every[r.position] if r.position is not None and 0 <= r.position < len(every) else None) for r in tokens)
     path = C.scratch(spark, "test-tokens")
     dac.write_tokens(empty(spark), path, queries.WORDS, 1)
     assert dac.documents(*dac.read_tokens(spark, path)).count() == 0
+    assert dac.token_at(spark, path, frame).where("token is not null").count() == 0
+
+
+def test_token_files_are_plain(spark):
+    import pyarrow.parquet as pq
+    path = C.scratch(spark, "test-tokens")
+    dac.write_tokens(spark.read.parquet(f"{SF}/documents.parquet"), path, queries.WORDS, 1)
+    import glob
+    for name in glob.glob(path.removeprefix("file:") + "/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            column = [meta.row_group(g).column(k) for k in range(meta.num_columns)][-1]
+            assert column.path_in_schema == "payload" and column.compression == "UNCOMPRESSED" and not column.has_dictionary_page
+
+
+def test_other_tokenizers_get_whole_texts():
+    import json
+    from tokenizers import Tokenizer
+    with open(queries.WORDS, "rb") as f:
+        spec = json.load(f)
+    texts = ["Hello, WORLD. It's 3pm", "a  b\n\nc", "", "x<|endoftext|>Y, z."]
+    same = json.dumps(spec).encode()
+    keeps_case = json.dumps(spec | {"normalizer": None}).encode()
+    one_piece = json.dumps(spec | {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}).encode()
+    cut = json.dumps(spec | {"truncation": {"direction": "Right", "max_length": 2, "strategy": "LongestFirst", "stride": 0}}).encode()
+    for blob, by_runs in ((same, True), (keeps_case, False), (one_piece, False), (cut, True)):
+        tok, own = dac.WordTokenizer(blob, 1), Tokenizer.from_str(blob.decode())
+        own.no_truncation()
+        assert tok.by_runs == by_runs
+        want = [np.array(own.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes() for t in texts]
+        assert tok.encode([t.encode() for t in texts]) == want
 
 
 def test_language(spark):
