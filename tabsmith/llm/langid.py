@@ -8,7 +8,7 @@ neighbouring bytes are added once into a table by byte pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,8 @@ from tabsmith.operators.topk import top_k_per_group
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 WINDOW = 256
+#: Bytes of text scored at a time, a multiple of the window.
+PIECE = 1 << 17
 PAD = 0x20
 UNKNOWN = "und"
 
@@ -85,14 +87,12 @@ def windows_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def train(texts: list[bytes], langs: list[str], epochs: int = 8, batch: int = 64, rate: float = 0.02, seed: int = 7) -> Model:
-    """Fit by Adam on windows; a filter's gradient reaches only the window position that won the pool."""
+    """Fit by Adam on all windows, each by its share of bytes; a filter's gradient reaches only the window position that won the pool."""
     names = sorted(set(langs))
     rng = np.random.default_rng(seed)
     off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     x, doc, length = windows_of(np.frombuffer(b"".join(texts), np.uint8), off)
     y = np.array([names.index(n) for n in langs])[doc]
-    use = length >= min(32, WINDOW)
-    x, y = (x[use], y[use]) if use.any() else (x, y)
     tables = [rng.normal(0, 0.3 / w, (w, 256, FILTERS)) for w in WIDTHS]
     bias = [np.zeros(FILTERS) for _ in WIDTHS]
     weight, offset = rng.normal(0, 0.3, (FILTERS * len(WIDTHS), len(names))), np.zeros(len(names))
@@ -117,7 +117,7 @@ def train(texts: list[bytes], langs: list[str], epochs: int = 8, batch: int = 64
             f = np.concatenate(feats, axis=1)
             grad = np.exp(_log_softmax(f @ weight + offset))
             grad[np.arange(len(lab)), lab] -= 1
-            grad *= balance[lab][:, None] / len(lab)
+            grad *= (balance[lab] * length[rows] / WINDOW)[:, None] / len(lab)
             back = grad @ weight.T
             grads: list[np.ndarray] = []
             g_bias = []
@@ -143,24 +143,38 @@ def train(texts: list[bytes], langs: list[str], epochs: int = 8, batch: int = 64
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,
-        held_out: int = 0, per_lang: int = 600, max_langs: int = 400) -> Model | None:
+        held_out: int = 0, per_lang: int = 600, max_langs: int = 400, spots: int = 3) -> Model | None:
     """A model learned from labelled rows whose ``crc32(id as text) mod folds`` is not ``held_out``.
 
     Bounded sample: of each language the ``per_lang`` rows of smallest id hash, and of each row
-    its first, middle and last ``WINDOW`` characters; over ``max_langs`` labels raise. Null labels,
-    null and empty texts are not learned from. None if nothing is left.
+    ``spots`` runs of ``WINDOW`` characters at hashed places anywhere in the text (a text of that length
+    or less whole); over ``max_langs`` labels raise. Null labels, null and empty texts are not learned
+    from. None if nothing is left.
     """
     text = F.col(f"`{text_col}`")
     own = docs.where(F.col(f"`{lang_col}`").isNotNull() & text.isNotNull() & (F.length(F.trim(text)) > 0))
     own = own.where(C.fold_of(F.col(f"`{id_col}`"), folds) != held_out)
-    spots = [F.lit(1), (F.length(text) / 2).cast("int"), F.length(text) - WINDOW + 1]
-    parts = F.concat_ws(" ", *[F.substring(text, F.greatest(F.lit(1), s), F.lit(WINDOW)) for s in spots])
-    own = own.select(F.col(f"`{lang_col}`").alias("lang"), F.xxhash64(F.col(f"`{id_col}`"), F.length(text)).alias("h"),
-                     F.when(F.length(text) <= 3 * WINDOW, text).otherwise(parts).alias("part"))
-    if own.select("lang").distinct().limit(max_langs + 1).count() > max_langs:
+    own = own.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.xxhash64(F.col(f"`{id_col}`"), F.length(text)).alias("h"), text.alias("text"))
+    size = {r["lang"]: r["count"] for r in own.groupBy("lang").count().limit(max_langs + 1).collect()}
+    if len(size) > max_langs:
         raise ValueError(f"more than {max_langs} labels in {lang_col}")
-    best = top_k_per_group(own, ["lang"], [F.col("h"), F.col("part")], per_lang, F.xxhash64("part"))
-    rows = best.select("lang", "part").orderBy("lang", "rank").collect()  # at most per_lang * max_langs short texts
+    places = [F.pmod(F.xxhash64("h", F.lit(k)), F.length("text") - WINDOW + 1).cast("int") + 1 for k in range(spots)]
+    parts = F.concat_ws(" ", *[F.substring("text", p, F.lit(WINDOW)) for p in places])
+    part = F.when(F.length("text") <= spots * WINDOW, F.col("text")).otherwise(parts)
+
+    def first(rows: DataFrame) -> list:
+        best = top_k_per_group(rows.select("lang", "h", part.alias("part")), ["lang"], [F.col("h"), F.col("part")], per_lang, F.col("h"))
+        return best.select("lang", "part").orderBy("lang", "rank").collect()  # at most per_lang * max_langs short texts
+
+    # hashes spread evenly, so the smallest ones of a language lie below a bound that its row count gives
+    bound = {lang: int(min(1.0, 8 * per_lang / n) * (1 << 64)) - (1 << 63) - 1 for lang, n in size.items()}
+    table = docs.sparkSession.createDataFrame(list(bound.items()), "lang string, bound long")  # at most max_langs rows
+    rows = first(own.join(F.broadcast(table), "lang").where(F.col("h") <= F.col("bound"))) if size else []
+    got = Counter(r.lang for r in rows)
+    short = [lang for lang, n in size.items() if got[lang] < min(per_lang, n)]
+    if short:  # uneven hashes, as of equal ids: all rows of these languages
+        rows = [r for r in rows if r.lang not in short] + first(own.where(F.col("lang").isin(short)))
+    rows.sort(key=lambda r: r.lang)
     return train([r.part.encode() for r in rows], [r.lang for r in rows]) if rows else None
 
 
@@ -176,12 +190,14 @@ def predict(text: Column, model: Model | None) -> Column:
         n, pairs = len(col), model.pairs()
         total = np.zeros((n, len(model.langs)))
         at = 0
-        while at < n:  # texts of about 128 KB at a time, a long text in one go by pieces
-            to = max(at + 1, int(np.searchsorted(off, off[at] + (1 << 17), side="right")) - 1)
-            win, doc, length = windows_of(data[off[at]:off[to]], off[at:to + 1] - off[at])
-            for k in range(0, len(win), 256):
-                logp = _log_softmax(model.logits(model.features(win[k:k + 256], pairs)))
-                np.add.at(total, at + doc[k:k + 256], logp * length[k:k + 256, None])
+        while at < n:  # texts of about 128 KB at a time, a longer text in pieces of whole windows
+            to = max(at + 1, int(np.searchsorted(off, off[at] + PIECE, side="right")) - 1)
+            for start in range(off[at], max(off[to], off[at] + 1), PIECE):
+                end = min(off[to], start + PIECE)
+                win, doc, length = windows_of(data[start:end], np.clip(off[at:to + 1], start, end) - start)
+                for k in range(0, len(win), 256):
+                    logp = _log_softmax(model.logits(model.features(win[k:k + 256], pairs)))
+                    np.add.at(total, at + doc[k:k + 256], logp * length[k:k + 256, None])
             at = to
         p = np.exp(_log_softmax(total / np.maximum(np.diff(off), 1)[:, None]))
         best = p.argmax(axis=1)

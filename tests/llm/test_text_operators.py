@@ -191,6 +191,51 @@ def test_language_edges(spark):
     assert {r.doc_id for r in langid.keep_known(none).collect()} == {1, 5, 6, 8, None}
 
 
+def forward(model, text):
+    """The network by plain loops: every window, every filter, every place."""
+    data, total = text.encode(), np.zeros(len(model.langs))
+    for start in range(0, len(data), langid.WINDOW):
+        window = data[start:start + langid.WINDOW]
+        padded = window + bytes([langid.PAD]) * (langid.WINDOW - len(window))
+        pooled = []
+        for table, bias in zip(model.tables, model.bias):
+            for f in range(langid.FILTERS):
+                conv = [sum(float(table[j][padded[p + j]][f]) for j in range(len(table))) for p in range(langid.WINDOW - len(table) + 1)]
+                pooled.append(max(0.0, max(conv) + float(bias[f])))
+        z = [sum(x * float(w) for x, w in zip(pooled, model.weight[:, c])) + float(model.offset[c]) for c in range(len(model.langs))]
+        high = max(z)
+        total += (np.array(z) - high - np.log(sum(np.exp(v - high) for v in z))) * len(window)
+    p = np.exp(total / len(data))
+    return p / p.sum()
+
+
+def test_language_equals_plain_loops(spark):
+    model = langid.train([b"the cat and the dog " * 20, "le chat où déjà ".encode() * 20, b"der hund und die katze " * 3], ["en", "fr", "de"], epochs=3)
+    texts = ["the dog", "a" * 255 + "é", "où " * 400, "katze und " * 100 + "the cat", "x", "le chat and the hund " * 13]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model=model).collect()}
+    for i, t in enumerate(texts):
+        p = forward(model, t)
+        assert got[i].score == pytest.approx(p.max(), abs=1e-4) and got[i].lang_pred == model.langs[int(p.argmax())]
+
+
+def test_language_of_long_texts_in_pieces(spark, monkeypatch):
+    model = langid.train([b"the cat and the dog " * 20, "le chat où déjà ".encode() * 20], ["en", "fr"], epochs=3)
+    texts = ["the cat " * 700, "", "où déjà " * 300, None, "the " * 64, "le chat and " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: (r.lang_pred, pytest.approx(r.score, abs=1e-6)) for r in langid.identify(docs, model=model).collect()}
+    monkeypatch.setattr(langid, "PIECE", 512)  # goes to the tasks with the function
+    small = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model=model).collect()}
+    assert small == want
+
+
+def test_language_sample_of_equal_hashes(spark):
+    """Rows of one id share a hash: no bound by row counts finds them, and the fit still takes them."""
+    rows = [(1, ("the cat and dog " if k % 2 else "le chat et chien ") * 5 + "x" * (k % 2), "en" if k % 2 else "fr") for k in range(400)]
+    assert zlib.crc32(b"1") % 5 != 0
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=5)
+    assert model.langs == ["en", "fr"]
+
+
 def parts_frame(spark, rows):
     return spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>, t string, formatted string")
 
