@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ BLOCK = 512
 NULL_ID = -(1 << 63)
 #: Words remembered by a worker; the table is emptied when it is full.
 CACHE = 3 << 18
+#: ASCII signs; one or more at the end of a run, after a letter, are a pre-token of their own.
+SIGNS = string.punctuation.replace("<", "").encode()
 #: The pre-token pattern whose pieces lie within white-space-free runs (``splits_at_space``).
 RUN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -137,7 +141,7 @@ class WordTokenizer:
 
     Where it lower-cases and its pre-tokens cross neither ASCII white space nor a letter and a sign
     (``by_runs``), the ids of a text are those of its white-space-free runs side by side, and a run that
-    ends in a letter and a stop or comma is the run before it and that sign; each distinct run is
+    ends in a letter and ``SIGNS`` is the run before them and those signs; each distinct run is
     encoded once while it is remembered. New runs are encoded many to a text, with a control
     character between them whose id marks the cuts. Any other tokenizer gets the texts whole.
     """
@@ -166,23 +170,24 @@ class WordTokenizer:
         if len(self.seen) > CACHE:
             self.seen.clear()
         seen = self.seen
-        new = set().union(*runs).difference(seen)
+        new = set(filterfalse(seen.__contains__, chain.from_iterable(runs)))
         bare = {w: self._bare(w) for w in new}
-        self._learn([w for w in {s for s, _ in bare.values()}.union([b".", b","]) if w not in seen])
+        self._learn([w for w in set(chain.from_iterable(bare.values())) if w and w not in seen])
         for w, (stem, sign) in bare.items():
             if w is not stem:
-                seen[w] = seen[stem] + seen[sign] if sign else seen[stem]
+                seen[w] = seen[stem] + seen[sign]
         return [b"".join(map(seen.__getitem__, r)) + self.end for r in runs]
 
     @staticmethod
     def _bare(run: bytes) -> tuple[bytes, bytes]:
-        """The run in small ASCII letters without a stop or comma after a letter, and that sign (a special token keeps its case)."""
+        """The run (in small letters) without the signs after its last letter, and those signs."""
         if b"<" in run:
             return run, b""
-        low = run.lower()
-        if low[-1:] in (b".", b",") and low[-2:-1].isalpha():
-            return low[:-1], low[-1:]
-        return low, b""
+        stem = run.rstrip(SIGNS)
+        # U+00C0 to U+00FF are letters but for the signs of multiplication and division
+        if len(stem) in (0, len(run)) or not (stem[-1:].isalpha() or stem[-2:-1] == b"\xc3" and stem[-1] not in b"\x97\xb7"):
+            return run, b""
+        return stem, run[len(stem):]
 
     def _learn(self, runs: list[bytes]) -> None:
         odd = [r for r in runs if self.MARK in r]

@@ -153,6 +153,18 @@ def test_token_files_are_plain(spark):
             assert column.path_in_schema == "payload" and column.compression == "UNCOMPRESSED" and not column.has_dictionary_page
 
 
+def test_runs_equal_library():
+    from tokenizers import Tokenizer
+    rng = random.Random(5)
+    bits = ["a", "Bc", " ", "\n", ".", ",", ")", '"', "!", "?", "é", "×", "÷", "<", "|", ">", "'s", "'", "9", "漢", "ı", "İ", "]", ";", "%%", "<|endoftext|>", "e\u0301", "=\u0338", "’"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(4000)]
+    with open(queries.WORDS, "rb") as f:
+        tok, own = dac.WordTokenizer(f.read(), 1), Tokenizer.from_file(queries.WORDS)
+    assert tok.by_runs
+    for text, blob in zip(texts, tok.encode([t.encode() for t in texts])):
+        assert blob == np.array(own.encode(text, add_special_tokens=False).ids + [1], "<u4").tobytes(), repr(text)
+
+
 def test_other_tokenizers_get_whole_texts():
     import json
     from tokenizers import Tokenizer
