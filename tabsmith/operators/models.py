@@ -48,6 +48,8 @@ ALPHA, L1_SHARE = 1.0, {"ridge": 0.0, "lasso": 1.0, "elastic": 0.5}
 MAX_CLASSES, DIGIT_CLASSES = 10_000, 256
 #: Linear targets are solved together up to this many features (the sums of products are a square matrix).
 TOGETHER_WIDTH = 4096
+#: Bytes of widened rows (8 a feature) that one task of a digit's fit takes.
+CHAIN_TASK_BYTES = 128 << 20
 
 
 def family_of(name: str) -> str:
@@ -183,10 +185,17 @@ class ClassChain:
         marks = [F.transform(F.sequence(F.lit(0), F.lit(self.base - 1)), lambda i, d=d: (i == d).cast("double")) for d in before]
         return array_to_vector(F.concat(vector_to_array(F.col(FEATURES)), *marks)) if marks else F.col(FEATURES)
 
-    def fit(self, rows: DataFrame, label: str, algorithm: str) -> ClassChain:
+    def tasks(self, n_rows: int, width: int) -> int:
+        """Tasks among which ``n_rows`` rows of ``width`` features are dealt: the written table is compact, but
+        MLlib keeps each row with the marks of all digits before, ``base`` numbers a digit."""
+        return max(1, -(-8 * n_rows * (width + self.base * (self.digits - 1)) // CHAIN_TASK_BYTES))
+
+    def fit(self, rows: DataFrame, label: str, algorithm: str, n_rows: int, width: int) -> ClassChain:
         coded = rows.join(self._map(), F.col(label) == F.col("value"))
         names = [f"__d{j}" for j in range(self.digits)]
         coded = coded.select(FEATURES, *[with_classes(d, c, self.base) for d, c in zip(code_digits(F.col("code"), self.digits, self.base), names, strict=True)])
+        if (n_tasks := self.tasks(n_rows, width)) > 1:
+            coded = coded.repartition(n_tasks)
         for j, c in enumerate(names):
             seen = coded.select(self._features([F.col(x) for x in names[:j]]).alias(FEATURES), F.col(c))
             self.models.append(estimator_for(algorithm, "Classification", c, self.base).fit(seen))
@@ -285,7 +294,7 @@ def train(train_df: DataFrame, targets: Sequence[str], algorithm: str, tasks: di
             found = class_values(assembled, n, max_classes)
             if found is None:
                 values, k = class_codes(assembled, n)
-                models[t] = ClassChain(values, k, *digit_base(k)).fit(rows, n, algorithm)
+                models[t] = ClassChain(values, k, *digit_base(k)).fit(rows, n, algorithm, stats[f"n{n}"], len(feats))
                 continue
             classes[t] = found
             codes = train_df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(found)], "__v double, __code double")

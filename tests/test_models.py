@@ -128,3 +128,24 @@ def test_a_column_of_many_labels_is_split(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) > 4 and max(sizes) < 60_000
     assert len(doc["c"]) == 200_000 and doc["c"]["l0199999"] == 199_999
+
+
+def test_rows_of_a_chain_are_dealt_by_their_widened_size(spark, monkeypatch):
+    """The written table is a file or two; the rows with the marks of earlier digits are many times as large."""
+    n, seen = 3000, []
+    df = spark.createDataFrame([(float(i % 7), i) for i in range(n)], "x double, label long")
+
+    def noted(*args, **kw):
+        est = estimator_for(*args, **kw)
+        fit = est.fit
+        est.fit = lambda rows: (seen.append([sum(1 for _ in p) for p in rows.select(rows.columns[-1]).rdd.glom().collect()]), fit(rows))[1]
+        return est
+
+    estimator_for = models.estimator_for
+    monkeypatch.setattr(models, "estimator_for", noted)
+    monkeypatch.setattr(models, "CHAIN_TASK_BYTES", 400_000)
+    tm = models.train(df.coalesce(1), ["label"], "DecisionTreeClassifier", {"label": "Classification"}, max_classes=100)
+    chain = tm.models["label"]
+    assert (chain.digits, chain.base) == (2, 55) and len(seen) == 2
+    for parts in seen:
+        assert sum(parts) == n and len(parts) == 4 and max(parts) * 8 * (1 + 55) <= 400_000
