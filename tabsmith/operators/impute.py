@@ -6,17 +6,19 @@ for the columns that need them + one value-count shuffle for the modes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsmith import fixed
 from tabsmith.functions.stats import is_numeric, nan_to_null
+from tabsmith.functions.unpivot import unpivot
 from tabsmith.operators.profile import SLACK, hashed_counts, leading_hashes, moments, top_values, top_values_long
-from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.quantiles import exact_quantiles, few_valued
 
 
 @dataclass(frozen=True)
@@ -36,20 +38,45 @@ def categorical_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]
             if isinstance(f.dataType, (T.StringType, T.BooleanType)) and f.name not in exclude]
 
 
-def numeric_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
-    """Count, G1 skew, mean, min, max per column from the long-form moments pass."""
+def numeric_moments(df: DataFrame, cols: Sequence[str], distinct: dict | None = None) -> dict[str, dict]:
+    """Count, G1 skew, mean, min, max per column from the long-form moments pass; columns that ``distinct``
+    (upper bounds of their numbers of values) shows to have few values, from the counts of their values."""
+    few = few_valued(list(cols), distinct)
+    out = counted_moments(df, few)
+    many = [c for c in cols if c not in out]
+    rows = {r["ordinal"]: r for r in moments(df.select(*[F.col(f"`{c}`") for c in many])).collect()} if many else {}
+    out |= {c: {"n": rows[i]["n_rows"], "nn": rows[i]["n_nonnull"], "skew": rows[i]["skew"],
+                "mean": rows[i]["mean"], "min": rows[i]["min"], "max": rows[i]["max"]} for i, c in enumerate(many)}
+    return {c: out[c] for c in cols}
+
+
+def counted_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """The same figures of columns of few values: one pass counts the values, the rest is over the counts."""
     if not cols:
         return {}
-    rows = {r["ordinal"]: r for r in moments(df.select(*[F.col(f"`{c}`") for c in cols])).collect()}
-    return {c: {"n": rows[i]["n_rows"], "nn": rows[i]["n_nonnull"], "skew": rows[i]["skew"],
-                "mean": rows[i]["mean"], "min": rows[i]["min"], "max": rows[i]["max"]}
-            for i, c in enumerate(cols)}
+    present = unpivot(df, [(F.lit(i), nan_to_null(F.col(f"`{c}`"), df.schema[c].dataType).cast("double")) for i, c in enumerate(cols)], ("i", "v"))
+    counts = present.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    n, there = F.col("n").cast("double"), F.col("v").isNotNull()
+    mean = F.sum(F.col("v") * n) / F.sum(F.when(there, n))
+    centred = counts.withColumn("d", F.col("v") - (F.sum(F.col("v") * n).over(Window.partitionBy("i")) / F.sum(F.when(there, n)).over(Window.partitionBy("i"))))
+    rows = centred.groupBy("i").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("nn"), mean.alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.sum(n * F.col("d") * F.col("d")).alias("m2"), F.sum(n * F.col("d") * F.col("d") * F.col("d")).alias("m3")).collect()
+    out = {}
+    for r in rows:
+        nn, m2, m3, skew = r["nn"], r["m2"], r["m3"], None
+        if nn >= 3 and r["min"] != r["max"] and m2:
+            skew = math.sqrt(nn) * (m3 / m2) / math.sqrt(m2) * math.sqrt(nn * (nn - 1)) / (nn - 2)
+        # the mean of a constant is the constant
+        mean_of = r["min"] if nn and r["min"] == r["max"] else r["mean"]
+        out[cols[r["i"]]] = {"n": r["n"], "nn": nn, "skew": skew, "mean": mean_of, "min": r["min"], "max": r["max"]}
+    return out if len(out) == len(cols) else {}
 
 
 def fit_numeric_fill(df: DataFrame, cols: Sequence[str],
-                     skew_above: float = fixed.MEDIAN_SKEW_ABOVE) -> FillPlan:
+                     skew_above: float = fixed.MEDIAN_SKEW_ABOVE, distinct: dict | None = None) -> FillPlan:
     """Skew > 1 -> median, else mean (negative skew and undefined skew take the mean)."""
-    st = numeric_moments(df, cols)
+    st = numeric_moments(df, cols, distinct)
     med_cols = [c for c in cols if st[c]["skew"] is not None and st[c]["skew"] > skew_above]
     meds = exact_quantiles(df, med_cols, [0.5])
     plan = {}
@@ -103,10 +130,10 @@ def fit_modes_and_levels(df: DataFrame, cols: Sequence[str], max_levels: int = f
 
 
 def fit_fill(df: DataFrame, exclude: Sequence[str] = (),
-             max_levels: int = fixed.CLASS_MAX_DISTINCT) -> FillPlan:
+             max_levels: int = fixed.CLASS_MAX_DISTINCT, distinct: dict | None = None) -> FillPlan:
     """Numeric and categorical fill for every feature; targets are never filled.
     The one-hot level probe of phase 8 comes from the same shuffle as the modes."""
-    num = fit_numeric_fill(df, numeric_columns(df, exclude))
+    num = fit_numeric_fill(df, numeric_columns(df, exclude), distinct=distinct)
     modes, levels = fit_modes_and_levels(df, categorical_columns(df, exclude), max_levels)
     return FillPlan(numeric=num.numeric, categorical=modes, stats=num.stats, levels=levels)
 

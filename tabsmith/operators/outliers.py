@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
-from tabsmith.operators.quantiles import _value, exact_quantiles
+from tabsmith.operators.quantiles import _value, counted_quantiles, exact_quantiles, few_valued
 
 
 def _min_max(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -40,12 +40,18 @@ def binary_columns(df: DataFrame, cols: Sequence[str], bounds: dict | None = Non
 
 
 def fit_iqr(df: DataFrame, cols: Sequence[str], k: float = fixed.IQR_FACTOR,
-            bounds: dict | None = None) -> dict[str, tuple]:
-    """O1 + O3: ``{column: (q1, q3, lo, hi)}`` for non-binary columns with a finite IQR > 0."""
+            bounds: dict | None = None, distinct: dict | None = None) -> dict[str, tuple]:
+    """O1 + O3: ``{column: (q1, q3, lo, hi)}`` for non-binary columns with a finite IQR > 0.
+
+    ``distinct`` (column -> upper bound of its number of values) lets one pass over the counts of their
+    values serve the columns of few values."""
     if not cols:
         return {}
-    binary = binary_columns(df, cols, bounds)
-    qs = exact_quantiles(df, [c for c in cols if c not in binary], [0.25, 0.75])
+    few = few_valued(list(cols), distinct)
+    counted = counted_quantiles(df, few, [0.25, 0.75])
+    many = [c for c in cols if c not in counted]
+    binary = binary_columns(df, many, bounds) | {c for c, (n, _) in counted.items() if n <= 2}
+    qs = exact_quantiles(df, [c for c in many if c not in binary], [0.25, 0.75]) | {c: q for c, (_, q) in counted.items()}
     out = {}
     for c in cols:
         if c in binary:

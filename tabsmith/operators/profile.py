@@ -17,12 +17,15 @@ few rows per column reach the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tabsmith import fixed
 from tabsmith.functions.stats import g1_skew, is_integral, is_numeric, nan_to_null
+from tabsmith.functions.unpivot import unpivot
 from tabsmith.operators.text import TextProbe, stat_aggregates
 from tabsmith.operators.topk import top_k_per_group
 
@@ -90,9 +93,8 @@ def hashed_values(df: DataFrame, cols: list[str]) -> DataFrame:
             v = c.cast("string")
             h1, h2 = _text_hashes(v)
             prefix = F.substring(v.cast("binary"), 1, PREFIX)
-        # filtered after the explode: dropping nulls inside the array would leave generated code
-        entries.append(F.struct(F.lit(df.columns.index(name)).alias("ordinal"), F.when(v.isNotNull(), h1).alias("h1"), h2.alias("h2"), prefix.alias("prefix")))
-    return df.select(F.explode(F.array(*entries)).alias("kv")).select("kv.*").where(F.col("h1").isNotNull())
+        entries.append((F.lit(df.columns.index(name)), F.when(v.isNotNull(), h1), h2, prefix))
+    return unpivot(df, entries, ("ordinal", *HASH_COLS)).where(F.col("h1").isNotNull())
 
 
 def hashed_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -129,12 +131,14 @@ def top_values(df: DataFrame, leading: dict[int, list], k: int) -> dict[int, lis
         wanted[i] = {(r["h1"], r["h2"]): r["cnt"] for r in kept if len(r["prefix"]) == PREFIX}
     looked_up = {i: w for i, w in wanted.items() if w}
     if looked_up:
-        entries = []
+        entries, shown = [], []
         for i, w in looked_up.items():
             v = F.col(f"`{df.columns[i]}`").cast("string")
             h1, h2 = _text_hashes(v)
-            entries.append(F.when(h1.isin([h for h, _ in w]), F.struct(F.lit(i).alias("ordinal"), h1.alias("h1"), h2.alias("h2"), v.alias("v"))))
-        rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*").distinct().collect()
+            shown.append(h1.isin([h for h, _ in w]))
+            entries.append(F.when(shown[-1], F.struct(F.lit(i).alias("ordinal"), h1.alias("h1"), h2.alias("h2"), v.alias("v"))))
+        found = df.where(reduce(or_, shown))  # rows without any of them need no array
+        rows = found.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*").distinct().collect()
         for r in rows:
             cnt = looked_up[r["ordinal"]].get((r["h1"], r["h2"]))
             if cnt is not None:

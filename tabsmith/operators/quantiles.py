@@ -5,7 +5,8 @@ One path for every column and size; NaN counts as missing. The values of all col
 column (``percentile_approx``, a bounded buffer) brackets every wanted rank between two values; one
 aggregate counts exactly what lies below, on and between them; a rank is then one of the two values,
 or is picked by a window over the open interval between, which holds about two thousandths of the
-rows. Intervals of more than ``small`` values are narrowed once more in the same way. Brackets are
+rows. A column known to have few values is answered from the counts of its values instead, in one
+pass. Intervals of more than ``small`` values are narrowed once more in the same way. Brackets are
 ranks, not widths, so skewed and infinite values take no more rounds; every round takes at least the
 two end values out. Only rows of counts reach the driver.
 """
@@ -13,10 +14,14 @@ two end values out. Only rows of counts reach the driver.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.functions.unpivot import unpivot
+
 SMALL = 50_000
 ACCURACY = 2_000
 #: Ranks handled by one job: bounds the sketches that a task holds.
@@ -40,8 +45,42 @@ def _inside(v: Column, lo: float | None, hi: float | None) -> Column:
 
 def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(i, v)``: position in ``cols`` and value, missing values left out."""
-    entries = F.array(*[F.struct(F.lit(i).alias("i"), _value(c).alias("v")) for i, c in enumerate(cols)])
-    return df.select(F.explode(entries).alias("e")).select("e.*").where(F.col("v").isNotNull())
+    return unpivot(df, [(F.lit(i), _value(c)) for i, c in enumerate(cols)], ("i", "v")).where(F.col("v").isNotNull())
+
+
+def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(i, v, n)``: position in ``cols``, value, rows with it; meant for columns of few values."""
+    return _long(df, cols).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def few_valued(cols: list[str], distinct: dict[str, int] | None, small: int = SMALL) -> list[str]:
+    """The columns that ``distinct`` (upper bounds of their numbers of values) shows to have at most ``small``."""
+    return [c for c in cols if (distinct or {}).get(c, small + 1) <= small]
+
+
+def counted_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, tuple[int, list[float | None]]]:
+    """``{column: (number of values, [quantile for each prob])}`` of columns of few values, exact, in one pass.
+
+    The window of a column holds its distinct values, not its rows; a column of more values than thought
+    is only slower.
+    """
+    if not cols:
+        return {}
+    upto, whole = Window.partitionBy("i").orderBy("v"), Window.partitionBy("i")
+    ranked = value_counts(df, cols).select(
+        "i", "v", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(whole).alias("size"), F.count("v").over(whole).alias("values"))
+    spot = [f((F.col("size") - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
+    wanted = reduce(or_, [(at < F.col("upto")) & (at >= F.col("upto") - F.col("n")) for at in spot])
+    size, values, found = {c: 0 for c in cols}, {c: 0 for c in cols}, {}
+    for r in ranked.where(wanted).collect():
+        c = cols[r["i"]]
+        size[c], values[c] = r["size"], r["values"]
+        for p in probs:
+            h = (r["size"] - 1) * p
+            for rank in (math.floor(h), math.ceil(h)):
+                if r["upto"] - r["n"] <= rank < r["upto"]:
+                    found[c, rank] = r["v"]
+    return {c: (values[c], [_interpolate(found, c, size[c], p) for p in probs]) for c in cols}
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], small: int = SMALL,
@@ -119,7 +158,8 @@ def _pick(df: DataFrame, done: dict) -> dict:
         spots.setdefault((c, lo, hi), []).append(rank - below + 1)
     keys = list(spots)
     entries = [F.when(_inside(_value(c), lo, hi), F.struct(F.lit(g).alias("g"), _value(c).alias("v"))) for g, (c, lo, hi) in enumerate(keys)]
-    long = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    inside = reduce(or_, [_inside(_value(c), lo, hi) for c, lo, hi in keys])  # few rows: the others need no array
+    long = df.where(inside).select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
     ranks = F.create_map(*[x for g, k in enumerate(keys) for x in (F.lit(g), F.array(*map(F.lit, spots[k])))])
     order = Window.partitionBy("g").orderBy("v")  # at most ``small`` values each
     rows = (long.withColumn("rn", F.row_number().over(order))

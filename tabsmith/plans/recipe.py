@@ -216,7 +216,8 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     # phase 6: fill (skew measured after phases 4-5; targets never filled)
     # proven label-count bounds: text cleaning can only merge values; a fill adds one
     bounded = {c: n + 1 for c, n in distinct.items()}
-    recipe.fill = impute.fit_fill(cur, exclude=targets, max_levels=config.max_levels)
+    bounded |= {f"{c}_{part}": distinct[c] + 1 for c in recipe.date_columns for part in dates.PARTS}
+    recipe.fill = impute.fit_fill(cur, exclude=targets, max_levels=config.max_levels, distinct=bounded)
     cur = impute.apply_fill(cur, recipe.fill)
     clock.lap("fill")
 
@@ -224,9 +225,9 @@ def fit(df: DataFrame, config: Config) -> Recipe:
     num = impute.numeric_columns(cur, exclude=targets)
     mm = {c: (s["min"], s["max"]) for c, s in recipe.fill.stats.items() if c in num}
     if all(c in mm for c in num):
-        recipe.bounds = outliers.fit_iqr(cur, num, bounds=mm)
+        recipe.bounds = outliers.fit_iqr(cur, num, bounds=mm, distinct=bounded)
     else:
-        recipe.bounds = outliers.fit_iqr(cur, num)
+        recipe.bounds = outliers.fit_iqr(cur, num, distinct=bounded)
     cur = outliers.clip(cur, recipe.bounds)
     clock.lap("outliers")
 
