@@ -129,7 +129,10 @@ def write_artifacts(result: RunResult, path: str) -> dict[str, str]:
 def run_record(result: RunResult) -> dict:
     """S8 content: the run's decisions, metrics and verdicts (small, collected)."""
     rec = dict(result.record)
-    rec["metrics"] = [r.asDict() for r in result.metrics.collect()]
-    rec["verdicts"] = [r.asDict() for r in result.verdicts.collect()]
+    rows = result.metrics.collect()
+    # the verdicts read the collected figures: scoring the test table again would give the same
+    verdicts = verdict.verdict(result.clean.sparkSession.createDataFrame(rows, result.metrics.schema))
+    rec["metrics"] = [r.asDict() for r in rows]
+    rec["verdicts"] = [r.asDict() for r in verdicts.collect()]
     rec["sane"] = all(v["passed"] for v in rec["verdicts"])
     return json.loads(json.dumps(rec, default=str))
