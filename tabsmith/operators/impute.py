@@ -40,9 +40,9 @@ def categorical_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]
 
 def numeric_moments(df: DataFrame, cols: Sequence[str], distinct: dict | None = None) -> dict[str, dict]:
     """Count, G1 skew, mean, min, max per column from the long-form moments pass; columns that ``distinct``
-    (upper bounds of their numbers of values) shows to have few values, from the counts of their values."""
-    few = few_valued(list(cols), distinct)
-    out = counted_moments(df, few)
+    (upper bounds of their numbers of values) shows to have few values, from the counts of their values. A
+    column with nulls is filled with its mean, so that one is always the sum over the rows, to the last digit."""
+    out = {c: st for c, st in counted_moments(df, few_valued(list(cols), distinct)).items() if st["nn"] == st["n"]}
     many = [c for c in cols if c not in out]
     rows = {r["ordinal"]: r for r in moments(df.select(*[F.col(f"`{c}`") for c in many])).collect()} if many else {}
     out |= {c: {"n": rows[i]["n_rows"], "nn": rows[i]["n_nonnull"], "skew": rows[i]["skew"],

@@ -34,8 +34,10 @@ def test_quantiles_from_counts_equal_the_exact_ones(spark):
 def test_moments_from_counts_equal_the_long_form(spark):
     df = odd(spark)
     cols = df.columns[:5]
-    few, plain = impute.numeric_moments(df, cols, dict.fromkeys(cols, 50)), impute.numeric_moments(df, cols)
-    assert list(few) == cols
+    few, plain = impute.counted_moments(df, cols), impute.numeric_moments(df, cols)
+    filled = impute.numeric_moments(df, cols, dict.fromkeys(cols, 50))
+    assert list(few) == list(filled) == cols
+    assert all(filled[c]["mean"] == plain[c]["mean"] for c in ("b", "c"))  # means that fill nulls are the same numbers
     for c in cols:
         for k, v in plain[c].items():
             assert few[c][k] == (v if v is None else pytest.approx(v, rel=1e-9)), (c, k)
