@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import empty, messy
 from pyspark.sql import functions as F
@@ -94,6 +95,48 @@ def test_tiles_add_up():
         assert any(t.dense is not None for t in tiles.values()) == (top < 5000) and (min(tiles) < 0) == (top > 5000)
 
 
+def test_lists_are_packed():
+    rng = np.random.default_rng(2)
+    for a in (np.zeros(0, np.int64), np.zeros(5, np.int32), rng.integers(0, 70000, 999).astype(np.int32), np.array([1 << 62, 0, 255, 256])):
+        data = collocations._packed(a)
+        assert np.array_equal(collocations._unpacked(data, a.dtype), a) and len(data) == 1 + len(a) * data[0]
+    # a cell of a tile takes two bytes and a small count one
+    left, right = (rng.integers(1, 257, 30000) for _ in range(2))
+    keys, counts = np.unique(left << 32 | right, return_counts=True)
+    lists = [r for b in collocations._deal(keys, counts, 16, 0) for r in b.to_pylist()]
+    assert sum(len(r["cells"]) + len(r["counts"]) for r in lists) == 3 * len(keys) + 2 * len(lists)
+
+
+def test_sequences_keep_what_longer_phrases_need():
+    rng = np.random.default_rng(4)
+    words = rng.choice(7, 9000, p=[.1, .3, .2, .1, .1, .1, .1]).astype(np.int32)
+    w = h = words
+    for k in (2, 3, 4, 5):
+        grams = collections.Counter(tuple(words[i:i + k].tolist()) for i in range(len(words) - k + 1) if words[i:i + k].all())
+        pairs, counts = np.unique(collocations._pairs(w, h, k)[1], return_counts=True)
+        # a phrase that counts 20 or more is counted in full, whatever was set to 0 before
+        often = counts >= 20
+        assert sorted(counts[often]) == sorted(n for n in grams.values() if n >= 20) and 0 < often.sum() < len(often) + (k < 3)
+        pairs = pairs[often]
+        w2, h2 = (collocations._unpacked(x, np.int32) for x in collocations._relabel(w, h, k, pairs, np.arange(1, len(pairs) + 1, dtype=np.int32)))
+        assert (w2 == 0).sum() > (w == 0).sum()
+        w, h = w2, h2
+
+
+def test_arrow_batches_are_small_for_blocks_only(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    fat = spark.range(0, 12, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    with C.arrow_batches(spark, collocations.BLOCK):
+        assert max(r.n for r in fat.mapInArrow(rows, "n long").collect()) <= 6
+    assert spark.conf.get(name) == before
+
+
 # ---------------------------------------------------------------- WARC
 
 def test_warc_round_trip(spark):
