@@ -237,6 +237,49 @@ def test_line_limits_grow(spark):
     assert sorted(r.n_removed for r in line_dedup.dedup_lines(docs).collect()) == [0, 1]
 
 
+def test_long_lines_meet_in_few_pairs(spark, monkeypatch):
+    """Long lines with grams that very many have: all links, and few pairs to compare, by longer grams and length classes."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(400)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    rows = [f"{text(15 + k % 60)}, as everybody says, {text(20)}" for k in range(80)]
+    for stem in (text(40), text(20) + " " * 30 + text(15), "漢\U0001f600" * 60 + text(20)):
+        for _ in range(14):
+            t = list(stem)
+            for _ in range(rng.randint(0, len(t) // 30)):
+                t[rng.randrange(len(t))] = rng.choice("klm")
+            rows.append("".join(t))
+    rows = sorted(set(rows))
+    lines = line_dedup.lines_of(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), "doc_id", "text")
+    name, at = {r.h1: r.line for r in lines.select("h1", "line").collect()}, {}
+    written = line_dedup.C.written
+
+    def counted(df, what):
+        out = written(df, what)
+        at[what] = at.get(what, 0) + out.count()
+        return out
+
+    most = lambda n: max(2, n // 40 - 1)
+    near = lambda a, b: abs(len(a) - len(b)) <= most(min(len(a), len(b))) and edits(a, b) <= most(min(len(a), len(b)))
+    want = {frozenset((a, b)) for a, b in itertools.combinations([x for x in rows if len(x) >= 160], 2) if near(a, b)}
+    monkeypatch.setattr(line_dedup.C, "written", counted)
+    monkeypatch.setattr(line_dedup, "HOT", 8)
+    got = line_dedup._long_links(line_dedup._distinct(lines)).collect()
+    assert {frozenset((name[r.a], name[r.b])) for r in got} == want and len(got) == len(want) > 40
+    assert at["line-crowd"] > 60 and at["line-long-pairs"] < len(want) + 500
+
+
+def test_letters_apart_is_short(spark):
+    """Equal to loops, and few steps: a join condition of thousands is not compiled and took 30 times as long."""
+    rng = random.Random(6)
+    rows = [(rng.getrandbits(64) - (1 << 63), rng.getrandbits(64) - (1 << 63)) for _ in range(500)] + [(0, -1), (-1, -1), (1 << 62, -1 << 63)]
+    nibbles = lambda x: [x >> 4 * k & 15 for k in range(16)]
+    want = [sum(min(abs(x - y), 16 - abs(x - y)) for x, y in zip(nibbles(a), nibbles(b), strict=True)) for a, b in rows]
+    apart = line_dedup.letters_apart(F.col("a"), F.col("b"))
+    got = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a long, b long").select("i", apart.alias("d")).collect()
+    assert [r.d for r in sorted(got)] == want and str(apart).count("(") < 150
+
+
 def test_line_dedup_edges(spark):
     got = line_dedup.dedup_lines(messy(spark)).collect()
     assert len(got) == 11 and {r.doc_id: r.n_removed for r in got}[6] == 1
